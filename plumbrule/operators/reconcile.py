@@ -44,8 +44,12 @@ def _only_in(rows: str, other: str) -> Column:
     return (F.col(rows) > 0) & ((F.col(other) == 0) | incomplete)
 
 
-IS_FALSE_NEGATIVE = _only_in("truth_rows", "actual_rows")
-IS_FALSE_POSITIVE = _only_in("actual_rows", "truth_rows")
+def _is_missed() -> Column:
+    return _only_in("truth_rows", "actual_rows")
+
+
+def _is_invented() -> Column:
+    return _only_in("actual_rows", "truth_rows")
 
 
 def _summary(report: DataFrame, names: tuple[str, str]) -> DataFrame:
@@ -74,8 +78,8 @@ def reconcile(truth: DataFrame, actual: DataFrame) -> DataFrame:
         F.count_if((F.col("truth_rows") > 0) & known).alias("gt_distinct_records"),
         F.sum("actual_rows").alias("actual_fail_report_count"),
         F.count_if((F.col("actual_rows") > 0) & known).alias("actual_distinct_records"),
-        F.count_if(IS_FALSE_NEGATIVE).alias("false_negative_records"),
-        F.count_if(IS_FALSE_POSITIVE).alias("false_positive_records"),
+        F.count_if(_is_missed()).alias("false_negative_records"),
+        F.count_if(_is_invented()).alias("false_positive_records"),
     )
 
 
@@ -105,12 +109,12 @@ def _per_rule(truth: DataFrame, actual: DataFrame, rules: Iterable[Rule], counts
 
 def false_negatives(truth: DataFrame, actual: DataFrame) -> DataFrame:
     """Distinct (rule, record) of the truth that the report lacks."""
-    return record_balance(truth, actual).where(IS_FALSE_NEGATIVE).select(*KEY)
+    return record_balance(truth, actual).where(_is_missed()).select(*KEY)
 
 
 def false_positives(truth: DataFrame, actual: DataFrame) -> DataFrame:
     """Distinct (rule, record) of the report that are not true."""
-    return record_balance(truth, actual).where(IS_FALSE_POSITIVE).select(*KEY)
+    return record_balance(truth, actual).where(_is_invented()).select(*KEY)
 
 
 def mismatch_sample(mismatches: DataFrame, rows: int = MISMATCH_SAMPLE_ROWS) -> DataFrame:

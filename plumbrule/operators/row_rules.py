@@ -1,16 +1,18 @@
 """Rules that look at one row at a time, evaluated together in a single pass.
 
-Every rule becomes one or more Columns that are a violation struct or NULL. They are
-put into one array and exploded, so any number of rules costs one scan and no shuffle.
-Trimmed texts, missing flags and parsed dates are computed once per column in a
-projection below the rules. Nothing here needs more than the row itself, so the same
-code runs on a streaming DataFrame.
+The conditions of all rules go into one array of hit numbers that is exploded, so any
+number of rules costs one scan and no shuffle. Field, value and explanation are only
+built for hits, after the explode; this also keeps the code generated for the rows
+that are fine small enough to be compiled. Trimmed texts, missing flags and parsed
+dates are computed once per column in a projection below the rules. Nothing here needs
+more than the row itself, so the same code runs on a streaming DataFrame.
 """
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +45,7 @@ from plumbrule.functions.columns import (
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule
 
+HIT = "__hit"
 VIOLATION_COLUMNS = ("rule_id", "record_id", "phase", "failed_field", "failed_value")
 
 
@@ -112,155 +115,144 @@ def kept_by_phase(rule: Rule, ready: PreparedColumns) -> Column:
     return F.coalesce(~phase.isin(*rule.skip_phases), F.lit(options.keep_null_phase))
 
 
-def violation(rule: Rule, ready: PreparedColumns, condition: Column, field: Column, value: Column, why: Column) -> Column:
-    """The violation struct where the condition holds, else NULL."""
-    parts = [F.lit(rule.rule_id).alias("rule_id"), field.alias("failed_field"), value.alias("failed_value")]
-    if ready.options.explain:
-        parts.append(why.alias("explanation"))
-    return F.when(condition & kept_by_phase(rule, ready), F.struct(*parts))
+@dataclass(frozen=True)
+class Finding:
+    """What one violation of a rule looks like.
 
+    `field` and `value` are fixed texts or Columns; the explanation is the fixed texts
+    `before` and `after` around the Column `why`.
+    """
+
+    rule: Rule
+    condition: Column
+    field: str | Column
+    value: str | Column
+    before: str
+    why: Column
+    after: str = ""
+
+
+# Findings of which a row can have at most one, because each asks for another phase.
+Alternatives = list[Finding]
 
-def found_text(field: str, found: Column, rule: Rule) -> Column:
-    return F.concat(F.lit(f"Column: {field} | Found: "), found, F.lit(f" | Expected: {rule.description}"))
+
+def column_finding(rule: Rule, condition: Column, name: str, ready: PreparedColumns, found: Column) -> Finding:
+    """A finding about the value of a single column."""
+    before, after = f"Column: {name} | Found: ", f" | Expected: {rule.description}"
+    return Finding(rule, condition, name, ready.shown(name), before, found, after)
 
 
 def in_quotes(value: Column) -> Column:
     return F.concat(F.lit("'"), value, F.lit("'"))
 
 
-def not_null_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
-    return [
-        violation(
-            rule,
-            ready,
-            ready.missing(name),
-            F.lit(name),
-            ready.shown(name),
-            found_text(name, missing_text_kind(ready.text(name), ready.options.sentinels), rule),
-        )
-        for name in rule.columns
-    ]
+def not_null_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
+    def kind(name: str) -> Column:
+        return missing_text_kind(ready.text(name), ready.options.sentinels)
 
+    return [[column_finding(rule, ready.missing(name), name, ready, kind(name))] for name in rule.columns]
 
-def positive_value_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
+
+def positive_value_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     name = rule.columns[0]
     number, missing = ready.number(name), ready.missing(name)
     not_positive = number.isNull() | (number <= 0)
     condition = ~missing & not_positive if rule.skip_null else missing | not_positive
-    shown = ready.shown(name)
-    return [violation(rule, ready, condition, F.lit(name), shown, found_text(name, in_quotes(shown), rule))]
+    return [[column_finding(rule, condition, name, ready, in_quotes(ready.shown(name)))]]
 
 
-def value_in_list_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
+def value_in_list_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     name = rule.columns[0]
     text, missing = ready.text(name), ready.missing(name)
     outside = F.coalesce(~text.isin(*rule.allowed), F.lit(False)) if rule.allowed else text.isNotNull()
     condition = outside | missing if rule.flag_null else outside & ~missing
-    shown = ready.shown(name)
-    found = F.when(text.isNull(), NULL_TEXT).otherwise(in_quotes(shown))
-    return [violation(rule, ready, condition, F.lit(name), shown, found_text(name, found, rule))]
+    found = F.coalesce(in_quotes(text), F.lit(NULL_TEXT))
+    return [[column_finding(rule, condition, name, ready, found)]]
 
 
-def overdue_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
-    """One entry: the phase picks the gate, so at most one branch applies to a row."""
+def overdue_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
+    """The phase picks the gate."""
     options = ready.options
     phase = ready.text(options.phase_column)
-    entry = None
+    late_alternatives, unread_alternatives = [], []
     for name, gates in rule.phase_gates:
-        for gate in gates:
+        for gate in gates[:1]:
             late = F.datediff(F.lit(options.today()), ready.day(gate))
-            why = F.concat(
-                F.lit(f"Project is in phase '{name}'. {options.label(gate)} milestone date ("),
-                ready.shown(gate),
-                F.lit(") is "),
-                late.cast("string"),
-                F.lit(f" days overdue, which exceeds the {rule.overdue_days}-day tolerance."),
-            )
-            condition = late > rule.overdue_days
-            if options.report_unparsed:
-                unread = ~ready.missing(gate) & ready.day(gate).isNull()
-                unread_why = F.concat(
-                    F.lit(f"Project is in phase '{name}'. Could not parse gate date "),
-                    in_quotes(ready.shown(gate)),
-                    F.lit("."),
-                )
-                why = F.when(unread, unread_why).otherwise(why)
-                condition = unread | condition
-            result = violation(rule, ready, condition, F.lit(gate), ready.shown(gate), why)
-            in_phase = phase == name
-            entry = F.when(in_phase, result) if entry is None else entry.when(in_phase, result)
-    return [] if entry is None else [entry]
-
-
-def completeness_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
+            days = F.concat(ready.shown(gate), F.lit(") is "), late.cast("string"))
+            before = f"Project is in phase '{name}'. {options.label(gate)} milestone date ("
+            after = f" days overdue, which exceeds the {rule.overdue_days}-day tolerance."
+            condition = (phase == name) & (late > rule.overdue_days)
+            late_alternatives.append(Finding(rule, condition, gate, ready.shown(gate), before, days, after))
+            unread = (phase == name) & ~ready.missing(gate) & ready.day(gate).isNull()
+            before = f"Project is in phase '{name}'. Could not parse gate date '"
+            shown = ready.shown(gate)
+            unread_alternatives.append(Finding(rule, unread, gate, shown, before, shown, "'."))
+    return [late_alternatives, unread_alternatives] if options.report_unparsed else [late_alternatives]
+
+
+def completeness_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     phase = ready.text(ready.options.phase_column)
-    entry = None
+    alternatives = []
     for name, gates in rule.phase_gates:
-        absent = [F.when(ready.missing(gate), ready.options.label(gate)) for gate in gates]
-        labels = F.concat_ws(", ", *absent)
-        why = F.concat(F.lit(f"Missing required gates for phase '{name}': "), labels)
-        some = any_of(ready.missing(gate) for gate in gates)
-        result = violation(rule, ready, some, labels, F.lit(COMPLETENESS_VALUE), why)
-        entry = F.when(phase == name, result) if entry is None else entry.when(phase == name, result)
-    return [] if entry is None else [entry]
+        condition = (phase == name) & any_of(ready.missing(gate) for gate in gates)
+        labels = F.concat_ws(", ", *(F.when(ready.missing(gate), ready.options.label(gate)) for gate in gates))
+        before = f"Missing required gates for phase '{name}': "
+        alternatives.append(Finding(rule, condition, labels, COMPLETENESS_VALUE, before, labels))
+    return [alternatives]
 
 
-def not_future_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
+def not_future_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     options = ready.options
-    today = options.today()
+    today = F.lit(options.today())
     phase = ready.text(options.phase_column)
-    entry = None
+    alternatives = []
     for name, gates in rule.phase_gates:
-        ahead = [F.coalesce(ready.day(gate) > F.lit(today), F.lit(False)) for gate in gates]
+        condition = (phase == name) & any_of(ready.day(gate) > today for gate in gates)
+        tail = f") is in the future but should be <= today ({options.today().isoformat()}) for phase '{name}'"
         reasons = [
             F.when(
-                is_ahead,
-                F.concat(
-                    F.lit(f"{options.label(gate)} date ("),
-                    ready.day(gate).cast("string"),
-                    F.lit(f") is in the future but should be <= today ({today.isoformat()}) for phase '{name}'"),
-                ),
+                ready.day(gate) > today,
+                F.concat(F.lit(f"{options.label(gate)} date ("), ready.day(gate).cast("string"), F.lit(tail)),
             )
-            for gate, is_ahead in zip(gates, ahead)
+            for gate in gates
         ]
         why = F.concat_ws("; ", *reasons)
-        result = violation(rule, ready, any_of(ahead), F.lit(FUTURE_FIELD), F.lit(SEE_EXPLANATION), why)
-        entry = F.when(phase == name, result) if entry is None else entry.when(phase == name, result)
-    return [] if entry is None else [entry]
+        alternatives.append(Finding(rule, condition, FUTURE_FIELD, SEE_EXPLANATION, "", why))
+    return [alternatives]
 
 
-def sequence_entries(rule: Rule, ready: PreparedColumns) -> list[Column]:
+def sequence_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     label = ready.options.label
-    wrong, reasons = [], []
-    for earlier, later in zip(rule.sequence, rule.sequence[1:]):
-        out_of_order = F.coalesce(ready.day(earlier) >= ready.day(later), F.lit(False))
-        wrong.append(out_of_order)
-        reasons.append(
-            F.when(
-                out_of_order,
-                F.concat(
-                    F.lit(f"{label(later)} date ("),
-                    ready.day(later).cast("string"),
-                    F.lit(f") should be later than {label(earlier)} date ("),
-                    ready.day(earlier).cast("string"),
-                    F.lit(")"),
-                ),
-            )
+    pairs = [
+        (earlier, later, ready.day(earlier) >= ready.day(later))
+        for earlier, later in zip(rule.sequence, rule.sequence[1:])
+    ]
+    reasons = [
+        F.when(
+            wrong,
+            F.concat(
+                F.lit(f"{label(later)} date ("),
+                ready.day(later).cast("string"),
+                F.lit(f") should be later than {label(earlier)} date ("),
+                ready.day(earlier).cast("string"),
+                F.lit(")"),
+            ),
         )
-    if not wrong:
-        return []
+        for earlier, later, wrong in pairs
+    ]
+    condition = any_of(wrong for _, _, wrong in pairs)
     why = F.concat_ws("; ", *reasons)
-    return [violation(rule, ready, any_of(wrong), F.lit(SEQUENCE_FIELD), F.lit(SEE_EXPLANATION), why)]
+    return [[Finding(rule, condition, SEQUENCE_FIELD, SEE_EXPLANATION, "", why)]]
 
 
-ENTRY_BUILDERS: dict[str, Callable[[Rule, PreparedColumns], list[Column]]] = {
-    NOT_NULL: not_null_entries,
-    POSITIVE_VALUE: positive_value_entries,
-    VALUE_IN_LIST: value_in_list_entries,
-    GATE_OVERDUE: overdue_entries,
-    GATE_COMPLETENESS: completeness_entries,
-    GATE_NOT_FUTURE: not_future_entries,
-    DATE_SEQUENCE: sequence_entries,
+FINDING_BUILDERS: dict[str, Callable[[Rule, PreparedColumns], list[Alternatives]]] = {
+    NOT_NULL: not_null_findings,
+    POSITIVE_VALUE: positive_value_findings,
+    VALUE_IN_LIST: value_in_list_findings,
+    GATE_OVERDUE: overdue_findings,
+    GATE_COMPLETENESS: completeness_findings,
+    GATE_NOT_FUTURE: not_future_findings,
+    DATE_SEQUENCE: sequence_findings,
 }
 
 
@@ -290,18 +282,50 @@ def row_violations(df: DataFrame, rules: Iterable[Rule], options: RuleOptions =
     Rules that need more than one row (uniqueness) are not evaluated here.
     """
     ready = PreparedColumns(options)
-    entries = [
-        entry
+    groups = [
+        alternatives
         for rule in rules
         if check_rule(rule, df.columns, options) and rule.check_type != UNIQUE
-        for entry in ENTRY_BUILDERS[rule.check_type](rule, ready)
+        for alternatives in FINDING_BUILDERS[rule.check_type](rule, ready)
+        if alternatives
     ]
-    if not entries:
+    if not groups:
         return no_violations(df, options)
-    exploded = ready.apply(df).select("record_id", "phase", F.explode(F.array(*entries)).alias("v"))
-    flagged = exploded.where(F.col("v").isNotNull())
-    from_row = ("record_id", "phase")
-    return flagged.select(*(F.col(name if name in from_row else f"v.{name}") for name in shown_columns(options)))
+    findings = [finding for alternatives in groups for finding in alternatives]
+    number = {id(finding): place for place, finding in enumerate(findings)}
+    hits = []
+    for alternatives in groups:
+        hit = F
+        for finding in alternatives:
+            hit = hit.when(finding.condition & kept_by_phase(finding.rule, ready), number[id(finding)])
+        hits.append(hit)
+    found = ready.apply(df).select("*", F.explode(F.array(*hits)).alias(HIT)).where(F.col(HIT).isNotNull())
+    shown = {
+        "rule_id": by_hit([finding.rule.rule_id for finding in findings]),
+        "record_id": F.col("record_id"),
+        "phase": F.col("phase"),
+        "failed_field": by_hit([finding.field for finding in findings]),
+        "failed_value": by_hit([finding.value for finding in findings]),
+        "explanation": F.concat(
+            by_hit([finding.before for finding in findings]),
+            by_hit([finding.why for finding in findings]),
+            by_hit([finding.after for finding in findings]),
+        ),
+    }
+    return found.select(*(shown[name].alias(name) for name in shown_columns(options)))
+
+
+def by_hit(choices: Sequence[str | Column]) -> Column:
+    """The choice the hit number points at. Fixed texts come from a constant array."""
+    texts = [choice if isinstance(choice, str) else None for choice in choices]
+    fixed = F.get(F.array(*(F.lit(text).cast("string") for text in texts)), F.col(HIT))
+    computed = F
+    for place, choice in enumerate(choices):
+        if isinstance(choice, Column):
+            computed = computed.when(F.col(HIT) == place, choice)
+    if computed is F:
+        return fixed
+    return computed.otherwise(fixed) if any(text is not None for text in texts) else computed
 
 
 def shown_columns(options: RuleOptions) -> tuple[str, ...]:

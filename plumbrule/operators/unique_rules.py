@@ -22,7 +22,6 @@ from plumbrule.constants import UNIQUE
 from plumbrule.operators.row_rules import (
     PreparedColumns,
     check_rule,
-    found_text,
     in_quotes,
     kept_by_phase,
     no_violations,
@@ -46,7 +45,8 @@ def rule_keys(df: DataFrame, rules: Iterable[Rule], options: RuleOptions) -> Dat
             key.alias("failed_value"),
         ]
         if options.explain:
-            parts.append(found_text(name, in_quotes(key), rule).alias("explanation"))
+            before, after = f"Column: {name} | Found: ", f" | Expected: {rule.description}"
+            parts.append(F.concat(F.lit(before), in_quotes(key), F.lit(after)).alias("explanation"))
         entries.append(F.when(counted & kept_by_phase(rule, ready), F.struct(*parts)))
     exploded = ready.apply(df).select("record_id", "phase", F.explode(F.array(*entries)).alias("v"))
     return exploded.where(F.col("v").isNotNull()).select("record_id", "phase", "v.*")
