@@ -1,4 +1,4 @@
-"""Column building blocks: every helper takes column names or Columns and returns a Column.
+"""Column building blocks: helpers that turn a column name into a Column.
 
 All of them are built-in JVM expressions, so they stay inside whole-stage code
 generation and work the same on batch and streaming DataFrames.
@@ -6,7 +6,7 @@ generation and work the same on batch and streaming DataFrames.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 from operator import or_
@@ -14,92 +14,51 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbrule.constants import (
-    DATE_TEXT_LENGTH,
-    GATE_LABEL_REPLACEMENTS,
-    NULL_TEXT,
-    PHASE_COLUMN,
-    SENTINELS,
-)
+from plumbrule.constants import GATE_LABEL_REPLACEMENTS, PHASE_COLUMN, SENTINELS
+from plumbrule.functions import text
+from plumbrule.functions.text import quoted
 
 ColumnOrName = Column | str
 
 
-def quoted(name: str) -> str:
-    """Back-ticked form of a column name, safe for dots, blanks and back-ticks."""
-    escaped = name.replace("`", "``")
-    return f"`{escaped}`"
-
-
 def column(name: ColumnOrName) -> Column:
     """A top-level column by its literal name (dots do not mean struct access)."""
     return name if isinstance(name, Column) else F.col(quoted(name))
 
 
-def clean_text(c: ColumnOrName) -> Column:
+def clean_text(name: str) -> Column:
     """Text form without leading and trailing spaces."""
-    return F.trim(column(c).cast("string"))
+    return F.expr(text.cleaned(quoted(name)))
 
 
-def missing_flag(c: ColumnOrName, sentinels: Iterable[str] = SENTINELS) -> Column:
+def missing_flag(name: str, sentinels: Sequence[str] = SENTINELS) -> Column:
     """NULL, blank after trimming, or a sentinel. Never NULL itself."""
-    return missing_text(clean_text(c), sentinels)
-
+    return F.expr(text.is_missing(text.cleaned(quoted(name)), sentinels))
 
-def missing_text(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
-    """`missing_flag` for text that is trimmed already."""
-    return text.isNull() | text.isin("", *sentinels)
 
-
-def missing_kind(c: ColumnOrName, sentinels: Iterable[str] = SENTINELS) -> Column:
+def missing_kind(name: str, sentinels: Sequence[str] = SENTINELS) -> Column:
     """How a value is missing: `NULL`, `blank/empty`, `sentinel date (v)`; NULL if it is not."""
-    return missing_text_kind(clean_text(c), sentinels)
-
+    return F.expr(text.kind_of_missing(text.cleaned(quoted(name)), sentinels))
 
-def missing_text_kind(text: Column, sentinels: Iterable[str] = SENTINELS) -> Column:
-    return (
-        F.when(text.isNull(), NULL_TEXT)
-        .when(text == "", "blank/empty")
-        .when(text.isin(*sentinels), F.concat(F.lit("sentinel date ("), text, F.lit(")")))
-    )
 
-
-def tolerant_date(c: ColumnOrName) -> Column:
+def tolerant_date(name: str) -> Column:
     """Date in one of the accepted layouts from the first ten characters; NULL otherwise."""
-    return date_from_text(clean_text(c))
-
-
-def date_from_text(text: Column) -> Column:
-    """`tolerant_date` for text that is trimmed already.
+    return F.expr(text.date_of(text.head_of_date(text.cleaned(quoted(name)))))
 
-    The layouts have fixed widths, so the shape of the text decides which one applies.
-    The text is brought into ISO order and cast once, which is several times faster than
-    trying a pattern parser per layout. There is no year zero in those layouts.
-    """
-    head = F.substring(text, 1, DATE_TEXT_LENGTH)
-    from_day = F.concat_ws("-", F.substring(head, 7, 4), F.substring(head, 4, 2), F.substring(head, 1, 2))
-    iso = (
-        F.when(head.rlike(r"^(?!0000)\d{4}-\d{2}-\d{2}$"), head)
-        .when(head.rlike(r"^\d{2}/\d{2}/(?!0000)\d{4}$"), from_day)
-        .when(head.rlike(r"^\d{2}-\d{2}-(?!0000)\d{4}$"), from_day)
-        .when(head.rlike(r"^(?!0000)\d{4}/\d{2}/\d{2}$"), F.translate(head, "/", "-"))
-    )
-    return iso.try_cast("date")
 
-
-def populated_date(c: ColumnOrName) -> Column:
+def populated_date(name: str, sentinels: Sequence[str] = SENTINELS) -> Column:
     """Present and readable as a date."""
-    return ~missing_flag(c) & tolerant_date(c).isNotNull()
+    return ~missing_flag(name, sentinels) & tolerant_date(name).isNotNull()
 
 
-def safe_double(c: ColumnOrName) -> Column:
+def safe_double(name: str) -> Column:
     """Number or NULL, never an error."""
-    return column(c).try_cast("double")
+    return F.expr(text.number_of(quoted(name)))
 
 
-def display_value(c: ColumnOrName) -> Column:
+def display_value(name: str) -> Column:
     """Trimmed value for a report; NULL becomes the text `NULL`."""
-    return F.coalesce(clean_text(c), F.lit(NULL_TEXT))
+    return F.expr(text.shown(text.cleaned(quoted(name))))
 
 
 def gate_label(name: str) -> str:
@@ -114,10 +73,10 @@ def gate_label_column(
     replacements: Iterable[tuple[str, str]] = GATE_LABEL_REPLACEMENTS,
 ) -> Column:
     """`gate_label` for names held as data."""
-    text = column(c)
+    label = column(c)
     for part, replacement in replacements:
-        text = F.replace(text, F.lit(part), F.lit(replacement))
-    return F.upper(text)
+        label = F.replace(label, F.lit(part), F.lit(replacement))
+    return F.upper(label)
 
 
 def run_date_column(run_date: date | str | None = None) -> Column:
@@ -146,7 +105,7 @@ def any_of(conditions: Iterable[Column]) -> Column:
 
 def phase_kept(
     skip: Iterable[str],
-    phase_column: ColumnOrName = PHASE_COLUMN,
+    phase_column: str = PHASE_COLUMN,
     keep_null_phase: bool = False,
 ) -> Column:
     """True where the trimmed phase is not skipped. A NULL phase is dropped unless asked for."""

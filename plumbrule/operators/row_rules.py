@@ -2,10 +2,9 @@
 
 The conditions of all rules go into one array of hit numbers that is exploded, so any
 number of rules costs one scan and no shuffle. Field, value and explanation are only
-built for hits, after the explode; this also keeps the code generated for the rows
-that are fine small enough to be compiled. Trimmed texts, missing flags and parsed
-dates are computed once per column in a projection below the rules. Nothing here needs
-more than the row itself, so the same code runs on a streaming DataFrame.
+built for hits, after the explode. Trimmed texts, missing flags and parsed dates are
+computed once per column in projections below the rules. Nothing here needs more than
+the row itself, so the same code runs on a streaming DataFrame.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ import warnings
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrule.constants import (
@@ -33,15 +32,8 @@ from plumbrule.constants import (
     UNKNOWN_TEXT,
     VALUE_IN_LIST,
 )
-from plumbrule.functions.columns import (
-    any_of,
-    clean_text,
-    column,
-    date_from_text,
-    missing_text,
-    missing_text_kind,
-    safe_double,
-)
+from plumbrule.functions import text as sql
+from plumbrule.functions.text import listed, literal, quoted
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule
 
@@ -50,105 +42,110 @@ VIOLATION_COLUMNS = ("rule_id", "record_id", "phase", "failed_field", "failed_va
 
 
 class PreparedColumns:
-    """Per-column values several rules share; each is computed once, on first request."""
+    """Per-column values several rules share; each is computed once, in one of three layers."""
 
     def __init__(self, options: RuleOptions):
         self.options = options
-        self._text: dict[str, Column] = {}
-        self._derived: dict[str, Column] = {}
         self._numbers: dict[str, int] = {}
+        self._layers: tuple[dict[str, str], ...] = ({}, {}, {})
 
-    def _name(self, kind: str, name: str) -> str:
-        number = self._numbers.setdefault(name, len(self._numbers))
-        return f"__{kind}_{number}"
+    def _add(self, layer: int, kind: str, name: str, expression: str) -> str:
+        number = self._numbers.setdefault(name.lower(), len(self._numbers))
+        alias = f"__{kind}_{number}"
+        self._layers[layer].setdefault(alias, expression)
+        return alias
 
-    def text(self, name: str) -> Column:
-        alias = self._name("text", name)
-        self._text.setdefault(alias, clean_text(name))
-        return F.col(alias)
+    def text(self, name: str) -> str:
+        return self._add(0, "text", name, sql.cleaned(quoted(name)))
 
-    def _derive(self, kind: str, name: str, build: Callable[[Column], Column]) -> Column:
-        alias = self._name(kind, name)
-        if alias not in self._derived:
-            self._derived[alias] = build(self.text(name))
-        return F.col(alias)
+    def number(self, name: str) -> str:
+        return self._add(0, "number", name, sql.number_of(quoted(name)))
 
-    def missing(self, name: str) -> Column:
-        return self._derive("missing", name, lambda t: missing_text(t, self.options.sentinels))
+    def missing(self, name: str) -> str:
+        return self._add(1, "missing", name, sql.is_missing(self.text(name), self.options.sentinels))
 
-    def day(self, name: str) -> Column:
+    def day(self, name: str) -> str:
         """Date of a populated date column; NULL when missing or unreadable."""
+        head = sql.head_of_date(sql.present(self.text(name), self.options.sentinels))
+        return self._add(2, "day", name, sql.date_of(self._add(1, "head", name, head)))
 
-        def build(text: Column) -> Column:
-            return F.when(~missing_text(text, self.options.sentinels), date_from_text(text))
-
-        return self._derive("day", name, build)
-
-    def number(self, name: str) -> Column:
-        return self._derive("number", name, safe_double)
-
-    def shown(self, name: str) -> Column:
-        return F.coalesce(self.text(name), F.lit(NULL_TEXT))
+    def shown(self, name: str) -> str:
+        return sql.shown(self.text(name))
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Identifying columns plus everything requested so far."""
+        first, *others = self._layers
         kept = [
-            identity(self.options.id_column).alias("record_id"),
-            identity(self.options.phase_column).alias("phase"),
+            f"{identity(self.options.id_column)} AS record_id",
+            f"{identity(self.options.phase_column)} AS phase",
         ]
-        texts = df.select(*kept, *(c.alias(alias) for alias, c in self._text.items()))
-        derived = (c.alias(alias) for alias, c in self._derived.items())
-        return texts.select("*", *derived)
+        prepared = df.selectExpr(*kept, *_named(first))
+        for layer in others:
+            if layer:
+                prepared = prepared.selectExpr("*", *_named(layer))
+        return prepared
 
 
-def identity(name: str) -> Column:
+def _named(layer: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {alias}" for alias, expression in layer.items()]
+
+
+def identity(name: str) -> str:
     """Record id or phase as reported: untrimmed, `UNKNOWN` when NULL."""
-    return F.coalesce(column(name).cast("string"), F.lit(UNKNOWN_TEXT))
+    return f"coalesce(CAST({quoted(name)} AS STRING), {literal(UNKNOWN_TEXT)})"
 
 
-def kept_by_phase(rule: Rule, ready: PreparedColumns) -> Column:
+def kept_by_phase(rule: Rule, ready: PreparedColumns) -> str:
     """False for rows the rule's skipped phases exclude."""
-    options = ready.options
     if not rule.skip_phases:
-        return F.lit(True)
-    phase = ready.text(options.phase_column)
-    return F.coalesce(~phase.isin(*rule.skip_phases), F.lit(options.keep_null_phase))
+        return "TRUE"
+    phase = ready.text(ready.options.phase_column)
+    return f"coalesce({phase} NOT IN ({listed(rule.skip_phases)}), {literal(ready.options.keep_null_phase)})"
 
 
 @dataclass(frozen=True)
 class Finding:
-    """What one violation of a rule looks like.
+    """What one violation of a rule looks like, in SQL text.
 
-    `field` and `value` are fixed texts or Columns; the explanation is the fixed texts
-    `before` and `after` around the Column `why`.
+    The explanation is the SQL `why` between the plain texts `before` and `after`. A
+    plain text given as `field` or `value` is held apart from SQL by `Fixed`.
     """
 
     rule: Rule
-    condition: Column
-    field: str | Column
-    value: str | Column
+    condition: str
+    field: str
+    value: str
     before: str
-    why: Column
+    why: str
     after: str = ""
 
 
+class Fixed(str):
+    """A plain text, as opposed to SQL."""
+
+
 # Findings of which a row can have at most one, because each asks for another phase.
 Alternatives = list[Finding]
 
 
-def column_finding(rule: Rule, condition: Column, name: str, ready: PreparedColumns, found: Column) -> Finding:
+def column_finding(rule: Rule, condition: str, name: str, ready: PreparedColumns, found: str) -> Finding:
     """A finding about the value of a single column."""
     before, after = f"Column: {name} | Found: ", f" | Expected: {rule.description}"
-    return Finding(rule, condition, name, ready.shown(name), before, found, after)
+    return Finding(rule, condition, Fixed(name), ready.shown(name), before, found, after)
+
 
+def in_quotes(value: str) -> str:
+    return f"concat({literal(chr(39))}, {value}, {literal(chr(39))})"
 
-def in_quotes(value: Column) -> Column:
-    return F.concat(F.lit("'"), value, F.lit("'"))
+
+def some(conditions: Iterable[str]) -> str:
+    """OR of the conditions; false for none."""
+    return "(" + (" OR ".join(conditions) or "FALSE") + ")"
 
 
 def not_null_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
-    def kind(name: str) -> Column:
-        return missing_text_kind(ready.text(name), ready.options.sentinels)
+    def kind(name: str) -> str:
+        return sql.kind_of_missing(ready.text(name), ready.options.sentinels)
 
     return [[column_finding(rule, ready.missing(name), name, ready, kind(name))] for name in rule.columns]
 
@@ -156,17 +153,17 @@ def not_null_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
 def positive_value_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     name = rule.columns[0]
     number, missing = ready.number(name), ready.missing(name)
-    not_positive = number.isNull() | (number <= 0)
-    condition = ~missing & not_positive if rule.skip_null else missing | not_positive
+    not_positive = f"({number} IS NULL OR {number} <= 0)"
+    condition = f"(NOT {missing} AND {not_positive})" if rule.skip_null else f"({missing} OR {not_positive})"
     return [[column_finding(rule, condition, name, ready, in_quotes(ready.shown(name)))]]
 
 
 def value_in_list_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     name = rule.columns[0]
     text, missing = ready.text(name), ready.missing(name)
-    outside = F.coalesce(~text.isin(*rule.allowed), F.lit(False)) if rule.allowed else text.isNotNull()
-    condition = outside | missing if rule.flag_null else outside & ~missing
-    found = F.coalesce(in_quotes(text), F.lit(NULL_TEXT))
+    outside = f"{text} NOT IN ({listed(rule.allowed)})" if rule.allowed else f"{text} IS NOT NULL"
+    condition = f"({outside} OR {missing})" if rule.flag_null else f"({outside} AND NOT {missing})"
+    found = f"coalesce({in_quotes(text)}, {literal(NULL_TEXT)})"
     return [[column_finding(rule, condition, name, ready, found)]]
 
 
@@ -177,16 +174,16 @@ def overdue_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     late_alternatives, unread_alternatives = [], []
     for name, gates in rule.phase_gates:
         for gate in gates[:1]:
-            late = F.datediff(F.lit(options.today()), ready.day(gate))
-            days = F.concat(ready.shown(gate), F.lit(") is "), late.cast("string"))
+            value, in_phase = ready.shown(gate), f"{phase} = {literal(name)}"
+            late = f"datediff({literal(options.today())}, {ready.day(gate)})"
+            days = f"concat({value}, ') is ', {late})"
             before = f"Project is in phase '{name}'. {options.label(gate)} milestone date ("
             after = f" days overdue, which exceeds the {rule.overdue_days}-day tolerance."
-            condition = (phase == name) & (late > rule.overdue_days)
-            late_alternatives.append(Finding(rule, condition, gate, ready.shown(gate), before, days, after))
-            unread = (phase == name) & ~ready.missing(gate) & ready.day(gate).isNull()
+            condition = f"({in_phase} AND {late} > {rule.overdue_days})"
+            late_alternatives.append(Finding(rule, condition, Fixed(gate), value, before, days, after))
+            unread = f"({in_phase} AND NOT {ready.missing(gate)} AND {ready.day(gate)} IS NULL)"
             before = f"Project is in phase '{name}'. Could not parse gate date '"
-            shown = ready.shown(gate)
-            unread_alternatives.append(Finding(rule, unread, gate, shown, before, shown, "'."))
+            unread_alternatives.append(Finding(rule, unread, Fixed(gate), value, before, value, "'."))
     return [late_alternatives, unread_alternatives] if options.report_unparsed else [late_alternatives]
 
 
@@ -194,55 +191,44 @@ def completeness_findings(rule: Rule, ready: PreparedColumns) -> list[Alternativ
     phase = ready.text(ready.options.phase_column)
     alternatives = []
     for name, gates in rule.phase_gates:
-        condition = (phase == name) & any_of(ready.missing(gate) for gate in gates)
-        labels = F.concat_ws(", ", *(F.when(ready.missing(gate), ready.options.label(gate)) for gate in gates))
+        condition = f"({phase} = {literal(name)} AND {some(ready.missing(gate) for gate in gates)})"
+        parts = [f"CASE WHEN {ready.missing(gate)} THEN {literal(ready.options.label(gate))} END" for gate in gates]
+        labels = f"concat_ws({', '.join((literal(', '), *parts))})"
         before = f"Missing required gates for phase '{name}': "
-        alternatives.append(Finding(rule, condition, labels, COMPLETENESS_VALUE, before, labels))
+        alternatives.append(Finding(rule, condition, labels, Fixed(COMPLETENESS_VALUE), before, labels))
     return [alternatives]
 
 
 def not_future_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     options = ready.options
-    today = F.lit(options.today())
+    today = literal(options.today())
     phase = ready.text(options.phase_column)
     alternatives = []
     for name, gates in rule.phase_gates:
-        condition = (phase == name) & any_of(ready.day(gate) > today for gate in gates)
+        ahead = [f"{ready.day(gate)} > {today}" for gate in gates]
+        condition = f"({phase} = {literal(name)} AND {some(ahead)})"
         tail = f") is in the future but should be <= today ({options.today().isoformat()}) for phase '{name}'"
         reasons = [
-            F.when(
-                ready.day(gate) > today,
-                F.concat(F.lit(f"{options.label(gate)} date ("), ready.day(gate).cast("string"), F.lit(tail)),
-            )
-            for gate in gates
+            f"CASE WHEN {is_ahead} THEN concat({literal(f'{options.label(gate)} date (')}, {ready.day(gate)}, {literal(tail)}) END"
+            for gate, is_ahead in zip(gates, ahead)
         ]
-        why = F.concat_ws("; ", *reasons)
-        alternatives.append(Finding(rule, condition, FUTURE_FIELD, SEE_EXPLANATION, "", why))
+        why = f"concat_ws({', '.join((literal('; '), *reasons))})"
+        alternatives.append(Finding(rule, condition, Fixed(FUTURE_FIELD), Fixed(SEE_EXPLANATION), "", why))
     return [alternatives]
 
 
 def sequence_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     label = ready.options.label
-    pairs = [
-        (earlier, later, ready.day(earlier) >= ready.day(later))
-        for earlier, later in zip(rule.sequence, rule.sequence[1:])
-    ]
-    reasons = [
-        F.when(
-            wrong,
-            F.concat(
-                F.lit(f"{label(later)} date ("),
-                ready.day(later).cast("string"),
-                F.lit(f") should be later than {label(earlier)} date ("),
-                ready.day(earlier).cast("string"),
-                F.lit(")"),
-            ),
+    wrong, reasons = [], []
+    for earlier, later in zip(rule.sequence, rule.sequence[1:]):
+        out_of_order = f"{ready.day(earlier)} >= {ready.day(later)}"
+        first, second = literal(f"{label(later)} date ("), literal(f") should be later than {label(earlier)} date (")
+        wrong.append(out_of_order)
+        reasons.append(
+            f"CASE WHEN {out_of_order} THEN concat({first}, {ready.day(later)}, {second}, {ready.day(earlier)}, ')') END"
         )
-        for earlier, later, wrong in pairs
-    ]
-    condition = any_of(wrong for _, _, wrong in pairs)
-    why = F.concat_ws("; ", *reasons)
-    return [[Finding(rule, condition, SEQUENCE_FIELD, SEE_EXPLANATION, "", why)]]
+    why = f"concat_ws({', '.join((literal('; '), *reasons))})"
+    return [[Finding(rule, some(wrong), Fixed(SEQUENCE_FIELD), Fixed(SEE_EXPLANATION), "", why)]]
 
 
 FINDING_BUILDERS: dict[str, Callable[[Rule, PreparedColumns], list[Alternatives]]] = {
@@ -291,41 +277,43 @@ def row_violations(df: DataFrame, rules: Iterable[Rule], options: RuleOptions =
     ]
     if not groups:
         return no_violations(df, options)
-    findings = [finding for alternatives in groups for finding in alternatives]
-    number = {id(finding): place for place, finding in enumerate(findings)}
+    findings: list[Finding] = []
     hits = []
     for alternatives in groups:
-        hit = F
+        branches = []
         for finding in alternatives:
-            hit = hit.when(finding.condition & kept_by_phase(finding.rule, ready), number[id(finding)])
-        hits.append(hit)
-    found = ready.apply(df).select("*", F.explode(F.array(*hits)).alias(HIT)).where(F.col(HIT).isNotNull())
+            condition = f"{finding.condition} AND {kept_by_phase(finding.rule, ready)}"
+            branches.append(f"WHEN {condition} THEN {len(findings)}")
+            findings.append(finding)
+        hits.append(f"CASE {' '.join(branches)} END")
+    found = ready.apply(df).selectExpr("*", f"explode(array({', '.join(hits)})) AS {HIT}")
     shown = {
-        "rule_id": by_hit([finding.rule.rule_id for finding in findings]),
-        "record_id": F.col("record_id"),
-        "phase": F.col("phase"),
+        "rule_id": by_hit([Fixed(finding.rule.rule_id) for finding in findings]),
+        "record_id": "record_id",
+        "phase": "phase",
         "failed_field": by_hit([finding.field for finding in findings]),
         "failed_value": by_hit([finding.value for finding in findings]),
-        "explanation": F.concat(
-            by_hit([finding.before for finding in findings]),
-            by_hit([finding.why for finding in findings]),
-            by_hit([finding.after for finding in findings]),
-        ),
+        "explanation": f"""concat({by_hit([Fixed(finding.before) for finding in findings])},
+            {by_hit([finding.why for finding in findings])},
+            {by_hit([Fixed(finding.after) for finding in findings])})""",
     }
-    return found.select(*(shown[name].alias(name) for name in shown_columns(options)))
+    return found.where(f"{HIT} IS NOT NULL").selectExpr(*(f"{shown[n]} AS {n}" for n in shown_columns(options)))
 
 
-def by_hit(choices: Sequence[str | Column]) -> Column:
-    """The choice the hit number points at. Fixed texts come from a constant array."""
-    texts = [choice if isinstance(choice, str) else None for choice in choices]
-    fixed = F.get(F.array(*(F.lit(text).cast("string") for text in texts)), F.col(HIT))
-    computed = F
+def by_hit(choices: Sequence[str]) -> str:
+    """The choice the hit number points at. Fixed texts come from a constant array; hits
+    with the same SQL share a branch."""
+    fixed = [choice if isinstance(choice, Fixed) else None for choice in choices]
+    computed: dict[str, list[str]] = {}
     for place, choice in enumerate(choices):
-        if isinstance(choice, Column):
-            computed = computed.when(F.col(HIT) == place, choice)
-    if computed is F:
-        return fixed
-    return computed.otherwise(fixed) if any(text is not None for text in texts) else computed
+        if not isinstance(choice, Fixed):
+            computed.setdefault(choice, []).append(str(place))
+    constants = f"get(array({', '.join(literal(text) for text in fixed)}), {HIT})"
+    if not computed:
+        return constants
+    branches = " ".join(f"WHEN {HIT} IN ({', '.join(places)}) THEN {choice}" for choice, places in computed.items())
+    otherwise = f"ELSE {constants} " if any(text is not None for text in fixed) else ""
+    return f"CASE {branches} {otherwise}END"
 
 
 def shown_columns(options: RuleOptions) -> tuple[str, ...]:

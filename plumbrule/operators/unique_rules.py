@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrule.constants import UNIQUE
+from plumbrule.functions.text import literal
 from plumbrule.operators.row_rules import (
     PreparedColumns,
     check_rule,
@@ -38,18 +39,15 @@ def rule_keys(df: DataFrame, rules: Iterable[Rule], options: RuleOptions) -> Dat
     for rule in rules:
         name = rule.columns[0]
         key = ready.text(name)
-        counted = ~ready.missing(name) if rule.skip_null else key.isNotNull()
-        parts = [
-            F.lit(rule.rule_id).alias("rule_id"),
-            F.lit(name).alias("failed_field"),
-            key.alias("failed_value"),
-        ]
+        counted = f"NOT {ready.missing(name)}" if rule.skip_null else f"{key} IS NOT NULL"
+        parts = {"rule_id": literal(rule.rule_id), "failed_field": literal(name), "failed_value": key}
         if options.explain:
-            before, after = f"Column: {name} | Found: ", f" | Expected: {rule.description}"
-            parts.append(F.concat(F.lit(before), in_quotes(key), F.lit(after)).alias("explanation"))
-        entries.append(F.when(counted & kept_by_phase(rule, ready), F.struct(*parts)))
-    exploded = ready.apply(df).select("record_id", "phase", F.explode(F.array(*entries)).alias("v"))
-    return exploded.where(F.col("v").isNotNull()).select("record_id", "phase", "v.*")
+            before, after = literal(f"Column: {name} | Found: "), literal(f" | Expected: {rule.description}")
+            parts["explanation"] = f"concat({before}, {in_quotes(key)}, {after})"
+        struct = ", ".join(f"{literal(field)}, {value}" for field, value in parts.items())
+        entries.append(f"CASE WHEN {counted} AND {kept_by_phase(rule, ready)} THEN named_struct({struct}) END")
+    exploded = ready.apply(df).selectExpr("record_id", "phase", f"explode(array({', '.join(entries)})) AS v")
+    return exploded.where("v IS NOT NULL").select("record_id", "phase", "v.*")
 
 
 def repeated_keys(keyed: DataFrame) -> DataFrame:
