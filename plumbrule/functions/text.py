@@ -67,10 +67,9 @@ def date_of(head: str) -> str:
 
     The layouts have fixed widths and two orders, year or day first. The text is brought
     into ISO order and cast once, several times faster than a pattern parser per layout.
-    No layout has a year zero.
     """
-    year_first = "^(?!0000)[0-9]{4}(-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}$"
-    day_first = "^([0-9]{2}-[0-9]{2}-|[0-9]{2}/[0-9]{2}/)(?!0000)[0-9]{4}$"
+    year_first = "^[0-9]{4}(-[0-9]{2}-|/[0-9]{2}/)[0-9]{2}$"
+    day_first = "^([0-9]{2}-[0-9]{2}-|[0-9]{2}/[0-9]{2}/)[0-9]{4}$"
     turned = f"concat(substring({head}, 7, 4), '-', substring({head}, 4, 2), '-', substring({head}, 1, 2))"
     return (
         f"try_cast(CASE WHEN {head} RLIKE '{year_first}' THEN translate({head}, '/', '-') "

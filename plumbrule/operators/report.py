@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbrule.constants import REPORT_COLUMNS, REPORT_ORDER, SUMMARY_KEYS, UNIQUE
@@ -107,14 +107,22 @@ def rule_execution_log(
         status[rule.rule_id] = ("OK", counted.get(rule.rule_id, 0), None)
     for rule in sql_rules:
         try:
-            rows = run_sql_rule(df.sparkSession, rule, options, subject).count()
-            status[rule.rule_id] = ("OK", rows, None)
+            returned = run_sql_rule(df.sparkSession, rule, options, subject)
+            status[rule.rule_id] = ("OK", _rows_of_full_run(returned), None)
         except Exception as error:  # a user's query may fail in any way
             status[rule.rule_id] = ("ERROR", None, f"{type(error).__name__}: {error}")
     ids = [rule.rule_id for rule in (*rules, *sql_rules)]
     return _log_frame(df.sparkSession, [(rule_id, *status[rule_id]) for rule_id in ids])
 
 
+def _rows_of_full_run(df: DataFrame) -> int:
+    """Number of rows, with every column computed: a plain count would leave them out and
+    with them any error they raise."""
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+    return counted.get["rows"]
+
+
 def _log_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     types = (("rule_id", pa.string()), ("status", pa.string()), ("row_count", pa.int64()), ("error", pa.string()))
     columns = [pa.array([row[i] for row in rows], kind) for i, (_, kind) in enumerate(types)]
