@@ -34,13 +34,12 @@ _GATE = """CASE WHEN (o_orderkey*7+{i}*5)%41=0 THEN NULL
      ELSE {d} END AS {name}"""
 
 
-def _gate(i: int, name: str) -> str:
-    return _GATE.format(
-        i=i, d=_SHIFTED.format(i=i), previous=_SHIFTED.format(i=max(i - 1, 0)), name=name
-    )
+def _gate(i: int, name: str, day: str = _SHIFTED) -> str:
+    return _GATE.format(i=i, d=day.format(i=i), previous=day.format(i=max(i - 1, 0)), name=name)
 
 
-PROJECTS_SQL = f"""SELECT o_orderkey AS row_key,
+def _projects_sql(day: str, source: str) -> str:
+    return f"""SELECT o_orderkey AS row_key,
   CASE WHEN o_orderkey%211=0 THEN NULL WHEN o_orderkey%223=0 THEN '  '
        WHEN o_orderkey%97=0 THEN 'P'||CAST(o_orderkey+1 AS STRING)
        ELSE 'P'||CAST(o_orderkey AS STRING) END AS project_number,
@@ -51,8 +50,15 @@ PROJECTS_SQL = f"""SELECT o_orderkey AS row_key,
        ELSE CAST(o_custkey+1 AS STRING) END AS sanction_amount,
   CASE WHEN o_orderkey%29=0 THEN NULL WHEN o_orderkey%59=0 THEN ' '||o_orderstatus
        WHEN o_orderkey%61=0 THEN 'X' ELSE o_orderstatus END AS region,
-  {", ".join(_gate(i, name) for i, name in enumerate(GATES))}
-FROM orders"""
+  {", ".join(_gate(i, name, day) for i, name in enumerate(GATES))}
+FROM {source}"""
+
+
+PROJECTS_SQL = _projects_sql(_SHIFTED, "orders")
+
+# The same view with each shifted date computed once per row, for Spark.
+_DAYS = ", ".join(f"{_SHIFTED.format(i=i)} AS d{i}" for i in range(len(GATES)))
+PROJECTS_ONCE_SQL = _projects_sql("d{i}", f"(SELECT *, {_DAYS} FROM {{orders}}) AS dated")
 
 ACTUAL_REPORT_SQL = """SELECT 'F1' AS rule_id, coalesce(project_number,'UNKNOWN') AS record_id,
   coalesce(project_current_phase,'UNKNOWN') AS phase, 'region' AS failed_field,
@@ -152,7 +158,12 @@ def derived(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir, "orders", PROJECTS_SQL)
+    return projects_from(view(spark, sf_dir, "orders"))
+
+
+def projects_from(orders: DataFrame) -> DataFrame:
+    """The subject table of an `orders` table, batch or stream."""
+    return orders.sparkSession.sql(PROJECTS_ONCE_SQL, orders=orders)
 
 
 def actual_report(spark: SparkSession, sf_dir: str) -> DataFrame:

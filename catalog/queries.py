@@ -414,9 +414,8 @@ def stream_row_rules(spark: SparkSession, sf: str) -> DataFrame:
     path, progress = scratch_path(spark, "stream"), scratch_path(spark, "stream-progress")
     schema = fx.view(spark, sf, "orders").schema
     orders = spark.readStream.schema(schema).parquet(f"{sf}/orders.parquet*")
-    stream = spark.sql(fx.PROJECTS_SQL.replace("FROM orders", "FROM {orders}"), orders=orders)
     row_rules = [rule for rule in RULES if rule.check_type != UNIQUE]
-    found = stream_violations(stream, row_rules, OPTIONS)
+    found = stream_violations(fx.projects_from(orders), row_rules, OPTIONS)
     write_violation_stream(found, path, progress).awaitTermination()
     return spark.read.schema(found.schema).parquet(path)
 
