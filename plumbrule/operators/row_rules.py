@@ -37,7 +37,7 @@ from plumbrule.functions.text import listed, literal, quoted
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule
 
-HIT = "__hit"
+HIT, FIELD, VALUE, DAY = "__hit", "__field", "__value", "__gate_day"
 VIOLATION_COLUMNS = ("rule_id", "record_id", "phase", "failed_field", "failed_value")
 
 
@@ -107,8 +107,9 @@ def kept_by_phase(rule: Rule, ready: PreparedColumns) -> str:
 class Finding:
     """What one violation of a rule looks like, in SQL text.
 
-    The explanation is the SQL `why` between the plain texts `before` and `after`. A
-    plain text given as `field` or `value` is held apart from SQL by `Fixed`.
+    `field` and `value` (NULL shows as such) are SQL or, as `Fixed`, plain text. The
+    explanation is the SQL `why` between the plain texts `before` and `after`; it may
+    refer to the hit's VALUE, FIELD and DAY, so that findings of a kind share their code.
     """
 
     rule: Rule
@@ -118,6 +119,7 @@ class Finding:
     before: str
     why: str
     after: str = ""
+    day: str = "CAST(NULL AS DATE)"
 
 
 class Fixed(str):
@@ -128,14 +130,18 @@ class Fixed(str):
 Alternatives = list[Finding]
 
 
+def in_quotes(value: str) -> str:
+    return f"concat({literal(chr(39))}, {value}, {literal(chr(39))})"
+
+
+SHOWN = sql.shown(VALUE)
+VALUE_OR_NULL = f"coalesce({in_quotes(VALUE)}, {literal(NULL_TEXT)})"
+
+
 def column_finding(rule: Rule, condition: str, name: str, ready: PreparedColumns, found: str) -> Finding:
     """A finding about the value of a single column."""
     before, after = f"Column: {name} | Found: ", f" | Expected: {rule.description}"
-    return Finding(rule, condition, Fixed(name), ready.shown(name), before, found, after)
-
-
-def in_quotes(value: str) -> str:
-    return f"concat({literal(chr(39))}, {value}, {literal(chr(39))})"
+    return Finding(rule, condition, Fixed(name), ready.text(name), before, found, after)
 
 
 def some(conditions: Iterable[str]) -> str:
@@ -143,11 +149,14 @@ def some(conditions: Iterable[str]) -> str:
     return "(" + (" OR ".join(conditions) or "FALSE") + ")"
 
 
-def not_null_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
-    def kind(name: str) -> str:
-        return sql.kind_of_missing(ready.text(name), ready.options.sentinels)
+def joined(separator: str, parts: Iterable[str]) -> str:
+    """The parts that are not NULL, with a separator between them."""
+    return f"concat_ws({', '.join((literal(separator), *parts))})"
+
 
-    return [[column_finding(rule, ready.missing(name), name, ready, kind(name))] for name in rule.columns]
+def not_null_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
+    kind = sql.kind_of_missing(VALUE, ready.options.sentinels)
+    return [[column_finding(rule, ready.missing(name), name, ready, kind)] for name in rule.columns]
 
 
 def positive_value_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
@@ -155,7 +164,7 @@ def positive_value_findings(rule: Rule, ready: PreparedColumns) -> list[Alternat
     number, missing = ready.number(name), ready.missing(name)
     not_positive = f"({number} IS NULL OR {number} <= 0)"
     condition = f"(NOT {missing} AND {not_positive})" if rule.skip_null else f"({missing} OR {not_positive})"
-    return [[column_finding(rule, condition, name, ready, in_quotes(ready.shown(name)))]]
+    return [[column_finding(rule, condition, name, ready, in_quotes(SHOWN))]]
 
 
 def value_in_list_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
@@ -163,39 +172,60 @@ def value_in_list_findings(rule: Rule, ready: PreparedColumns) -> list[Alternati
     text, missing = ready.text(name), ready.missing(name)
     outside = f"{text} NOT IN ({listed(rule.allowed)})" if rule.allowed else f"{text} IS NOT NULL"
     condition = f"({outside} OR {missing})" if rule.flag_null else f"({outside} AND NOT {missing})"
-    found = f"coalesce({in_quotes(text)}, {literal(NULL_TEXT)})"
-    return [[column_finding(rule, condition, name, ready, found)]]
+    return [[column_finding(rule, condition, name, ready, VALUE_OR_NULL)]]
 
 
 def overdue_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     """The phase picks the gate."""
     options = ready.options
-    phase = ready.text(options.phase_column)
+    phase, today = ready.text(options.phase_column), literal(options.today())
     late_alternatives, unread_alternatives = [], []
+    days = f"concat({SHOWN}, ') is ', datediff({today}, {DAY}))"
+    after = f" days overdue, which exceeds the {rule.overdue_days}-day tolerance."
     for name, gates in rule.phase_gates:
         for gate in gates[:1]:
-            value, in_phase = ready.shown(gate), f"{phase} = {literal(name)}"
-            late = f"datediff({literal(options.today())}, {ready.day(gate)})"
-            days = f"concat({value}, ') is ', {late})"
+            in_phase, text, day = f"{phase} = {literal(name)}", ready.text(gate), ready.day(gate)
             before = f"Project is in phase '{name}'. {options.label(gate)} milestone date ("
-            after = f" days overdue, which exceeds the {rule.overdue_days}-day tolerance."
-            condition = f"({in_phase} AND {late} > {rule.overdue_days})"
-            late_alternatives.append(Finding(rule, condition, Fixed(gate), value, before, days, after))
-            unread = f"({in_phase} AND NOT {ready.missing(gate)} AND {ready.day(gate)} IS NULL)"
+            late = f"({in_phase} AND datediff({today}, {day}) > {rule.overdue_days})"
+            late_alternatives.append(Finding(rule, late, Fixed(gate), text, before, days, after, day))
             before = f"Project is in phase '{name}'. Could not parse gate date '"
-            unread_alternatives.append(Finding(rule, unread, Fixed(gate), value, before, value, "'."))
+            unread = f"({in_phase} AND NOT {ready.missing(gate)} AND {day} IS NULL)"
+            unread_alternatives.append(Finding(rule, unread, Fixed(gate), text, before, SHOWN, "'."))
     return [late_alternatives, unread_alternatives] if options.report_unparsed else [late_alternatives]
 
 
+def gate_parts(rule: Rule, phase: str, part: Callable[[str], tuple[str, str]]) -> dict[str, list[str]]:
+    """Per phase, a text for each of its gates that meets a condition, NULL for the others.
+
+    `part` gives condition and text of a gate. If all phases list their gates in one common
+    order, they share one list, in which a gate is asked for its phase.
+    """
+    phases = [name for name, _ in rule.phase_gates]
+    common = list(dict.fromkeys(gate for _, gates in rule.phase_gates for gate in gates))
+    in_order = all(gates == tuple(g for g in common if g in gates) for _, gates in rule.phase_gates)
+
+    def text(gate: str, guard: str) -> str:
+        condition, shown = part(gate)
+        return f"CASE WHEN {guard}{condition} THEN {shown} END"
+
+    if not in_order:
+        return {name: [text(gate, "") for gate in gates] for name, gates in rule.phase_gates}
+    shared = []
+    for gate in common:
+        asking = [name for name, gates in rule.phase_gates if gate in gates]
+        shared.append(text(gate, "" if len(asking) == len(phases) else f"{phase} IN ({listed(asking)}) AND "))
+    return dict.fromkeys(phases, shared)
+
+
 def completeness_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
     phase = ready.text(ready.options.phase_column)
+    parts = gate_parts(rule, phase, lambda gate: (ready.missing(gate), literal(ready.options.label(gate))))
     alternatives = []
     for name, gates in rule.phase_gates:
         condition = f"({phase} = {literal(name)} AND {some(ready.missing(gate) for gate in gates)})"
-        parts = [f"CASE WHEN {ready.missing(gate)} THEN {literal(ready.options.label(gate))} END" for gate in gates]
-        labels = f"concat_ws({', '.join((literal(', '), *parts))})"
         before = f"Missing required gates for phase '{name}': "
-        alternatives.append(Finding(rule, condition, labels, Fixed(COMPLETENESS_VALUE), before, labels))
+        labels = joined(", ", parts[name])
+        alternatives.append(Finding(rule, condition, labels, Fixed(COMPLETENESS_VALUE), before, FIELD))
     return [alternatives]
 
 
@@ -203,16 +233,17 @@ def not_future_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives
     options = ready.options
     today = literal(options.today())
     phase = ready.text(options.phase_column)
+    middle = literal(f") is in the future but should be <= today ({options.today().isoformat()}) for phase '")
+
+    def reason(gate: str) -> tuple[str, str]:
+        label, day = literal(f"{options.label(gate)} date ("), ready.day(gate)
+        return f"{day} > {today}", f"concat({label}, {day}, {middle}, {phase}, {literal(chr(39))})"
+
+    parts = gate_parts(rule, phase, reason)
     alternatives = []
     for name, gates in rule.phase_gates:
-        ahead = [f"{ready.day(gate)} > {today}" for gate in gates]
-        condition = f"({phase} = {literal(name)} AND {some(ahead)})"
-        tail = f") is in the future but should be <= today ({options.today().isoformat()}) for phase '{name}'"
-        reasons = [
-            f"CASE WHEN {is_ahead} THEN concat({literal(f'{options.label(gate)} date (')}, {ready.day(gate)}, {literal(tail)}) END"
-            for gate, is_ahead in zip(gates, ahead)
-        ]
-        why = f"concat_ws({', '.join((literal('; '), *reasons))})"
+        condition = f"({phase} = {literal(name)} AND {some(f'{ready.day(gate)} > {today}' for gate in gates)})"
+        why = joined("; ", parts[name])
         alternatives.append(Finding(rule, condition, Fixed(FUTURE_FIELD), Fixed(SEE_EXPLANATION), "", why))
     return [alternatives]
 
@@ -227,8 +258,7 @@ def sequence_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
         reasons.append(
             f"CASE WHEN {out_of_order} THEN concat({first}, {ready.day(later)}, {second}, {ready.day(earlier)}, ')') END"
         )
-    why = f"concat_ws({', '.join((literal('; '), *reasons))})"
-    return [[Finding(rule, some(wrong), Fixed(SEQUENCE_FIELD), Fixed(SEE_EXPLANATION), "", why)]]
+    return [[Finding(rule, some(wrong), Fixed(SEQUENCE_FIELD), Fixed(SEE_EXPLANATION), "", joined("; ", reasons))]]
 
 
 FINDING_BUILDERS: dict[str, Callable[[Rule, PreparedColumns], list[Alternatives]]] = {
@@ -286,18 +316,24 @@ def row_violations(df: DataFrame, rules: Iterable[Rule], options: RuleOptions =
             branches.append(f"WHEN {condition} THEN {len(findings)}")
             findings.append(finding)
         hits.append(f"CASE {' '.join(branches)} END")
-    found = ready.apply(df).selectExpr("*", f"explode(array({', '.join(hits)})) AS {HIT}")
+    exploded = ready.apply(df).selectExpr("*", f"explode(array({', '.join(hits)})) AS {HIT}")
+    details = {
+        FIELD: by_hit([finding.field for finding in findings]),
+        VALUE: by_hit([finding.value for finding in findings]),
+        DAY: by_hit([finding.day for finding in findings]),
+    }
+    found = exploded.where(f"{HIT} IS NOT NULL").selectExpr("*", *_named(details))
     shown = {
         "rule_id": by_hit([Fixed(finding.rule.rule_id) for finding in findings]),
         "record_id": "record_id",
         "phase": "phase",
-        "failed_field": by_hit([finding.field for finding in findings]),
-        "failed_value": by_hit([finding.value for finding in findings]),
+        "failed_field": FIELD,
+        "failed_value": SHOWN,
         "explanation": f"""concat({by_hit([Fixed(finding.before) for finding in findings])},
             {by_hit([finding.why for finding in findings])},
             {by_hit([Fixed(finding.after) for finding in findings])})""",
     }
-    return found.where(f"{HIT} IS NOT NULL").selectExpr(*(f"{shown[n]} AS {n}" for n in shown_columns(options)))
+    return found.selectExpr(*(f"{shown[name]} AS {name}" for name in shown_columns(options)))
 
 
 def by_hit(choices: Sequence[str]) -> str:
