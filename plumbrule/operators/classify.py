@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,10 +43,12 @@ def rounded_class(probability: ColumnOrName) -> Column:
 
 def score_batch(df: DataFrame, model: LogisticRegressionModel, values: str) -> DataFrame:
     """`df` with the `probability` of class 1 and the `prediction` it rounds to."""
-    model.setProbabilityCol("__probability").setRawPredictionCol("").setPredictionCol("")
-    scored = model.transform(with_features(df, values))
-    probability = vector_to_array("__probability")[1]
-    scored = scored.withColumn("probability", probability).drop("__probability", FEATURES)
+    # The weights enter as one constant, so nothing but expressions is sent to the executors
+    # and the model, with the summary of its fit, stays on the driver.
+    weights = F.from_json(F.lit(json.dumps([float(w) for w in model.coefficients])), "array<double>")
+    products = F.zip_with(column(values), weights, lambda x, w: x.cast("double") * w)
+    margin = F.aggregate(products, F.lit(0.0), lambda total, product: total + product) + F.lit(float(model.intercept))
+    scored = df.withColumn("probability", 1 / (1 + F.exp(-margin)))
     return scored.withColumn("prediction", rounded_class("probability"))
 
 
