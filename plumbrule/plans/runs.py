@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -98,7 +98,7 @@ def audit_report(
     """
     spark = table.sparkSession
     truth_path = truth_path or scratch_path(spark, "truth")
-    expected = all_violations(table, rules, options)
+    expected = all_violations(table, rules, replace(options, explain=False))
     compared(expected).write.mode("overwrite").parquet(truth_path)
     truth, actual = spark.read.parquet(truth_path), compared(report)
     comparison = compare_counts(truth, actual, rules)
