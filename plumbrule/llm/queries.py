@@ -7,21 +7,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbrule.llm.common import table
+from plumbrule.llm.decontaminate import decontamination_report
+from plumbrule.llm.licenses import license_report
 from plumbrule.llm.mixing import mix
+from plumbrule.llm.near_dups import near_duplicates
+from plumbrule.llm.secrets import secret_report
 from plumbrule.llm.sharding import shard_documents
+from plumbrule.llm.toxicity import score_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_report(table(spark, sf_dir, "documents"))
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_near_dups": op2_near_dups,
     "op3_mix_sources": op3_mix_sources,
+    "op4_secrets": op4_secrets,
+    "op5_toxicity": op5_toxicity,
+    "op6_decontaminate": op6_decontaminate,
+    "op9_licenses": op9_licenses,
     "op10_shard": op10_shard,
 }
