@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbrule.llm.common import table
 from plumbrule.llm.decontaminate import decontamination_report
 from plumbrule.llm.licenses import license_report
+from plumbrule.llm.main_text import extract_main_text
 from plumbrule.llm.mixing import mix
 from plumbrule.llm.near_dups import near_duplicates
+from plumbrule.llm.neighbours import nearest_neighbours
 from plumbrule.llm.secrets import secret_report
 from plumbrule.llm.sharding import shard_documents
 from plumbrule.llm.toxicity import score_documents
@@ -38,6 +40,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +62,8 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_decontaminate": op6_decontaminate,
+    "op7_nearest": op7_nearest,
+    "op8_main_text": op8_main_text,
     "op9_licenses": op9_licenses,
     "op10_shard": op10_shard,
 }

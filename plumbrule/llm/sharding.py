@@ -31,6 +31,12 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return F.array_min(F.array(*(F.struct(draw(key, s, w).alias("draw"), F.lit(s).alias("shard")) for s, w in enumerate(weights))))
 
 
+def with_shard(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS) -> DataFrame:
+    """`docs` and the column `shard` of each row, without a shuffle; a NULL doc_id is one key of its own."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return docs.withColumn("shard", rendezvous(key, weights)["shard"])
+
+
 def shard_documents(docs: DataFrame, weights: Sequence[float] = (1.0,) * SHARDS, grown_weight: float = 1.0) -> DataFrame:
     """One row per row of `docs`: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
