@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbrule.llm.common import table
 from plumbrule.llm.decontaminate import decontamination_report
 from plumbrule.llm.licenses import license_report
+from plumbrule.llm.line_dedup import remove_lines
 from plumbrule.llm.main_text import extract_main_text
 from plumbrule.llm.mixing import mix
 from plumbrule.llm.near_dups import near_duplicates
@@ -20,6 +21,10 @@ from plumbrule.llm.toxicity import score_documents
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_near_dups": op2_near_dups,
     "op3_mix_sources": op3_mix_sources,
     "op4_secrets": op4_secrets,
