@@ -13,6 +13,7 @@ the tasks are bounded by that sample's vocabulary.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,23 +60,29 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> pd.
 
 def fit(sample: pd.DataFrame, rounds: int = ROUNDS, rate: float = RATE, decay: float = DECAY) -> tuple[float, dict[str, float]]:
     """Bias and word weights, by Adam on the whole sample; the same for the same sample."""
-    split = [[set(words) for _, _, words in sentences(text)] for text in sample["text"]]
-    seen: dict[str, int] = {}
-    for doc in split:
-        for word in set().union(*doc):
-            seen[word] = seen.get(word, 0) + 1
-    vocabulary = {word: i for i, word in enumerate(sorted(word for word, n in seen.items() if n >= MIN_TEXTS))}
-    word, owner, doc_of = [], [], []
-    for d, doc in enumerate(split):
-        for bag in doc:
-            for w in sorted(bag):
-                if w in vocabulary:
-                    word.append(vocabulary[w])
-                    owner.append(len(doc_of))
+    known: dict[str, int] = {}
+    seen, last = array("i"), array("i")
+    word, owner, doc_of = array("i"), array("i"), array("i")
+    for d, text in enumerate(sample["text"]):
+        for _, _, words in sentences(text):
+            for w in sorted(set(words)):
+                i = known.setdefault(w, len(known))
+                if i == len(seen):
+                    seen.append(0)
+                    last.append(-1)
+                if last[i] != d:
+                    seen[i], last[i] = seen[i] + 1, d
+                word.append(i)
+                owner.append(len(doc_of))
             doc_of.append(d)
-    word, owner, doc_of = np.array(word, np.int64), np.array(owner, np.int64), np.array(doc_of, np.int64)
+    often = np.frombuffer(seen, np.int32) >= MIN_TEXTS if seen else np.zeros(0, bool)
+    place = np.cumsum(often) - 1
+    vocabulary = {w: int(place[i]) for w, i in known.items() if often[i]}
+    word, owner, doc_of = (np.array(x, np.int32) for x in (word, owner, doc_of))
+    kept = often[word] if len(word) else np.zeros(0, bool)
+    word, owner = place[word[kept]], owner[kept]
     toxic = sample["toxic"].to_numpy() > 0
-    docs, size = max(len(split), 1), len(vocabulary)
+    docs, size = max(len(sample), 1), len(vocabulary)
     weights, bias = np.zeros(size), -5.0
     moments = np.zeros((2, size + 1))
     for step in range(1, rounds + 1 if len(doc_of) else 1):
