@@ -28,7 +28,7 @@ FOLDS = 5
 MIN_TEXTS = 6  # texts of the sample in which a feature must occur
 ROUNDS = 200
 RATE = 0.1
-DECAY = 1e-3
+DECAY = 1e-2
 THRESHOLD = 0.5
 SENTENCE = re.compile(r"[^.!?\n。！？]+")
 TOKEN = re.compile(r"\w+")
