@@ -79,7 +79,7 @@ def date_of(head: str) -> str:
 
 def number_of(source: str) -> str:
     """Number or NULL, never an error."""
-    return f"try_cast({source} AS DOUBLE)"
+    return f"try_cast(CAST({source} AS STRING) AS DOUBLE)"
 
 
 def shown(text: str) -> str:

@@ -49,8 +49,11 @@ def violation_report(
 
     The rules come from a file on the driver, so the broadcast side has its size.
     """
+    rules = list(rules)
+    if len({rule.rule_id for rule in rules}) < len(rules):
+        raise ValueError("two rules have the same id")
     described = rules_table(violations.sparkSession, rules).drop("check_type")
-    joined = violations.join(F.broadcast(described), "rule_id")
+    joined = violations.join(F.broadcast(described), "rule_id", "left")
     stamped = joined.withColumns({"run_id": F.lit(run_id), "timestamp": F.lit(timestamp)})
     return stamped.select(*REPORT_COLUMNS)
 

@@ -14,7 +14,6 @@ from plumbrule.operators.reconcile import (
     compared,
     false_negatives,
     false_positives,
-    mismatch_sample,
     mismatch_summary,
     summary_check,
 )
@@ -107,6 +106,6 @@ def audit_report(
         comparison=comparison,
         mismatches=mismatch_summary(truth, actual, rules),
         summary=summary_check(comparison, saved_summary),
-        missed=mismatch_sample(false_negatives(truth, actual)),
-        invented=mismatch_sample(false_positives(truth, actual)),
+        missed=false_negatives(truth, actual),
+        invented=false_positives(truth, actual),
     )
