@@ -4,10 +4,11 @@ A document is the set of its distinct shingles, hashed to 64 bits; documents wit
 class from the start. Every class has a signature of minwise tokens. A tree begins with a
 node of all classes; a node picks `BRANCHES` positions of the signature by its own hash, and each class goes to
 one child per position, named by the minwise token there. Nodes of up to `LEAF` classes are compared exhaustively by their
-sketches. Larger ones compare all classes with one of them, and branch on unless all their classes are
-known to be connected, for then nothing below can change a component. A pair at the threshold t meets at the end of a tree
+sketches. Larger ones compare all classes with `PIVOTS` of them. If up to `LEAF` classes are then outside the node's largest known
+component, these are compared with all classes of the node and it ends there: what is connected already cannot change a
+component. Other nodes branch on. A pair at the threshold t meets at the end of a tree
 with a chance q = 1 - (1 - t * q) ** BRANCHES, 0.97 for t = 0.85 and two branches; `TREES` independent trees miss fewer than one in a
-million. Nodes that are still large after `DEPTH` levels are compared exhaustively between their components.
+million. Nodes that would branch on after `DEPTH` levels end in the same way, however many classes are outside.
 
 Candidates are confirmed on full sets, made anew from the texts of just those classes: first one
 edge per class, to its least partner, then the edges between components that this left apart.
@@ -22,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,7 +40,8 @@ POSITIONS = 128
 TREES = 4
 BRANCHES = 2
 LEAF = 256
-DEPTH = 24
+DEPTH = 12
+PIVOTS = 16
 # Sketches of linked sets agree in fewer places with a chance below 1e-8.
 SLACK = 0.2
 CACHE_WORDS = 1_000_000
@@ -163,6 +166,33 @@ def pivot_pairs(pairs: DataFrame, least: int) -> DataFrame:
     return pairs.mapInPandas(compared, "a string, b string")
 
 
+def outside_pairs(rows: DataFrame, nodes: DataFrame, leaf: int, least: int) -> DataFrame:
+    """(a, b), a < b, of near classes in different components of a node.
+
+    `rows` has (node, class, signature, component), `nodes` (node, size, main). Classes outside the component `main` meet
+    all classes of the node, block by block of about `leaf` classes.
+    """
+    blocked = rows.join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / leaf)))
+    member = F.collect_list(F.struct("class", "signature", "component"))
+    every = blocked.groupBy("node", "block").agg(member.alias("members"))
+    outside = blocked.filter("component <> main").groupBy("node", F.col("block").alias("other")).agg(member.alias("others"))
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            firsts, seconds = [], []
+            for members, others in zip(batch["members"], batch["others"], strict=True):
+                sketch = sketched([m["signature"] for m in members])
+                for other in others:
+                    for j in np.flatnonzero((sketch == sketched([other["signature"]])).sum(1) >= least):
+                        if members[j]["component"] != other["component"]:
+                            a, b = sorted((members[j]["class"], other["class"]))
+                            firsts.append(a)
+                            seconds.append(b)
+            yield pd.DataFrame({"a": firsts, "b": seconds}, dtype=object)
+
+    return every.join(outside, "node").select("members", "others").mapInPandas(compared, "a string, b string")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(class, component): the least class reachable, for every class that has a link.
 
@@ -171,15 +201,38 @@ def components(links: DataFrame) -> DataFrame:
     edges = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
     labels = stage(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "class"), "labels")
     while True:
-        heard = edges.join(labels, edges["b"] == labels["class"]).select(F.col("a").alias("class"), "component")
-        nearest = labels.unionByName(heard).groupBy("class").agg(F.min("component").alias("component"))
+        own = labels.select("class", "component", F.col("component").alias("before"))
+        heard = edges.join(labels, edges["b"] == labels["class"]).select(F.col("a").alias("class"), "component", F.lit(None).cast("string").alias("before"))
+        nearest = own.unionByName(heard).groupBy("class").agg(F.min("component").alias("component"), F.max("before").alias("before"))
         nearest = stage(nearest, "nearest")
+        if not nearest.filter("component <> before").head(1):
+            return labels
         jump = nearest.select(F.col("class").alias("component"), F.col("component").alias("further"))
-        moved = stage(nearest.join(jump, "component").select("class", F.col("further").alias("component")), "labels")
-        before = labels.select("class", F.col("component").alias("before"))
-        if not moved.join(before, "class").filter(F.col("component") != F.col("before")).head(1):
-            return moved
-        labels = moved
+        labels = stage(nearest.join(jump, "component").select("class", F.col("further").alias("component")), "labels")
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """`labels` with the components that further links, given between classes of any label, bring together.
+
+    Only the links between different labels are followed, so that a round costs what it adds.
+    """
+    if labels is None:
+        return components(links)
+    between = stage(relabelled(links, labels), "between")
+    roots = components(between).select(F.col("class").alias("component"), F.col("component").alias("root"))
+    ends = between.select(F.col("a").alias("class")).union(between.select(F.col("b").alias("class"))).distinct()
+    every = labels.unionByName(ends.join(labels, "class", "left_anti").select("class", F.col("class").alias("component")))
+    return stage(every.join(roots, "component", "left").select("class", F.coalesce("root", "component").alias("component")), "merged")
+
+
+def relabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs of labels that `pairs` join, those that are one label left out."""
+    found = pairs
+    for end in ("a", "b"):
+        named = labels.select(F.col("class").alias(end), F.col("component").alias(f"__{end}"))
+        found = found.join(named, end, "left")
+    ends = found.select(F.coalesce("__a", "a").alias("a"), F.coalesce("__b", "b").alias("b"))
+    return ends.filter("a <> b").distinct()
 
 
 def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -230,46 +283,53 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     classes = stage(found, "classes")
     signed = classes.select("class", "signature")
     members = stage(children(signed.withColumn("node", F.lit(0).cast("long")), BRANCHES, trees), "members")
-    links: DataFrame | None = None
     labels: DataFrame | None = None
+    leaves: list[DataFrame] = []
 
     def learn(pairs: DataFrame) -> None:
-        nonlocal links, labels
-        if not pairs.head(1):
-            return
-        more = stage(confirmed(docs, classes, pairs, shingle, percent), "links")
-        if more.head(1):
-            links = more if links is None else links.union(more)
-            labels = components(links)
+        nonlocal labels
+        if pairs.head(1):
+            more = stage(confirmed(docs, classes, pairs, shingle, percent), "links")
+            if more.head(1):
+                labels = merged(labels, more)
+
+    def learn_all(pairs: DataFrame) -> None:
+        """First one pair per class, then those that are still apart."""
+        pairs = stage(apart(pairs, labels), "pairs")
+        learn(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        learn(stage(apart(pairs, labels), "rest") if labels is not None else pairs)
 
     for depth in range(DEPTH + 1):
-        sizes = stage(members.groupBy("node").agg(F.count("*").alias("size"), F.min("class").alias("pivot")).filter("size > 1"), "nodes")
+        sizes = members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
         held = stage(members.join(sizes, "node").join(signed, "class"), "held")
         small = held.filter(F.col("size") <= leaf).groupBy("node").agg(F.collect_list(F.struct("class", "signature")).alias("members"))
+        # What leaves hold decides nothing about larger nodes and is confirmed once, at the end.
+        leaves.append(stage(leaf_pairs(small.select("members"), least).distinct(), "leaves"))
         large = held.filter(F.col("size") > leaf)
-        pivots = signed.select(F.col("class").alias("pivot"), F.col("signature").alias("left"))
-        starred = large.filter("class <> pivot").select("pivot", F.col("class").alias("b"), F.col("signature").alias("right")).distinct()
-        starred = starred.join(pivots, "pivot").select(F.col("pivot").alias("a"), "b", "left", "right")
-        pairs = leaf_pairs(small.select("members"), least).union(pivot_pairs(starred, least))
-        pairs = stage(apart(pairs.distinct(), labels), "pairs")
-        learn(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        learn(stage(apart(pairs, labels), "rest") if labels is not None else pairs)
+        if not large.head(1):
+            break
+        spread = F.pmod(F.xxhash64("class", "node"), F.lit(PIVOTS))
+        pivots = large.groupBy("node", spread.alias("spread")).agg(F.min_by(F.struct("class", "signature"), "class").alias("pivot"))
+        starred = large.select("node", F.col("class").alias("b"), F.col("signature").alias("right"))
+        starred = starred.join(pivots, "node").select(F.col("pivot.class").alias("a"), "b", F.col("pivot.signature").alias("left"), "right")
+        found = pivot_pairs(starred.filter("a <> b"), least)
+        learn_all(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         named = large.select("node", "class", "signature")
         if labels is None:
             named = named.withColumn("component", F.col("class"))
         else:
             named = named.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        mixed_nodes = named.groupBy("node").agg(F.min("component").alias("__lo"), F.max("component").alias("__hi")).filter("__lo <> __hi")
-        open_rows = stage(named.join(mixed_nodes.select("node"), "node"), "open")
-        if not open_rows.head(1):
-            break
-        if depth == DEPTH:
-            left = open_rows.select("node", F.col("class").alias("a"), F.col("signature").alias("left"), F.col("component").alias("ca"))
-            right = open_rows.select("node", F.col("class").alias("b"), F.col("signature").alias("right"), F.col("component").alias("cb"))
-            crossed = left.join(right, "node").filter("a < b AND ca <> cb").select("a", "b", "left", "right")
-            learn(stage(pivot_pairs(crossed, least).distinct(), "last"))
+        named = stage(named, "named")
+        shares = named.groupBy("node", "component").agg(F.count("*").alias("n"))
+        shares = shares.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", "n").alias("main"))
+        shares = stage(shares.filter("most < size"), "shares")
+        ends = F.lit(depth == DEPTH) | (F.col("size") - F.col("most") <= leaf)
+        leaves.append(stage(outside_pairs(named, shares.filter(ends).select("node", "size", "main"), leaf, least).distinct(), "outside"))
+        open_rows = named.join(shares.filter(~ends).select("node"), "node")
+        if depth == DEPTH or not shares.filter(~ends).head(1):
             break
         members = stage(children(open_rows.select("node", "class", "signature"), BRANCHES), "members")
+    learn_all(reduce(DataFrame.union, leaves).distinct())
 
     least_ids = classes.select("class", "least_id")
     if labels is not None:
