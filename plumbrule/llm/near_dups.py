@@ -45,6 +45,7 @@ PIVOTS = 16
 # Sketches of linked sets agree in fewer places with a chance below 1e-8.
 SLACK = 0.2
 CACHE_WORDS = 1_000_000
+SLICE = 128  # shingles hashed at once for all positions
 SIGNATURES = "doc_id long, class string, n_shingles long, signature binary"
 UPPER = {i: i + 32 for i in range(65, 91)}
 SPLIT = re.compile(WORD)
@@ -88,12 +89,14 @@ def class_of(shingles: np.ndarray) -> str:
 
 
 def minwise(shingles: np.ndarray, seeds: np.ndarray) -> bytes:
-    """The upper halves of the least hash per seed."""
+    """The upper halves of the least hash per seed, in slices that stay in the processor's cache."""
     least = np.full(len(seeds), np.iinfo(np.uint64).max)
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at : at + 4096]
-        for i, seed in enumerate(seeds):
-            least[i] = min(least[i], ((part ^ seed) * np.uint64(0xD6E8FEB86659FD93) ^ (part >> np.uint64(29))).min())
+    for at in range(0, len(shingles), SLICE):
+        part = shingles[at : at + SLICE, None]
+        hashes = part ^ seeds
+        hashes *= np.uint64(0xD6E8FEB86659FD93)
+        hashes ^= part >> np.uint64(29)
+        np.minimum(least, hashes.min(0), out=least)
     return (mixed(least) >> np.uint64(32)).astype("<u4").tobytes()
 
 
