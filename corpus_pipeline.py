@@ -20,6 +20,8 @@ from plumbrule.llm.sharding import with_shard
 from plumbrule.llm.toxicity import THRESHOLD, toxicity_scorer
 from plumbrule.workspace import broadcast_if_small
 
+SIMILAR = 80  # percent of word shingles that near copies share in a corpus; op2 has its own contract
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -31,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group; of rows that repeat id and text, one. Texts without words all stay."""
-    found = stage(near_duplicates(docs), "duplicates")
+    found = stage(near_duplicates(docs, percent=SIMILAR), "duplicates")
     class_rows = found.filter("class IS NOT NULL").groupBy("doc_id", "class").agg(F.count("*").alias("__n"), F.first("kept").alias("__kept"))
     gone = broadcast_if_small(class_rows.filter("NOT __kept").select(F.col("doc_id").alias("__id")).distinct())
     left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti")

@@ -7,8 +7,8 @@ one child per position, named by the minwise token there. Nodes of up to `LEAF`
 sketches. Larger ones compare all classes with `PIVOTS` of them. If up to `LEAF` classes are then outside the node's largest known
 component, these are compared with all classes of the node and it ends there: what is connected already cannot change a
 component. Other nodes branch on. A pair at the threshold t meets at the end of a tree
-with a chance q = 1 - (1 - t * q) ** BRANCHES, 0.97 for t = 0.85 and two branches; `TREES` independent trees miss fewer than one in a
-million. Nodes that would branch on after `DEPTH` levels end in the same way, however many classes are outside.
+with a chance q = 1 - (1 - t * q) ** BRANCHES: 0.97 for t = 0.85 and two branches, 0.94 for t = 0.80. There are as many independent
+trees as miss fewer than `MISSED` of the pairs at the threshold: four at 0.85, five at 0.80. Nodes that would branch on after `DEPTH` levels end in the same way, however many classes are outside.
 
 Candidates are confirmed on full sets, made anew from the texts of just those classes: first one
 edge per class, to its least partner, then the edges between components that this left apart.
@@ -21,6 +21,7 @@ to the shared folder, so a lost executor costs only a part of a level.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -37,12 +38,12 @@ from plumbrule.workspace import broadcast_if_small
 SHINGLE = 5
 PERCENT = 85  # links: 100 * intersection >= PERCENT * union
 POSITIONS = 128
-TREES = 4
+MISSED = 1e-6
 BRANCHES = 2
 LEAF = 256
 DEPTH = 12
 PIVOTS = 16
-# Sketches of linked sets agree in fewer places with a chance below 1e-8.
+# Sketches of linked sets agree in fewer places with a chance below 1e-8 at 85 percent and 3e-8 at 80.
 SLACK = 0.2
 CACHE_WORDS = 1_000_000
 SLICE = 128  # shingles hashed at once for all positions
@@ -118,6 +119,14 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(made, SIGNATURES)
 
 
+def trees_for(percent: int) -> int:
+    """Independent trees that together miss a pair at the threshold with a chance below MISSED."""
+    met = 1.0
+    for _ in range(DEPTH):
+        met = 1 - (1 - percent / 100 * met) ** BRANCHES
+    return 1 if met >= 1 else max(1, math.ceil(math.log(MISSED) / math.log1p(-met)))
+
+
 def token_at(position: Column) -> Column:
     return F.substring(F.col("signature"), position * 4 + 1, 4)
 
@@ -273,14 +282,15 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: in
     return both.filter(100 * shared.cast("long") >= percent * union.cast("long")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id, kept, class.
 
     `docs` needs doc_id and text; further columns are ignored. NULL and empty texts and those without words have no
     class and are linked with nothing. `component_id` is the smallest doc_id reachable; rows that repeat a doc_id share
-    `kept`. NULL ids never are the smallest while there is another, and a row with one is kept if alone in its component.
+    `kept`. Without `trees`, the threshold decides how many there are. NULL ids never are the smallest while there is another, and a row with one is kept if alone in its component.
     """
-    least = int(POSITIONS * (percent / 100 - SLACK))
+    trees = trees_for(percent) if trees is None else trees
+    least = max(1, int(POSITIONS * (percent / 100 - SLACK)))
     rows = stage(signatures(docs, shingle), "signatures")
     found = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.min("signature").alias("signature"))
     classes = stage(found, "classes")

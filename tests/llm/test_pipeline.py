@@ -6,7 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 from plumbrule.llm.mixing import mix
-from plumbrule.llm.near_dups import near_duplicates
+from plumbrule.llm.near_dups import near_duplicates, trees_for
 from plumbrule.llm.sharding import shard_documents
 from plumbrule.llm.toxicity import score_documents
 
@@ -40,3 +40,13 @@ def test_empty_documents_pass_through(spark):
     for step in STEPS.values():
         docs = step(spark, docs, SF)
     assert docs.count() == 0 and "shard" in docs.columns
+
+
+def test_near_copies_of_four_fifths_are_one_group(spark):
+    words = [f"w{i}" for i in range(104)]
+    # 100 shingles; the copy loses 10 at its end and gets 10 others: 90 of 110, 0.818
+    copy = words[:-10] + [f"v{i}" for i in range(10)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(copy))], "doc_id long, text string")
+    assert [r.doc_id for r in STEPS["near_duplicates"](spark, docs, SF).collect()] == [1]
+    assert sum(r.kept for r in near_duplicates(docs).collect()) == 2
+    assert (trees_for(85), trees_for(80)) == (4, 5)
