@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from plumbrule.llm.common import WORD, stage, table
 from plumbrule.llm.decontaminate import without_contaminated
 from plumbrule.llm.mixing import mix
-from plumbrule.llm.near_dups import near_duplicates
+from plumbrule.llm.near_dups import near_groups
 from plumbrule.llm.sharding import with_shard
 from plumbrule.llm.toxicity import THRESHOLD, toxicity_scorer
 from plumbrule.workspace import broadcast_if_small
@@ -32,18 +32,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows that repeat id and text, one. Texts without words all stay."""
-    found = stage(near_duplicates(docs, percent=SIMILAR), "duplicates")
-    class_rows = found.filter("class IS NOT NULL").groupBy("doc_id", "class").agg(F.count("*").alias("__n"), F.first("kept").alias("__kept"))
-    gone = broadcast_if_small(class_rows.filter("NOT __kept").select(F.col("doc_id").alias("__id")).distinct())
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti")
-    again = stage(class_rows.filter("__n > 1 AND __kept").select(F.col("doc_id").alias("__id")).distinct(), "repeated")
+    """One document of each group: the smallest id, NULL last, of rows with that id the least md5. Texts without words all stay.
+
+    Rows go by id and text: other texts of an id that is repeated or NULL are none of a group's business.
+    """
+    found = stage(near_groups(docs, percent=SIMILAR), "duplicates").filter("class IS NOT NULL")
+    rows = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("__n"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    rows = stage(rows.withColumn("__rank", rank), "group_rows")
+    rows = rows.join(rows.groupBy("group").agg(F.min("__rank").alias("__first")), "group")
+    rows = rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__n", (F.col("__rank") == F.col("__first")).alias("__kept"))
+    rows = stage(rows, "fates")
+    keyed = docs.withColumn("__text", F.md5("text"))
+
+    def those(frame: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+        return frame.join(chosen, (F.col("__text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")), how)
+
+    left = those(keyed, broadcast_if_small(rows.filter("NOT __kept").select("__id", "__key")), "left_anti")
+    again = rows.filter("__n > 1 AND __kept").select("__id", "__key")
     if not again.head(1):
-        return left
+        return left.drop("__text")
     again = broadcast_if_small(again)
-    repeats = left["doc_id"].eqNullSafe(again["__id"])
-    one_each = left.join(again, repeats, "left_semi").withColumn("__text", F.md5("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
-    return left.join(again, repeats, "left_anti").unionByName(one_each)
+    one_each = those(left, again, "left_semi").dropDuplicates(["doc_id", "__text"])
+    return those(left, again, "left_anti").unionByName(one_each).drop("__text")
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,7 +47,7 @@ PIVOTS = 16
 SLACK = 0.2
 CACHE_WORDS = 1_000_000
 SLICE = 128  # shingles hashed at once for all positions
-SIGNATURES = "doc_id long, class string, n_shingles long, signature binary"
+SIGNATURES = "doc_id long, text_key string, class string, n_shingles long, signature binary"
 UPPER = {i: i + 32 for i in range(65, 91)}
 SPLIT = re.compile(WORD)
 
@@ -102,7 +102,7 @@ def minwise(shingles: np.ndarray, seeds: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, class, n_shingles, signature) per row of `docs`; texts without words have no class."""
+    """(doc_id, text_key, class, n_shingles, signature) per row of `docs`, text_key the text's md5; texts without words have no class."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles_of = Shingler(shingle)
@@ -114,9 +114,10 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 rows.append((class_of(own), len(own), minwise(own, seeds)) if len(own) else (None, 0, None))
             out = pd.DataFrame(rows, columns=["class", "n_shingles", "signature"])
             out.insert(0, "doc_id", batch["doc_id"].array)
+            out.insert(1, "text_key", batch["text_key"].array)
             yield out
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(made, SIGNATURES)
+    return docs.select(F.col("doc_id").cast("long"), "text", F.md5("text").alias("text_key")).mapInPandas(made, SIGNATURES)
 
 
 def trees_for(percent: int) -> int:
@@ -282,12 +283,11 @@ def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: in
     return both.filter(100 * shared.cast("long") >= percent * union.cast("long")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept, class.
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
+    """One row per row of `docs`: doc_id, text_key, n_shingles, class, group, least_id.
 
-    `docs` needs doc_id and text; further columns are ignored. NULL and empty texts and those without words have no
-    class and are linked with nothing. `component_id` is the smallest doc_id reachable; rows that repeat a doc_id share
-    `kept`. Without `trees`, the threshold decides how many there are. NULL ids never are the smallest while there is another, and a row with one is kept if alone in its component.
+    `group` is the least class of a component, and `least_id` its smallest doc_id; both are NULL for texts without words. Unlike
+    `least_id`, `group` tells components apart where a doc_id is repeated or NULL.
     """
     trees = trees_for(percent) if trees is None else trees
     least = max(1, int(POSITIONS * (percent / 100 - SLACK)))
@@ -344,12 +344,22 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         members = stage(children(open_rows.select("node", "class", "signature"), BRANCHES), "members")
     learn_all(reduce(DataFrame.union, leaves).distinct())
 
-    least_ids = classes.select("class", "least_id")
+    least_ids = classes.select("class", "least_id").withColumn("group", F.col("class"))
     if labels is not None:
-        joined = stage(least_ids.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class")), "joined")
-        smallest = joined.groupBy("component").agg(F.min("least_id").alias("least_id"))
-        least_ids = joined.select("class", "component").join(smallest, "component").select("class", "least_id")
-    out = rows.select("doc_id", "n_shingles", "class").join(least_ids, "class", "left")
+        joined = stage(classes.select("class", "least_id").join(labels, "class", "left").withColumn("group", F.coalesce("component", "class")), "joined")
+        smallest = joined.groupBy("group").agg(F.min("least_id").alias("least_id"))
+        least_ids = joined.select("class", "group").join(smallest, "group").select("class", "group", "least_id")
+    return rows.select("doc_id", "text_key", "n_shingles", "class").join(least_ids, "class", "left")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept, class.
+
+    `docs` needs doc_id and text; further columns are ignored. NULL and empty texts and those without words have no
+    class and are linked with nothing. `component_id` is the smallest doc_id reachable; rows that repeat a doc_id share
+    `kept`. Without `trees`, the threshold decides how many there are. NULL ids never are the smallest while there is another, and a row with one is kept if alone in its component.
+    """
+    out = near_groups(docs, shingle, percent, trees, leaf)
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
     out = out.withColumn("component_id", component)
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class")

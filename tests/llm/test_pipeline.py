@@ -50,3 +50,13 @@ def test_near_copies_of_four_fifths_are_one_group(spark):
     assert [r.doc_id for r in STEPS["near_duplicates"](spark, docs, SF).collect()] == [1]
     assert sum(r.kept for r in near_duplicates(docs).collect()) == 2
     assert (trees_for(85), trees_for(80)) == (4, 5)
+
+
+def test_rows_of_a_duplicate_go_by_id_and_text(spark):
+    a, b, c, d = (" ".join(f"{name}{i}" for i in range(30)) for name in "abcd")
+    rows = [(1, a), (None, a), (None, b), (2, a), (2, c), (3, d), (3, f"{d} more"), (None, None), (4, c), (None, b.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r.doc_id, r.text) for r in STEPS["near_duplicates"](spark, docs, SF).collect())
+    # One text of a and b's, c's and d's groups each; a NULL id and a repeated one keep their other texts.
+    assert sum(got.values()) == 5 and got[1, a] == got[2, c] == got[None, None] == 1
+    assert got[None, b] + got[None, b.upper()] == 1 and got[3, d] + got[3, f"{d} more"] == 1
