@@ -70,6 +70,28 @@ def test_decontamination_finds_passages_and_changed_slots(spark):
     assert decontamination_report(docs_of(spark, []), bench).count() == 0
 
 
+def test_decontamination_finds_shifted_partial_and_short_items(spark, words):
+    item = words[:40]
+    story = "John Smith buys 3 kg of pears at noon. John Smith sells 2 pears to a friend of the shop and John Smith goes home with what is left of it"
+    bench = [(1, " ".join(item)), (2, story), (3, "who wrote the old green book"), (4, "add 2 and 3")]
+    texts = [
+        (1, " ".join([*words[200:210], *item[:20], "extra", *item[20:], *words[210:220]])),
+        (2, " ".join([*item[:20], *item[21:]])),
+        (3, " ".join([*words[200:230], *item[10:30], *words[230:260]])),
+        (4, story.replace("John Smith", "Maria").replace("3 kg", "1 200 kg")),
+        (5, "They asked: who wrote the old green book, and nobody knew"),
+        (6, "now add 2 and 3 to it"),
+        (7, "now add 5 and 9 to it"),
+        (8, " ".join([*words[200:230], *item[10:19], *words[230:260]])),
+        (9, story.replace("John Smith", "Mary Ann Lee").replace("3 kg", "twenty five kg")),
+    ]
+    table = spark.createDataFrame(bench, "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination_report(docs_of(spark, texts), table).collect()}
+    assert got == {1: [1], 2: [1], 3: [1], 4: [2], 5: [3], 6: [4], 7: [], 8: [], 9: [2]}
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert all(r.item_ids == [] for r in decontamination_report(docs_of(spark, texts), none).collect())
+
+
 def test_line_dedup_removes_the_shared_block_from_the_later_document(spark, words):
     draw = random.Random(3)
     sentence = lambda: " ".join(draw.choice(words) for _ in range(9)) + "."
