@@ -135,6 +135,26 @@ def test_main_text_leaves_out_what_is_not_the_article():
     assert main_text("<p>a plain paragraph of a page without any frame</p>") == "a plain paragraph of a page without any frame"
 
 
+def test_main_text_keeps_regions_with_layout_classes():
+    text = "A long paragraph of the article that says what there is to say about the matter."
+    body = f"<p>{text}</p><p>{text}</p>"
+    want = f"{text}\n{text}"
+    for start, end in (
+        ("<main class='has-sidebar'>", "</main>"),
+        ("<div id='wrap' class='layout-sidebar-right'><article>", "</article></div>"),
+        ("<div class='sidebar'><article>", "</article></div>"),
+        ("<article class='post category-legal'>", "</article>"),
+        ("<article class='legal'>", "</article>"),
+        ("<div class='social-science'>", "</div>"),
+        ("<div class='widget'>", "</div>"),
+    ):
+        page = f"<html><body><div class='ad'>Buy</div>{start}{body}<div class='share-buttons'>Send it</div>{end}<div class='related-posts'>More</div></body></html>"
+        assert main_text(page) == want, start
+    replies = f"<div class='comments-area'><article class='comment-body'>{body}{body}</article></div>"
+    teasers = f"<div class='related-posts'><article>{body}</article></div>"
+    assert main_text(f"<html><body><article>{body}</article>{replies}{teasers}</body></html>") == want
+
+
 def test_secrets_of_known_texts(spark):
     key = "AKIA" + "A1B2C3D4E5F6G7H8"
     texts = [(1, f"é password: hunter22 and {key} or {'0f' * 14}."), (2, None), (3, "")]
