@@ -2,7 +2,9 @@
 
 A line ends at a line end or behind a sentence mark. Lines of `ANCHOR_WORDS` words or more are hashed; documents that
 share one become a pair. A rare line (up to `RARE` holders) pairs all its holders, a more frequent one pairs each holder with the
-earliest, so links grow with the rows and no line is left out. Each pair is aligned by patience diff on
+earliest, so links grow with the rows. Besides, the shortest runs of lines from each line on
+and up to each line that reach `BLOCK_WORDS` words are hashed and pair each holder with the run's earliest holder: each line of a shared block is in
+such a run within the block, so every line of it meets an earlier document, lines too short to be anchors included. Each pair is aligned by patience diff on
 line hashes, and aligned blocks of `BLOCK_WORDS` words or more are deleted from the later document. Of copies of one text
 the first stays as it is; it stands for all of them in the pairs, and the others are one aligned block each.
 
@@ -52,6 +54,18 @@ def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
     return hashes, [len(w) for w in words]
 
 
+def run_hashes(hashes: Sequence[int], words: Sequence[int], least: int) -> list[int]:
+    """Hashes of the runs of neighbouring lines that reach `least` words: the shortest from each line on and the shortest up to each line."""
+    packed = np.asarray(hashes, np.int64)
+    until = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    places = np.arange(len(packed))
+    ends = np.searchsorted(until, until[:-1] + least)  # from each line on
+    starts = np.searchsorted(until, until[1:] - least, "right") - 1  # up to each line
+    runs = {*zip(places.tolist(), ends.tolist(), strict=True)} | {*zip(starts.tolist(), (places + 1).tolist(), strict=True)}
+    held = {xxhash.xxh3_64_intdigest(packed[a:b].tobytes()) - (1 << 63) for a, b in runs if a >= 0 and b <= len(packed)}
+    return sorted(held)
+
+
 def longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of `pairs` (ordered by the first place) whose second places rise."""
     tops: list[int] = []
@@ -72,8 +86,36 @@ def longest_rise(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def common_subsequence(left: Sequence[int], right: Sequence[int]) -> list[tuple[int, int]]:
+    """(place in left, place in right) of a longest common subsequence; the table has a bit for each pair of lines with a partner."""
+    ours, theirs = set(left), set(right)
+    rows = [i for i, h in enumerate(left) if h in theirs]
+    columns = [j for j, h in enumerate(right) if h in ours]
+    places: dict[int, int] = {}
+    for k, j in enumerate(columns):
+        places[right[j]] = places.get(right[j], 0) | 1 << k
+    full = (1 << len(columns)) - 1
+    state, states = full, [full]  # a 0 where the length rises by one
+    for i in rows:
+        hit = state & places[left[i]]
+        state = ((state + hit) | (state - hit)) & full
+        states.append(state)
+    found, x, y = [], len(rows), len(columns)
+    while x and y:
+        mask = (1 << y) - 1
+        here = y - (states[x] & mask).bit_count()
+        if y - (states[x - 1] & mask).bit_count() == here:
+            x -= 1
+        elif y - 1 - (states[x] & (mask >> 1)).bit_count() == here:
+            y -= 1
+        else:
+            found.append((rows[x - 1], columns[y - 1]))
+            x, y = x - 1, y - 1
+    return found[::-1]
+
+
 def aligned(left: Sequence[int], right: Sequence[int]) -> list[tuple[int, int]]:
-    """(place in left, place in right) of the lines that patience diff aligns, in order."""
+    """(place in left, place in right) of the lines that patience diff aligns, in order; without unique lines, a longest common subsequence."""
     found: list[tuple[int, int]] = []
     waiting = [(0, len(left), 0, len(right))]
     while waiting:
@@ -101,6 +143,8 @@ def aligned(left: Sequence[int], right: Sequence[int]) -> list[tuple[int, int]]:
             last_a, last_b = i + 1, j + 1
         if chain:
             waiting.append((last_a, a_end, last_b, b_end))
+        else:
+            found.extend((a + i, b + j) for i, j in common_subsequence(left[a:a_end], right[b:b_end]))
     return sorted(found)
 
 
@@ -116,8 +160,8 @@ def common_blocks(left: Sequence[int], right: Sequence[int], words: Sequence[int
     return blocks
 
 
-def line_pairs(anchors: DataFrame, rare: int = RARE) -> DataFrame:
-    """(first, later): text keys with a shared line; `anchors` has (hash, first_id, text_key)."""
+def line_pairs(anchors: DataFrame, runs: DataFrame, rare: int = RARE) -> DataFrame:
+    """(a, a_id, b): text keys with a shared line or run, the earlier one first; both tables have (hash, first_id, text_key)."""
     order = F.struct("first_id", "text_key")
     rows = anchors.select("hash", order.alias("me")).distinct()
     counts = rows.groupBy("hash").agg(F.count("*").alias("n"), F.min("me").alias("first")).filter("n > 1")
@@ -125,7 +169,10 @@ def line_pairs(anchors: DataFrame, rare: int = RARE) -> DataFrame:
     star = held.filter(F.col("first") < F.col("me")).select("first", F.col("me").alias("later"))
     few = held.filter(F.col("n") <= rare).select("hash", "me")
     both = few.select("hash", F.col("me").alias("first")).join(few.select("hash", F.col("me").alias("later")), "hash")
-    pairs = star.union(both.filter(F.col("first") < F.col("later")).select("first", "later")).distinct()
+    passages = runs.select("hash", order.alias("me"))
+    earliest = passages.groupBy("hash").agg(F.count("*").alias("n"), F.min("me").alias("first")).filter("n > 1").select("hash", "first")
+    passed = passages.join(earliest, "hash").filter(F.col("first") < F.col("me")).select("first", F.col("me").alias("later"))
+    pairs = star.union(both.filter(F.col("first") < F.col("later")).select("first", "later")).union(passed).distinct()
     return pairs.select(
         F.col("first.text_key").alias("a"), F.col("first.first_id").alias("a_id"), F.col("later.text_key").alias("b")
     )
@@ -146,9 +193,19 @@ def removed_blocks(texts: DataFrame, least: int) -> DataFrame:
             out = pd.DataFrame({"text_key": keys, "earlier": pd.array(ids, "Int64"), "start": starts, "end": ends})
             yield out.astype({"text_key": object, "start": np.int32, "end": np.int32})
 
+    def begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            runs = [run_hashes(h, w, least) for h, w in zip(batch["hashes"], batch["words"], strict=True)]
+            sizes = [len(own) for own in runs]
+            rest = batch[["first_id", "text_key"]].loc[batch.index.repeat(sizes)].reset_index(drop=True)
+            rest.insert(0, "hash", np.array([h for own in runs for h in own], np.int64))
+            rest["first_id"] = rest["first_id"].astype("Int64")
+            yield rest
+
     lines = texts.select("text_key", "first_id", F.explode(F.arrays_zip("hashes", "words")).alias("line"))
     anchors = lines.filter(F.col("line.words") >= ANCHOR_WORDS).select(F.col("line.hashes").alias("hash"), "first_id", "text_key")
-    pairs = stage(line_pairs(anchors), "line_pairs")
+    runs = texts.mapInPandas(begun, "hash long, first_id long, text_key string")
+    pairs = stage(line_pairs(anchors, stage(runs, "runs")), "line_pairs")
     left = texts.select(F.col("text_key").alias("a"), F.col("hashes").alias("left"))
     right = texts.select(F.col("text_key").alias("b"), F.col("hashes").alias("right"), "words")
     both = pairs.join(right.hint("shuffle_merge"), "b").join(left.hint("shuffle_merge"), "a").select("b", "a_id", "left", "right", "words")

@@ -8,7 +8,7 @@ import pytest
 
 from plumbrule.llm.decontaminate import decontamination_report
 from plumbrule.llm.licenses import LICENSES, license_report
-from plumbrule.llm.line_dedup import aligned, remove_lines
+from plumbrule.llm.line_dedup import aligned, common_subsequence, remove_lines, run_hashes
 from plumbrule.llm.main_text import main_text
 from plumbrule.llm.near_dups import near_duplicates
 from plumbrule.llm.neighbours import nearest_neighbours
@@ -105,6 +105,43 @@ def test_line_dedup_removes_the_shared_block_from_the_later_document(spark, word
     assert got[4].n_removed == got[5].n_removed == got[6].n_lines == 0
 
 
+def test_line_dedup_finds_passages_of_frequent_and_of_short_lines(spark, words):
+    draw = random.Random(6)
+    sentence = lambda n: " ".join(draw.choice(words) for _ in range(n)) + "."
+    lines = [sentence(17) for _ in range(3)]
+    passage, verse = "\n".join(lines), "\n".join(sentence(3) for _ in range(9))
+    texts = [(i, f"{sentence(8)}\n{line}\n{sentence(9)}") for i, line in enumerate(lines)]
+    texts += [(10 + i, f"{sentence(8)}\n{passage}\n{sentence(9)}") for i in range(5)]
+    texts += [(20 + i, f"{sentence(8)}\n{verse}\n{sentence(9)}") for i in range(2)]
+    got = {r.doc_id: r for r in remove_lines(docs_of(spark, texts)).collect()}
+    assert {i: r.n_removed for i, r in got.items() if r.n_removed} == {11: 3, 12: 3, 13: 3, 14: 3, 21: 9}
+    assert all(got[i].earlier == [10] for i in range(11, 15)) and got[21].earlier == [20]
+
+
+def test_every_line_of_a_block_is_in_a_run_of_it():
+    draw = random.Random(8)
+    for _ in range(200):
+        sizes = [draw.randrange(1, 15) for _ in range(draw.randrange(1, 10))]
+        lines = list(range(len(sizes)))
+        runs = set(run_hashes(lines, sizes, 20))
+        inside = [range(a, b) for a in lines for b in range(a + 1, len(lines) + 1) if runs & set(run_hashes(lines[a:b], sizes[a:b], sum(sizes[a:b])))]
+        assert all(sum(sizes[k] for k in run) >= 20 for run in inside)
+        assert sum(sizes) < 20 or {k for run in inside for k in run} == set(lines)
+
+
+def test_alignment_without_unique_lines():
+    assert aligned([9, 1, 2, 1, 2, 8], [7, 1, 2, 1, 2, 6]) == [(1, 1), (2, 2), (3, 3), (4, 4)]
+    draw = random.Random(7)
+    for _ in range(200):
+        left, right = ([draw.randrange(4) for _ in range(draw.randrange(12))] for _ in range(2))
+        best = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for i, a in enumerate(left):
+            for j, b in enumerate(right):
+                best[i + 1][j + 1] = best[i][j] + 1 if a == b else max(best[i][j + 1], best[i + 1][j])
+        found = common_subsequence(left, right)
+        assert len(found) == best[-1][-1] and found == sorted(found) and all(left[i] == right[j] for i, j in found)
+
+
 def test_patience_alignment_keeps_order():
     assert aligned([1, 2, 3, 4], [9, 2, 3, 8]) == [(1, 1), (2, 2)]
     assert aligned([1, 2], [2, 1]) in ([(0, 1)], [(1, 0)])
