@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 
 from plumbrule.llm.decontaminate import decontamination_report
-from plumbrule.llm.licenses import LICENSES, license_report
+from plumbrule.llm.licenses import DIGESTS, LICENSES, license_report
 from plumbrule.llm.line_dedup import aligned, common_subsequence, remove_lines, run_hashes
 from plumbrule.llm.main_text import main_text
 from plumbrule.llm.near_dups import near_duplicates
@@ -207,6 +208,25 @@ def test_licenses_by_canonical_digest(spark):
     assert got == {1: "MIT", 2: None, 3: None}
 
 
+def test_licenses_of_long_texts_and_of_sentences(spark):
+    apache = Path("/usr/share/common-licenses/Apache-2.0")
+    mit = LICENSES["MIT"].removeprefix("MIT License")
+    texts = [
+        (1, LICENSES["BSD-3-Clause"]),
+        (2, "BSD 3-Clause License\n" + LICENSES["BSD-3-Clause"].replace("1.", "*").replace("2.", "*").replace("3.", "*")),
+        (3, mit),
+        (4, "Some words. Released under the MIT License. More words follow."),
+        (5, "This project is distributed under the terms of the GNU Lesser General Public License, version 2.1. Have fun"),
+        (6, "We spoke of the MIT License at length."),
+    ]
+    if apache.exists():
+        texts.append((7, apache.read_text()))
+    got = {r.doc_id: (r.license_id, r.notices) for r in license_report(docs_of(spark, texts)).collect()}
+    assert got.pop(7, ("Apache-2.0", ""))[0] == "Apache-2.0"
+    assert got == {1: ("BSD-3-Clause", ""), 2: ("BSD-3-Clause", ""), 3: ("MIT", ""), 4: (None, "MIT"), 5: (None, "LGPL-2.1"), 6: (None, "")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"} <= set(DIGESTS.values())
+
+
 def test_toxicity_learns_the_marked_word(spark, words):
     draw = random.Random(5)
     texts, labels = [], []
