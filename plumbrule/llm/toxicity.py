@@ -89,10 +89,12 @@ def fit(sample: pd.DataFrame, rounds: int = ROUNDS, rate: float = RATE, decay: f
     kept = often[word] if len(word) else np.zeros(0, bool)
     word, owner = place[word[kept]], owner[kept]
     toxic = sample["toxic"].to_numpy() > 0
-    docs, size = max(len(sample), 1), len(vocabulary)
+    if not len(doc_of):
+        return -np.inf, {}  # nothing is known of toxic sentences: texts of any length score 0
+    docs, size = len(sample), len(vocabulary)
     weights, bias = np.zeros(size), -5.0
     moments = np.zeros((2, size + 1))
-    for step in range(1, rounds + 1 if len(doc_of) else 1):
+    for step in range(1, rounds + 1):
         z = bias + np.bincount(owner, weights[word], len(doc_of))
         p = 1 / (1 + np.exp(-z))
         nothing = np.bincount(doc_of, np.logaddexp(0, z), docs)  # -log of the chance of no offending sentence
@@ -141,7 +143,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     """One row per row of `docs`: doc_id, held_out, score, predicted, offending (array of sentences with start, end, score).
 
     `docs` needs doc_id and text, `labels` doc_id and toxic; further columns are ignored and none but the text is an input
-    of a score. NULL and empty texts have no sentence and score 0. Without labels every score is that of the initial bias.
+    of a score. NULL and empty texts have no sentence and score 0. Without labelled texts outside the held-out fold every score is 0.
     """
     scored = docs.select("doc_id", "text").withColumn("found", toxicity_scorer(docs, labels, sample_rows)("text"))
     return scored.select(

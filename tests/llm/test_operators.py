@@ -242,3 +242,9 @@ def test_toxicity_learns_the_marked_word(spark, words):
     right = sum(r.predicted == int(r.doc_id % 3 == 0) for r in held)
     assert right >= 0.9 * len(held)
     assert all(r.score == 0 for r in got if r.doc_id >= 998)
+
+
+def test_toxicity_without_labels_marks_nothing(spark, words):
+    long = " ".join(f"{words[i]} {words[i + 1]}." for i in range(300))
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert [(r.score, r.predicted, r.offending) for r in score_documents(docs_of(spark, [(1, long)]), none).collect()] == [(0.0, 0, [])]
