@@ -17,6 +17,7 @@ from plumbrule.llm.neighbours import nearest_neighbours
 from plumbrule.llm.secrets import secret_report
 from plumbrule.llm.sharding import shard_documents
 from plumbrule.llm.toxicity import score_documents
+from plumbrule.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +62,10 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dups": op2_near_dups,
@@ -72,4 +77,5 @@ QUERIES: dict[str, Query] = {
     "op8_main_text": op8_main_text,
     "op9_licenses": op9_licenses,
     "op10_shard": op10_shard,
+    "op11_whiten": op11_whiten,
 }
