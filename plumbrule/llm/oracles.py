@@ -75,7 +75,48 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
 FROM best
 """
 
+# All pairs, and the smallest id reached over links, round by round.
+NEAR_VECTORS = """
+WITH RECURSIVE doubles AS (
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), usable AS (
+    SELECT vec_id, v FROM doubles
+    WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), least AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT l.vec_id, (SELECT count(*) FROM links k WHERE k.a = l.vec_id)::BIGINT AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least l
+"""
+
+# Every anchor's integer products with all rows.
+HARD_NEGATIVES = """
+WITH doubles AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), usable AS (
+    SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label, list_transform(v, lambda x: floor(256 * x)) AS x
+    FROM doubles WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, list_dot_product(a.x, r.x)::BIGINT AS score
+    FROM usable a JOIN usable r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER best)::INTEGER AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+QUALIFY rank <= 5
+WINDOW best AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op3_mix_sources": MIX,
     "op10_shard": SHARD,
+    "op12_near_vectors": NEAR_VECTORS,
 }

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbrule.llm.common import table
+from plumbrule.llm.cover_tree import near_vectors
 from plumbrule.llm.decontaminate import decontamination_report
 from plumbrule.llm.licenses import license_report
 from plumbrule.llm.line_dedup import remove_lines
@@ -66,6 +67,10 @@ def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dups": op2_near_dups,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Query] = {
     "op9_licenses": op9_licenses,
     "op10_shard": op10_shard,
     "op11_whiten": op11_whiten,
+    "op12_near_vectors": op12_near_vectors,
 }
