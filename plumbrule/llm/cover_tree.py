@@ -32,10 +32,11 @@ from plumbrule.workspace import broadcast_if_small
 SIMILAR = 0.9
 CENTRES = 1024
 BLOCK = 8192
-RADII = (1.0, 0.5, 0.25, 0.125)
+RADII = (0.5, 0.25, 0.125)  # below the root; with a radius of 1 no pair of nodes is far enough apart to be left out
 UPPER = (1.0, 0.5)  # levels that the packing of blocks goes by
 CHUNK = 256  # rows of one matrix product
 PAIRS = 16_384  # pairs of nodes that are met in one list
+ROUGH = 1e-5  # of cosines in single precision, which only rule pairs out
 SLACK = 1e-6  # of distances, which are roots of what is rounded
 NEAR = 1e-9  # cosines this close to the threshold are computed again, without intermediate rounding
 FOUND = "class long, links long, other long"
@@ -57,7 +58,7 @@ def distance(cosines: np.ndarray) -> np.ndarray:
 
 def net(points: np.ndarray, radius: float) -> np.ndarray:
     """For each point its centre, one of the points within `radius`; centres are further apart. The first point is one."""
-    least = 1 - radius * radius / 2
+    points, least = points.astype(np.float32), 1 - radius * radius / 2
     owner = np.full(len(points), -1)
     centres: list[int] = []
     for start in range(0, len(points), CHUNK):
@@ -103,6 +104,7 @@ class Tree:
         place[order] = np.arange(len(order))
         self.raw, self.names, self.copies = raw[order], names[order], copies[order]
         self.points = units(self.raw)
+        self.rough = self.points.astype(np.float32)
         self.sums = np.r_[0, np.cumsum(self.copies)]
         self.starts, self.ends, self.centres, self.radii = [], [], [], []
         new = np.zeros(len(order), bool)
@@ -225,6 +227,30 @@ def dual(a: Tree, b: Tree, similar: float) -> Links:
             if len(part):
                 waiting.append((level + 1, *spelt(a0[part], a1[part], b0[part], b1[part])))
 
+    def products(level: int, x: np.ndarray, y: np.ndarray, mirrored: bool) -> None:
+        """Meet all pairs of these nodes that their bounds let through, by products in single precision first."""
+        centres, others = a.centres[level][x], b.centres[level][y]
+        cover, covers = a.radii[level][x], b.radii[level][y]
+        for start in range(0, len(x), CHUNK):
+            rows = slice(start, start + CHUNK)
+            columns = slice(start if mirrored else 0, None)
+            rough = a.rough[centres[rows]] @ b.rough[others[columns]].T
+            if cover.any() or covers.any():
+                widest = np.minimum(2.0, reach + cover[rows][:, None] + covers[columns][None, :])
+                near = rough >= (1 - widest * widest / 2 - ROUGH).astype(np.float32)
+            else:
+                near = rough >= np.float32(similar - ROUGH)
+            i, j = np.nonzero(near)
+            if len(i) > near.size // 50:
+                cosines = (a.points[centres[rows]] @ b.points[others[columns]].T)[i, j]
+            else:
+                cosines = np.einsum("kd,kd->k", a.points[centres[rows][i]], b.points[others[columns][j]])
+            i, j = x[rows][i], y[columns][j]
+            if same:
+                kept = i <= j if mirrored else np.ones(len(i), bool)
+                i, j, cosines = np.minimum(i, j)[kept], np.maximum(i, j)[kept], cosines[kept]
+            met(level, i, j, cosines)
+
     while waiting:
         level, *what = waiting.pop()
         if len(what) == 2:
@@ -234,14 +260,15 @@ def dual(a: Tree, b: Tree, similar: float) -> Links:
             met(level, i, j, np.einsum("kd,kd->k", a.points[a.centres[level][i]], b.points[b.centres[level][j]]))
             continue
         a0, a1, b0, b1 = what
-        for start in range(a0, a1, CHUNK):
-            x, y = np.arange(start, min(start + CHUNK, a1)), np.arange(b0, b1)
-            cosines = a.points[a.centres[level][x]] @ b.points[b.centres[level][y]].T
-            near = distance(cosines) - a.radii[level][x][:, None] - b.radii[level][y][None, :] <= reach + SLACK
-            if same:
-                near &= x[:, None] <= y[None, :]
-            i, j = np.nonzero(near)
-            met(level, x[i], y[j], cosines[i, j])
+        x, y = np.arange(a0, a1), np.arange(b0, b1)
+        # Nodes of one row, mostly the bulk, need no bound of their own.
+        x_rows, y_rows = a.radii[level][x] == 0, b.radii[level][y] == 0
+        mirrored = same and a0 == b0
+        products(level, x[x_rows], y[y_rows], mirrored)
+        products(level, x[~x_rows], y[~y_rows], mirrored)
+        products(level, x[x_rows], y[~y_rows], False)
+        if not mirrored:
+            products(level, x[~x_rows], y[y_rows], False)
     return links
 
 

@@ -119,4 +119,5 @@ ORACLES: dict[str, str] = {
     "op3_mix_sources": MIX,
     "op10_shard": SHARD,
     "op12_near_vectors": NEAR_VECTORS,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbrule.llm.common import table
 from plumbrule.llm.cover_tree import near_vectors
 from plumbrule.llm.decontaminate import decontamination_report
+from plumbrule.llm.hard_negatives import hard_negatives
 from plumbrule.llm.licenses import license_report
 from plumbrule.llm.line_dedup import remove_lines
 from plumbrule.llm.main_text import extract_main_text
@@ -71,6 +72,10 @@ def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dups": op2_near_dups,
@@ -84,4 +89,5 @@ QUERIES: dict[str, Query] = {
     "op10_shard": op10_shard,
     "op11_whiten": op11_whiten,
     "op12_near_vectors": op12_near_vectors,
+    "op13_hard_negatives": op13_hard_negatives,
 }
