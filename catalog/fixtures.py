@@ -2,7 +2,7 @@
 
 The subject table `projects` is built from every row of `orders`; the arithmetic on
 `o_orderkey` only decides which defect a row carries. `actual_report` is the true
-list of F1 violations of `region` with known errors put in, so that reconciling has
+list of violations of all rules with known errors put in, so that reconciling has
 something to find.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 RUN_DATE = date(2001, 6, 1)
 RUN_ID = "run-0001"
 RUN_TIMESTAMP = "2001-06-01T00:00:00"
+RUN_DAYS = ("1998-03-01", "2001-06-01")
 
 GATE_NAMES = ("a2", "b", "c", "d", "e")
 GATES = tuple(f"project_gate_{g}_milestone_date" for g in GATE_NAMES)
@@ -60,10 +61,17 @@ PROJECTS_SQL = _projects_sql(_SHIFTED, "orders")
 _DAYS = ", ".join(f"{_SHIFTED.format(i=i)} AS d{i}" for i in range(len(GATES)))
 PROJECTS_ONCE_SQL = _projects_sql("d{i}", f"(SELECT *, {_DAYS} FROM {{orders}}) AS dated")
 
-ACTUAL_REPORT_SQL = """SELECT 'F1' AS rule_id, coalesce(project_number,'UNKNOWN') AS record_id,
-  coalesce(project_current_phase,'UNKNOWN') AS phase, 'region' AS failed_field,
-  coalesce(trim(region),'NULL') AS failed_value FROM projects
-WHERE ((region IS NULL OR trim(region)='') AND row_key%10<>0) OR (region IS NOT NULL AND row_key%400=7)"""
+# The report under test: the truth of all rules without a tenth of each rule's records, by the last character of their id, and
+# with records that violate nothing.
+ACTUAL_REPORT_SQL = """SELECT rule_id, record_id, phase, failed_field, failed_value FROM truth
+WHERE (ascii(substr(record_id, length(record_id), 1)) + ascii(substr(rule_id, 2, 1))) % 10 <> 3
+UNION ALL
+SELECT 'F'||CAST(row_key%400-6 AS STRING), 'X'||CAST(row_key AS STRING), '1', 'region', 'invented' FROM projects
+WHERE row_key%400 BETWEEN 7 AND 14"""
+
+# A saved summary of that report: one rule is counted wrong, another one not listed.
+SAVED_SUMMARY_SQL = """SELECT rule_id, count(*) + CASE WHEN rule_id = 'F2' THEN 1 ELSE 0 END AS violation_count FROM actual
+WHERE rule_id <> 'F8' GROUP BY rule_id"""
 
 SCORES_SQL = """SELECT doc_id, quality AS label, CAST((doc_id*37)%101 AS DOUBLE)/100.0e0 AS probability FROM labels"""
 
@@ -166,9 +174,13 @@ def projects_from(orders: DataFrame) -> DataFrame:
     return orders.sparkSession.sql(PROJECTS_ONCE_SQL, orders=orders)
 
 
-def actual_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql = ACTUAL_REPORT_SQL.replace("FROM projects", "FROM {source}")
-    return spark.sql(sql, source=projects(spark, sf_dir))
+def actual_report(truth: DataFrame, subject: DataFrame) -> DataFrame:
+    sql = ACTUAL_REPORT_SQL.replace("FROM truth", "FROM {truth}").replace("FROM projects", "FROM {projects}")
+    return truth.sparkSession.sql(sql, truth=truth, projects=subject)
+
+
+def saved_summary(actual: DataFrame) -> DataFrame:
+    return actual.sparkSession.sql(SAVED_SUMMARY_SQL.replace("FROM actual", "FROM {actual}"), actual=actual)
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -218,12 +218,13 @@ COLUMNS = ", ".join(REPORT_COLUMNS)
 
 
 def _compared(query: str) -> str:
-    """A query over true and reported F1 violations of `region`."""
+    """A query over true and reported violations of all rules."""
     return _projects(
         query,
         rules=_rules(),
-        truth=_not_null(names=("region",)),
+        truth=DECLARED,
         actual=fx.ACTUAL_REPORT_SQL,
+        saved=fx.SAVED_SUMMARY_SQL,
         t="SELECT rule_id, count(*) AS gt_fail_report_count, count(DISTINCT record_id) AS gt_distinct_records FROM truth GROUP BY 1",
         a="SELECT rule_id, count(*) AS actual_fail_report_count, count(DISTINCT record_id) AS actual_distinct_records FROM actual GROUP BY 1",
         missed="SELECT rule_id, record_id FROM truth EXCEPT SELECT rule_id, record_id FROM actual",
@@ -295,30 +296,38 @@ SEMANTIC = _projects(
 )
 
 
-def _trace(record: str | None) -> str:
+def _traced(stage: str, where: str) -> list[str]:
+    """Phase, gates and missing gates of the rows that meet a condition."""
     key = "coalesce(trim(project_number),'UNKNOWN')"
-    only = f"AND trim(project_number)='{record}'" if record else ""
-    only_report = f"AND trim(record_id)='{record}'" if record else ""
     parts = [
-        f"SELECT {key} AS record_id, 'source' AS stage, 0 AS position, 'project_current_phase' AS field, "
+        f"SELECT {key} AS record_id, '{stage}' AS stage, 0 AS position, 'project_current_phase' AS field, "
         f"project_current_phase AS value, {_shown('project_current_phase')} AS normalized, "
-        f"{_missing('project_current_phase')} AS missing FROM projects WHERE TRUE {only}"
+        f"{_missing('project_current_phase')} AS missing FROM projects WHERE {where}"
     ]
     for i, gate in enumerate(GATES[:4]):
         phases = ",".join(f"'{p}'" for p in range(i + 2, 6))
         parts.append(
-            f"SELECT {key}, 'source', {i + 1}, '{gate}', {gate}, {_shown(gate)}, {_missing(gate)} "
-            f"FROM projects WHERE {PHASE} IN ({phases}) {only}"
+            f"SELECT {key}, '{stage}', {i + 1}, '{gate}', {gate}, {_shown(gate)}, {_missing(gate)} "
+            f"FROM projects WHERE {PHASE} IN ({phases}) AND {where}"
         )
         parts.append(
-            f"SELECT {key}, 'source_missing', {i + 1}, '{LABELS[i]}', NULL, 'NULL/missing', TRUE "
-            f"FROM projects WHERE {PHASE} IN ({phases}) AND {_missing(gate)} {only}"
+            f"SELECT {key}, '{stage}_missing', {i + 1}, '{LABELS[i]}', NULL, 'NULL/missing', TRUE "
+            f"FROM projects WHERE {PHASE} IN ({phases}) AND {_missing(gate)} AND {where}"
         )
-    parts.append(
-        "SELECT trim(record_id), 'report', 0, failed_field, failed_value, explanation, NULL "
-        f"FROM found WHERE TRUE {only_report}"
-    )
-    return _projects(_union(parts), found=F6)
+    return parts
+
+
+def _trace(record: str | None, *more: str) -> str:
+    only = f"trim(project_number)='{record}'" if record else "TRUE"
+    only_report = f"trim(record_id)='{record}'" if record else "TRUE"
+    reported = f"SELECT trim(record_id), 'report', 0, failed_field, failed_value, explanation, NULL FROM found WHERE {only_report}"
+    return _projects(_union([*_traced("source", only), *more, reported]), found=F6)
+
+
+WITHOUT_PHASE = _projects(
+    "SELECT coalesce(trim(project_number),'UNKNOWN') AS record_id, 'result' AS stage, 0 AS position, 'project_current_phase' AS field, "
+    "CAST(NULL AS VARCHAR) AS value, 'NULL' AS normalized, TRUE AS missing FROM projects WHERE row_key % 7 = 0"
+)
 
 
 def _headers(query: str) -> str:
@@ -354,7 +363,50 @@ RESIZED = """WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscrip
 SELECT vec_id, CAST((r*4+c)*3+channel AS INTEGER) AS pos, CAST(round(pixel*1000000) AS BIGINT) AS millionths
 FROM p, (VALUES (0),(1),(2)) AS k(channel)"""
 
-YEARS = "SELECT max(year(o_orderdate)) AS y FROM orders"
+# Two gradient steps with momentum from zero weights and the log odds of the training labels. `rows` are vectors with their
+# subset; m0, m1, m2 their margins before the first step and after each.
+SPLIT_VECTORS = BATCHES.replace("doc_id, source", "vec_id, embedding, label").replace("documents", "embeddings").replace("doc_id", "vec_id").replace(
+    "source", "embedding"
+)
+FITTED = (
+    SPLIT_VECTORS
+    + """, split AS (SELECT vec_id, (label >= 5)::INTEGER AS y, list_transform(embedding, lambda v: v::DOUBLE) AS v, subset FROM x),
+  start AS (SELECT count(*) AS n, ln(avg(y) / (1 - avg(y))) AS b0, 4 / (sum(list_dot_product(v, v)) / count(*) + 1) AS step
+    FROM split WHERE subset = 'train'),
+  m0 AS (SELECT s.*, b0 AS m FROM split s, start),
+  g1 AS (SELECT i, avg((1 / (1 + exp(-m)) - y) * v[i]) AS g FROM m0, range(1, 65) AS r(i) WHERE subset = 'train' GROUP BY i),
+  c1 AS (SELECT avg(1 / (1 + exp(-m)) - y) AS g FROM m0 WHERE subset = 'train'),
+  w1 AS (SELECT list(-step * g ORDER BY i) AS w FROM g1, start),
+  d1 AS (SELECT -step * g AS d FROM c1, start),
+  m1 AS (SELECT s.*, list_dot_product(v, w) + b0 + d AS m FROM split s, start, w1, d1),
+  g2 AS (SELECT i, avg((1 / (1 + exp(-m)) - y) * v[i]) AS g FROM m1, range(1, 65) AS r(i) WHERE subset = 'train' GROUP BY i),
+  c2 AS (SELECT avg(1 / (1 + exp(-m)) - y) AS g FROM m1 WHERE subset = 'train'),
+  w2 AS (SELECT list(1.9 * w[i] - step * g ORDER BY i) AS w FROM g2, start, w1),
+  m2 AS (SELECT s.*, list_dot_product(v, w2.w) + b0 + d + 0.9 * d - step * g AS m FROM split s, start, w2, d1, c2),
+  margins AS (SELECT 0 AS pass, * FROM m0 UNION ALL SELECT 1, * FROM m1 UNION ALL SELECT 2, * FROM m2)
+"""
+)
+HISTORY = FITTED + """SELECT pass::INTEGER AS pass, subset, count(*) AS row_count, round(avg(ln(1 + exp(-abs(m))) + greatest(m, 0) - y * m), 9) AS loss,
+  round(avg(((m > 0) = (y = 1))::INTEGER), 9) AS accuracy FROM margins WHERE subset IN ('train', 'val') GROUP BY ALL"""
+JUDGED = FITTED + """, c AS (SELECT count(*) FILTER (y=1 AND m>0) AS tp, count(*) FILTER (y=0 AND m>0) AS fp,
+  count(*) FILTER (y=1 AND m<=0) AS fn, count(*) FILTER (y=0 AND m<=0) AS tn FROM m2 WHERE subset = 'test')
+SELECT tp, fp, fn, tn, coalesce(CAST(tp+tn AS DOUBLE)/nullif(tp+fp+fn+tn,0),0) AS accuracy,
+  coalesce(CAST(tp AS DOUBLE)/nullif(tp+fp,0),0) AS precision, coalesce(CAST(tp AS DOUBLE)/nullif(tp+fn,0),0) AS recall FROM c"""
+SCORED = """WITH s AS (SELECT vec_id, label, 1 / (1 + exp(-(0.05::DOUBLE + list_dot_product(list_transform(embedding, lambda v: v::DOUBLE),
+  list_transform(range(len(embedding)), lambda i: (i * 37 % 11 - 5)::DOUBLE / 10))))) AS p FROM embeddings)
+SELECT vec_id, label, round(p, 9) AS probability, (p > 0.5)::INTEGER AS prediction FROM s"""
+
+RECORDED_RUNS = _projects(
+    _union(
+        [
+            f"SELECT 'run-{day}' AS run_id, '{day.replace('-', '')}_000000' AS run_ts, '{day}' AS run_date, rule_id, check_type, count(*) AS row_count, "
+            f"{'TRUE' if day == max(fx.RUN_DAYS) else 'FALSE'} AS latest "
+            f"FROM (SELECT rule_id, 'not_null' AS check_type FROM ({F1}) "
+            f"UNION ALL SELECT rule_id, 'active_gate_overdue' FROM ({F5.replace(TODAY, f"DATE '{day}'")})) GROUP BY rule_id, check_type"
+            for day in fx.RUN_DAYS
+        ]
+    )
+)
 EMPTY_AS_NULL = ", ".join(["CAST(row_key AS VARCHAR) AS row_key", *(f"nullif({c},'') AS {c}" for c in LONG_NAMES)])
 
 ORACLES: dict[str, str] = {
@@ -386,6 +438,7 @@ ORACLES: dict[str, str] = {
         GATES,
         f"WHERE {_day('v')} > {TODAY} GROUP BY 1",
     ),
+    "date_columns": _values("column_name, count(v) AS filled", GATES, "GROUP BY 1"),
     "date_profile": DATE_PROFILE,
     "date_format_histogram": HISTOGRAM,
     "semantic_schema": SEMANTIC,
@@ -429,7 +482,17 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT 'Q2', 'ERROR', NULL, TRUE",
         violations=_union([DECLARED, FALLBACK]),
     ),
+    "check_run": _projects(
+        f"SELECT '{fx.RUN_ID}' AS run_id, rule_id, 'OK' AS status, count(*) AS row_count, count(*) AS saved, FALSE AS failed FROM violations GROUP BY 2 "
+        f"UNION ALL SELECT '{fx.RUN_ID}', unnest(['Q2', 'F9']), 'ERROR', NULL, NULL, TRUE",
+        violations=_union([DECLARED, FALLBACK]),
+    ),
+    "saved_report_order": _reported("SELECT count(*) AS row_count, 0::BIGINT AS files_out_of_order FROM report"),
     "sql_rule": _projects(RETURNED),
+    "sql_rule_check": _projects(
+        f"SELECT 'Q1' AS rule_id, TRUE AS accepted, count(*) AS row_count FROM ({RETURNED}) "
+        "UNION ALL SELECT unnest(['Q2', 'Q3']), FALSE, NULL"
+    ),
     "sql_pinned_date": _values(
         f"column_name, {_day('v')} AS day, CAST(date_diff('day', {_day('v')}, {TODAY}) AS INTEGER) AS days, count(*) AS n",
         GATES,
@@ -449,12 +512,14 @@ ORACLES: dict[str, str] = {
     "summary_check": _compared(
         f"""SELECT {COMPARISON}, dq AS dq_summary_count, dq=gt AS dq_summary_matches_ground_truth,
           dq=ac AS dq_summary_matches_generated_report
-        FROM (SELECT comparison.*, a.actual_fail_report_count AS dq FROM comparison LEFT JOIN a ON comparison.rule_id=a.rule_id)
+        FROM (SELECT comparison.*, saved.violation_count AS dq FROM comparison LEFT JOIN saved ON comparison.rule_id=saved.rule_id)
         ORDER BY rule_id"""
     ),
-    "mismatch_sample": _compared("SELECT * FROM missed ORDER BY rule_id, record_id LIMIT 100"),
+    "mismatch_sample": _compared("SELECT * FROM missed ORDER BY rule_id, record_id LIMIT 20"),
     "trace_record": _trace("P7"),
     "trace_all_records": _trace(None),
+    "trace_with_result": _trace(None, *_traced("result", "row_key % 7 = 0")),
+    "trace_without_phase": WITHOUT_PHASE,
     "image_format": _headers("SELECT doc_id, format FROM f"),
     "image_allowlist": _headers("SELECT doc_id, format AS image_format FROM f WHERE format IN ('jpeg','png','bmp')"),
     "image_quarantine": _headers(
@@ -469,6 +534,9 @@ ORACLES: dict[str, str] = {
     "sample_rows": "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 4",
     "batch_numbers": BATCHES + "SELECT doc_id, row_index, batch, subset FROM x",
     "batch_split": BATCHES + "SELECT doc_id, source, subset FROM x",
+    "fit_binary": HISTORY,
+    "score_batch": SCORED,
+    "model_save_load": JUDGED,
     "score_rounding": f"WITH scores AS ({fx.SCORES_SQL}) SELECT doc_id, probability, {ROUNDED} AS prediction FROM scores",
     "binary_metrics": METRICS,
     "scan_csv": _projects(f"SELECT {EMPTY_AS_NULL} FROM projects"),
@@ -480,8 +548,10 @@ ORACLES: dict[str, str] = {
         "SELECT rule_id, rule_name, severity, dimension, count(*) AS violation_count FROM report GROUP BY ALL"
     ),
     "write_results": _reported(f"SELECT {COLUMNS} FROM report"),
-    "run_manifest": f"""WITH y AS ({YEARS}), r AS ({_rules(with_sql=True)})
-SELECT 'run-'||CAST(y AS VARCHAR) AS run_id, CAST(y AS VARCHAR)||'0601_000000' AS run_ts, CAST(y AS VARCHAR)||'-06-01' AS run_date,
-  rule_id, rule_name, check_type FROM y, r""",
+    "write_rule_rows": _projects(RETURNED),
+    "run_manifest": RECORDED_RUNS,
+    "load_rules": _projects(F4),
+    "clean_header": _projects("SELECT row_key, region FROM projects"),
+    "scan_images": "SELECT source AS class, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS bytes FROM documents GROUP BY 1",
     "stream_row_rules": _projects(_union(list(ROW_RULES))),
 }

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
-from plumbrule.constants import UNIQUE
+from plumbrule.constants import REPORT_ORDER, UNIQUE
 from plumbrule.functions import columns as C
 from plumbrule.functions.sql import register_sql_functions
-from plumbrule.operators import classify, images, profile, reconcile, report, splitting
+from plumbrule.operators import classify, execution, images, profile, reconcile, report, splitting
 from plumbrule.operators.row_rules import row_violations
-from plumbrule.operators.sql_rules import SqlRule, dedupe_columns, run_sql_rule, sql_rule_violations
+from plumbrule.operators.sql_rules import SqlRule, dedupe_columns, run_sql_rule, sql_rule_check, sql_rule_violations
 from plumbrule.operators.trace import trace_record
 from plumbrule.operators.unique_rules import unique_violations
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule, make_rules
+from plumbrule.plans.runs import run_checks
 from plumbrule.sources import sinks, tables
 from plumbrule.streaming.violations import stream_violations, write_violation_stream
 from plumbrule.workspace import scratch_path
@@ -40,6 +42,7 @@ SQL_RULE = SqlRule(
     explanation="Last gate lies more than 60 days ahead",
     dimension="timeliness",
 )
+BROKEN_RULE = SqlRule("Q2", "Broken", "SELECT no_such_column FROM IDENTIFIER(:subject)")
 SUBJECT = "plumbrule_projects"
 
 
@@ -206,10 +209,7 @@ def violation_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rule_execution_log(spark: SparkSession, sf: str) -> DataFrame:
-    broken = SqlRule("Q2", "Broken", "SELECT no_such_column FROM IDENTIFIER(:subject)")
-    log = report.rule_execution_log(
-        fx.projects(spark, sf), RULES, OPTIONS, [broken, SQL_RULE], _subject(spark, sf)
-    )
+    log = execution.rule_execution_log(fx.projects(spark, sf), RULES, OPTIONS, [BROKEN_RULE, SQL_RULE], _subject(spark, sf))
     return log.select("rule_id", "status", "row_count", F.col("error").isNotNull().alias("failed"))
 
 
@@ -228,43 +228,47 @@ def explain_overdue_unparsed(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("rule_id", "record_id", "failed_value", "explanation")
 
 
-def _truth(spark: SparkSession, sf: str) -> DataFrame:
-    only_region = make_rules([{**fx.RULE_DEFINITIONS[0], "parameters": {"columns": ["region"]}}])
-    return row_violations(fx.projects(spark, sf), only_region, RuleOptions(run_date=fx.RUN_DATE, explain=False))
+def _balance(spark: SparkSession, sf: str) -> DataFrame:
+    """True violations of all rules, the report under test and a saved summary, set against each other."""
+    table = fx.projects(spark, sf)
+    expected = reconcile.compared(report.all_violations(table, RULES, RuleOptions(run_date=fx.RUN_DATE, explain=False)))
+    path = scratch_path(spark, "truth")
+    expected.write.parquet(path)
+    truth = spark.read.schema(expected.schema).parquet(path)
+    actual = fx.actual_report(truth, table)
+    return reconcile.record_balance(truth, actual, fx.saved_summary(actual))
 
 
 def truth_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.truth_summary(_truth(spark, sf))
+    return reconcile.truth_summary(_balance(spark, sf))
 
 
 def actual_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.actual_summary(fx.actual_report(spark, sf))
+    return reconcile.actual_summary(_balance(spark, sf))
 
 
 def compare_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.compare_counts(_truth(spark, sf), fx.actual_report(spark, sf), RULES)
+    return reconcile.compare_counts(_balance(spark, sf), RULES)
 
 
 def false_negatives(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.false_negatives(_truth(spark, sf), fx.actual_report(spark, sf))
+    return reconcile.false_negatives(_balance(spark, sf))
 
 
 def false_positives(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.false_positives(_truth(spark, sf), fx.actual_report(spark, sf))
+    return reconcile.false_positives(_balance(spark, sf))
 
 
 def mismatch_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.mismatch_summary(_truth(spark, sf), fx.actual_report(spark, sf), RULES)
+    return reconcile.mismatch_summary(_balance(spark, sf), RULES)
 
 
 def mismatch_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return reconcile.mismatch_sample(false_negatives(spark, sf))
+    return reconcile.mismatch_sample(false_negatives(spark, sf), rows=20)
 
 
 def summary_check(spark: SparkSession, sf: str) -> DataFrame:
-    actual = fx.actual_report(spark, sf)
-    saved = actual.groupBy("rule_id").agg(F.count("*").alias("violation_count"))
-    return reconcile.summary_check(compare_counts(spark, sf), saved)
+    return reconcile.summary_check(_balance(spark, sf), RULES)
 
 
 def _trace(record_id: str | None) -> Query:
@@ -276,6 +280,22 @@ def _trace(record_id: str | None) -> Query:
     return query
 
 
+def trace_with_result(spark: SparkSession, sf: str) -> DataFrame:
+    """All records through a rule, with the rows that a SQL rule returned."""
+    table, rule = fx.projects(spark, sf), BY_ID["F6"]
+    rows = f"SELECT project_number, project_current_phase, {', '.join(fx.GATES)} FROM IDENTIFIER(:subject) WHERE row_key % 7 = 0"
+    returned = run_sql_rule(spark, SqlRule("Q3", "Rows", rows), OPTIONS, _subject(spark, sf))
+    return trace_record(table, rule, None, row_violations(table, [rule], OPTIONS), returned)
+
+
+def trace_without_phase(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a SQL rule that returns no phase."""
+    rows = SqlRule("Q3", "Rows", f"SELECT project_number, {fx.GATES[0]} FROM IDENTIFIER(:subject) WHERE row_key % 7 = 0")
+    returned = run_sql_rule(spark, rows, OPTIONS, _subject(spark, sf))
+    traced = trace_record(fx.projects(spark, sf).limit(0), BY_ID["F6"], None, returned=returned)
+    return traced.where("stage LIKE 'result%'")
+
+
 def image_format(spark: SparkSession, sf: str) -> DataFrame:
     headers = fx.headers(spark, sf)
     return headers.select("doc_id", images.image_format(F.unhex("header_hex")).alias("format"))
@@ -337,28 +357,37 @@ def batch_split(spark: SparkSession, sf: str) -> DataFrame:
     return splitting.batch_split(documents, "doc_id").select("doc_id", "source", "subset")
 
 
-def _labelled_vectors(spark: SparkSession, sf: str) -> DataFrame:
+def _split_vectors(spark: SparkSession, sf: str) -> DataFrame:
     vectors = fx.view(spark, sf, "embeddings")
-    return vectors.select("vec_id", "embedding", (F.col("label") >= 5).cast("int").alias("label"))
+    labelled = vectors.select("vec_id", "embedding", (F.col("label") >= 5).cast("int").alias("label"))
+    return splitting.batch_split(labelled, "vec_id")
+
+
+def _fitted(spark: SparkSession, sf: str) -> classify.BinaryModel:
+    return classify.fit_binary(_split_vectors(spark, sf), "embedding", "label", "subset")
 
 
 def fit_binary(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _labelled_vectors(spark, sf)
-    return classify.loss_history(vectors, classify.fit_binary(vectors, "embedding", "label"))
+    """Loss and accuracy of training and validation rows, before the first pass and after each."""
+    history = classify.loss_history(spark, _fitted(spark, sf))
+    return history.select("pass", "subset", "row_count", F.round("loss", 9).alias("loss"), F.round("accuracy", 9).alias("accuracy"))
 
 
 def score_batch(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _labelled_vectors(spark, sf)
-    model = classify.fit_binary(vectors, "embedding", "label")
-    return classify.score_batch(vectors, model, "embedding").select("vec_id", "label", "probability", "prediction")
+    """All vectors scored with fixed weights."""
+    vectors = fx.view(spark, sf, "embeddings")
+    dims = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    model = classify.BinaryModel(tuple((i * 37 % 11 - 5) / 10 for i in range(dims)), 0.05)
+    scored = classify.score_batch(vectors, model, "embedding")
+    return scored.select("vec_id", "label", F.round("probability", 9).alias("probability"), "prediction")
 
 
 def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _labelled_vectors(spark, sf)
+    """Fitted on the training rows, saved, loaded, and judged on the test rows."""
     path = scratch_path(spark, "model")
-    classify.save_model(classify.fit_binary(vectors, "embedding", "label"), path)
-    scored = classify.score_batch(vectors, classify.load_model(path), "embedding")
-    return classify.binary_metrics(scored)
+    classify.save_model(spark, _fitted(spark, sf), path)
+    test = _split_vectors(spark, sf).where("subset = 'test'")
+    return classify.binary_metrics(classify.score_batch(test, classify.load_model(spark, path), "embedding"))
 
 
 def score_rounding(spark: SparkSession, sf: str) -> DataFrame:
@@ -396,17 +425,92 @@ def write_results(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(described.schema).parquet(path).select(*described.columns)
 
 
+def write_rule_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows a SQL rule returns, saved in its folder and read again."""
+    path = scratch_path(spark, "rule_rows")
+    sinks.write_rule_rows(run_sql_rule(spark, SQL_RULE, OPTIONS, _subject(spark, sf)), path, SQL_RULE.rule_id)
+    return sinks.read_rule_rows(spark, path, SQL_RULE.rule_id)
+
+
+def check_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run with a broken SQL rule and one that names an absent column: its log, and what its saved CSV holds per rule."""
+    absent = {**fx.RULE_DEFINITIONS[0], "id": "F9", "parameters": {"columns": ["nowhere"]}}
+    path = scratch_path(spark, "run")
+    done = run_checks(
+        fx.projects(spark, sf), [*RULES, *make_rules([absent])], path, OPTIONS, [BROKEN_RULE, SQL_RULE], _subject(spark, sf), fx.RUN_ID
+    )
+    saved = tables.scan_report(spark, done.manifest.place("fail_report")).groupBy("rule_id").agg(F.count("*").alias("saved"))
+    log = sinks.read_run_log(spark, path).join(saved, "rule_id", "left")
+    return log.select("run_id", "rule_id", "status", "row_count", "saved", F.col("error").isNotNull().alias("failed"))
+
+
+def saved_report_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The report saved as CSV: number of rows, and pairs of neighbouring files whose rows are not in reading order."""
+    path = scratch_path(spark, "sorted-csv")
+    sinks.write_report_csv(report.report_sorted(_report(spark, sf)), path)
+    key = F.struct(*(F.coalesce(name, F.lit("")).alias(name) for name in REPORT_ORDER))
+    rows = tables.scan_full_report(spark, path).select(F.input_file_name().alias("file"), key.alias("key"))
+    files = rows.groupBy("file").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+    numbered = files.withColumn("part", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
+    before = F.lag("last").over(Window.orderBy("part"))  # a row per file
+    wrong = F.count_if(F.col("first") < F.col("before")).alias("files_out_of_order")
+    return numbered.withColumn("before", before).agg(F.sum("n").alias("row_count"), wrong)
+
+
+def sql_rule_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Which SQL rules are accepted, and the rows those return."""
+    swapped = SqlRule("Q3", "Swapped", "SELECT project_current_phase, project_number FROM IDENTIFIER(:subject)")
+    subject, rows = _subject(spark, sf), []
+    for rule in (SQL_RULE, BROKEN_RULE, swapped):
+        accepted = sql_rule_check(spark, rule, OPTIONS, subject) is None
+        rows.append((rule.rule_id, accepted, run_sql_rule(spark, rule, OPTIONS, subject).count() if accepted else None))
+    return spark.createDataFrame(rows, "rule_id string, accepted boolean, row_count long")
+
+
 def run_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Runs of the rules on every year of orders, and the most recent of them."""
-    path = scratch_path(spark, "runs")
-    years = fx.view(spark, sf, "orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y")
-    for row in years.collect():
-        ts = f"{row['y']}0601_000000"
-        manifest = sinks.RunManifest(ts, f"run-{row['y']}", ts, f"{row['y']}-06-01", "out")
-        sinks.write_run_manifest(spark, path, manifest, RULES, [SQL_RULE])
-    latest = sinks.latest_run(spark, path)
-    used = sinks.read_run_rules(spark, path)
-    return latest.join(used, "run_id").select("run_id", "run_ts", "run_date", "rule_id", "rule_name", "check_type")
+    """What two real runs left in the runs table: their rules and rows, and which run is the latest."""
+    path, rules = scratch_path(spark, "runs"), [BY_ID["F1"], BY_ID["F5"]]
+    for day in fx.RUN_DAYS:
+        options = RuleOptions(run_date=day)
+        run_checks(fx.projects(spark, sf), rules, path, options, run_id=f"run-{day}", started=datetime.fromisoformat(day))
+    latest = sinks.latest_run(spark, path).select("run_id", F.lit(True).alias("latest"))
+    recorded = sinks.read_runs(spark, path).join(sinks.read_run_rules(spark, path), "run_id")
+    recorded = recorded.join(sinks.read_run_log(spark, path), ["run_id", "rule_id"]).join(latest, "run_id", "left")
+    found = recorded.select("run_id", "run_ts", "run_date", "rule_id", "check_type", "row_count", "latest")
+    return found.fillna(False, ["latest"])
+
+
+def load_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Violations of a rule read from a rules file whose list of values comes from the table."""
+    path, table = scratch_path(spark, "rules"), fx.projects(spark, sf)
+    values = table.where("length(region) = 1 AND region <> 'X'").agg(F.sort_array(F.collect_set("region")).alias("allowed_values"))
+    parameters = F.struct(F.lit("region").alias("column"), "allowed_values", F.lit(True).alias("flag_null"))
+    texts = {"id": "F4", "name": "Known region", "check_type": "value_in_list", "description": "One of F, O, P"}
+    entry = F.struct(*(F.lit(text).alias(name) for name, text in texts.items()), parameters.alias("parameters"))
+    values.select(F.to_json(F.struct(F.array(entry).alias("rules"))).alias("value")).coalesce(1).write.text(path)
+    return report.all_violations(table, tables.load_rules(spark, path), OPTIONS)
+
+
+def clean_header(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as it comes with a byte order mark in front of its header."""
+    table = fx.projects(spark, sf)
+    marked = table.toDF(tables.BYTE_ORDER_MARK + table.columns[0], *table.columns[1:])
+    return tables.clean_header(marked).select("row_key", "region")
+
+
+def date_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns that hold dates by their name, and how many rows fill them."""
+    table = fx.projects(spark, sf)
+    return profile.long_texts(table, profile.date_columns(table)).groupBy("column_name").agg(F.count("v").alias("filled"))
+
+
+def scan_images(spark: SparkSession, sf: str) -> DataFrame:
+    """Files in a folder per class: bytes per class."""
+    path = scratch_path(spark, "files")
+    files = fx.view(spark, sf, "documents").select("source", F.coalesce("text", F.lit("")).alias("value"))
+    files.write.partitionBy("source").option("maxRecordsPerFile", 1000).text(path)
+    found = tables.scan_images(spark, path).groupBy("class").agg(F.sum(F.octet_length("content")).alias("bytes"))
+    return found.select(F.regexp_replace("class", "^source=", "").alias("class"), "bytes")
 
 
 def stream_row_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -436,6 +540,7 @@ QUERIES: dict[str, Query] = {
     "skip_phases_keep_null": skip_phases_keep_null,
     "run_date": run_date,
     # profiling
+    "date_columns": date_columns,
     "date_profile": date_profile,
     "date_format_histogram": date_format_histogram,
     "semantic_schema": semantic_schema,
@@ -470,9 +575,12 @@ QUERIES: dict[str, Query] = {
     "rule_summary_zero_filled": full_rule_summary,
     "violation_total": violation_total,
     "rule_execution_log": rule_execution_log,
+    "check_run": check_run,
+    "saved_report_order": saved_report_order,
     # SQL rules
     "sql_rule": sql_rule,
     "sql_pinned_date": sql_pinned_date,
+    "sql_rule_check": sql_rule_checks,
     "dedupe_columns": dedupe,
     # reconciling
     "truth_summary": truth_summary,
@@ -486,6 +594,8 @@ QUERIES: dict[str, Query] = {
     # trace
     "trace_record": _trace(TRACED_RECORD),
     "trace_all_records": _trace(None),
+    "trace_with_result": trace_with_result,
+    "trace_without_phase": trace_without_phase,
     # images and classification
     "image_format": image_format,
     "image_allowlist": image_allowlist,
@@ -507,6 +617,10 @@ QUERIES: dict[str, Query] = {
     "scan_report": scan_report,
     "scan_summary": scan_summary,
     "write_results": write_results,
+    "write_rule_rows": write_rule_rows,
+    "load_rules": load_rules,
+    "clean_header": clean_header,
+    "scan_images": scan_images,
     "run_manifest": run_manifest,
     # streaming
     "stream_row_rules": stream_row_rules,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from plumbrule.functions import text
+
 DATE_FUNCTION = "dq_to_date"
 
 
@@ -13,12 +15,6 @@ def register_sql_functions(spark: SparkSession) -> None:
     It is a SQL function, so the analyzer expands it in place and the query keeps its
     generated code; no Python runs.
     """
-    spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION {DATE_FUNCTION}(x STRING) RETURNS DATE
-        COMMENT 'Date from the first ten characters of trimmed text, NULL if in no known layout'
-        RETURN coalesce(
-          try_to_date(substring(trim(x), 1, 10), 'yyyy-MM-dd'),
-          try_to_date(substring(trim(x), 1, 10), 'dd/MM/yyyy'),
-          try_to_date(substring(trim(x), 1, 10), 'dd-MM-yyyy'),
-          try_to_date(substring(trim(x), 1, 10), 'yyyy/MM/dd'))"""
-    )
+    day = text.date_of(text.head_of_date(text.cleaned("x")))
+    comment = "Date from the first ten characters of trimmed text, NULL if in no known layout"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {DATE_FUNCTION}(x STRING) RETURNS DATE COMMENT '{comment}' RETURN {day}")

@@ -18,6 +18,9 @@ from plumbrule.functions.columns import ColumnOrName, column
 from plumbrule.operators.splitting import row_positions
 from plumbrule.workspace import BROADCAST_ROWS, broadcast_if_small
 
+# Bytes of prepared pixels in one frame.
+FRAME_BYTES = 16 << 20
+
 
 def image_format(content: ColumnOrName) -> Column:
     """Format told by the leading bytes, whatever the file is called; NULL if none is known."""
@@ -95,8 +98,8 @@ def image_prepare(
 
     `image` is a column of Spark's image schema, which decodes in the JVM and holds BGR
     bytes. Resizing is bilinear with pixel centres at half steps. `rounded` rounds
-    to whole pixel values before scaling. Arrow hands the images over in batches of
-    bounded bytes and one image is prepared at a time.
+    to whole pixel values before scaling. One image is prepared at a time; prepared images are
+    handed back in frames of about `FRAME_BYTES`.
     """
     keep = tuple(keep)
     parts = [F.col(f"{image}.{name}").alias(f"__{name}") for name in ("height", "width", "nChannels", "data")]
@@ -113,6 +116,7 @@ def image_prepare(
             low = np.floor(at).astype(int)
             return low, np.minimum(low + 1, size - 1), at - low
 
+        ready = []
         for batch in batches:
             for row in batch.to_dict("records"):
                 height, width, channels = row.pop("__height"), row.pop("__width"), row.pop("__nChannels")
@@ -127,7 +131,12 @@ def image_prepare(
                 resized = upper * (1 - down[:, None, None]) + lower * down[:, None, None]
                 if rounded:
                     resized = np.rint(resized)
-                yield pd.DataFrame([{**row, "pixels": (resized / 255.0).ravel()}])
+                ready.append({**row, "pixels": (resized / 255.0).ravel()})
+                if len(ready) * side * side * 3 * 8 >= FRAME_BYTES:
+                    yield pd.DataFrame(ready)
+                    ready = []
+        if ready:
+            yield pd.DataFrame(ready)
 
     from pyspark.sql import types as T
 

@@ -1,10 +1,10 @@
-"""Global order that does not depend on how often a row is repeated.
+"""Global order by one shuffle that does not depend on how often a row is repeated.
 
-A range shuffle sends equal sort keys to one task. Where a third of all rows may be copies
-of one row, that task would get a third of the data. Copies are therefore counted
-first (partially on the map side), sorted as runs of at most `run_length` copies with
-the run number as last sort key, and written out again behind the sort. Everything is a
-function of the data, so recomputing a lost partition gives the same rows.
+A range shuffle sends equal sort keys to one task. Where a third of all rows may be copies of one row, that task would get a third
+of the data. Two more keys behind the asked ones cut such runs: a hash of the row, which spreads rows that agree in the asked keys
+but differ elsewhere, and a number that tells copies of one row apart. That number depends on the order in which a task
+meets its rows, but only among equal rows: should a lost task run again and meet them in another order, copies of one
+row change places and nothing else.
 """
 
 from __future__ import annotations
@@ -14,18 +14,10 @@ from pyspark.sql import functions as F
 
 from plumbrule.functions.columns import column
 
-COPIES, RUN = "__copies", "__run"
+SPREAD, COPY = "__spread", "__copy"
 
 
-def ordered(df: DataFrame, *keys: str, run_length: int = 10_000) -> DataFrame:
+def ordered(df: DataFrame, *keys: str) -> DataFrame:
     """All rows of `df` in the order of `keys`."""
-    names = df.columns
-    rows = df.groupBy(*(column(name) for name in names)).agg(F.count("*").alias(COPIES))
-    last_run = F.expr(f"({COPIES} - 1) div {run_length}")
-    runs = rows.withColumn(RUN, F.explode(F.sequence(F.lit(0).cast("long"), last_run)))
-    # Rows that agree in the sort keys but differ elsewhere are spread by their hash.
-    spread = F.xxhash64(*(column(name) for name in names))
-    by_key = runs.orderBy(*(column(key) for key in keys), spread, RUN)
-    left = F.least(F.lit(run_length).cast("long"), F.col(COPIES) - F.col(RUN) * run_length)
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), left))
-    return by_key.select(*(column(name) for name in names), copies.alias("__copy")).drop("__copy")
+    told_apart = df.withColumns({SPREAD: F.xxhash64(*(column(name) for name in df.columns)), COPY: F.monotonically_increasing_id()})
+    return told_apart.orderBy(*(column(key) for key in keys), SPREAD, COPY).drop(SPREAD, COPY)

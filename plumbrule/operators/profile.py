@@ -23,15 +23,19 @@ def date_columns(df: DataFrame, parts: Sequence[str] = DATE_NAME_PARTS) -> list[
     return [name for name in df.columns if any(part in name.lower() for part in parts)]
 
 
+def long_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The trimmed values of the columns, one per row: `column_name`, `v`."""
+    texts = df.select(*(clean_text(name).alias(name) for name in columns))
+    return texts.unpivot([], [column(name) for name in columns], "column_name", "v")
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows per (column, trimmed value): `column_name`, `v`, `n`.
 
     The columns are unpivoted in the scan stage and counted partially there. A value is
     then looked at once, not once per row, which is what makes parsing it affordable.
     """
-    texts = df.select(*(clean_text(name).alias(name) for name in columns))
-    long = texts.unpivot([], [column(name) for name in columns], "column_name", "v")
-    return long.groupBy("column_name", "v").agg(F.count("*").alias("n"))
+    return long_texts(df, columns).groupBy("column_name", "v").agg(F.count("*").alias("n"))
 
 
 def date_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -57,29 +61,30 @@ def date_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def date_format_histogram(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per date column: rows per shape of the text, blanks left out."""
+    """Per date column: rows per shape of the text, blanks left out.
+
+    The shape is told in the scan stage, before anything is counted, so a task shuffles a row per column and shape at most.
+    """
     columns = date_columns(df) if columns is None else list(columns)
     (first, pattern), *others = DATE_SHAPES
     shape = F.when(F.col("v").rlike(pattern), first)
     for name, pattern in others:
         shape = shape.when(F.col("v").rlike(pattern), name)
-    present = value_counts(df, columns).where(F.col("v") != "")
-    shaped = present.groupBy("column_name", shape.otherwise(OTHER_SHAPE).alias("detected_format"))
-    return shaped.agg(F.sum("n").alias("count")).orderBy("column_name", "detected_format")
+    present = long_texts(df, columns).where(F.col("v") != "")
+    shaped = present.select("column_name", shape.otherwise(OTHER_SHAPE).alias("detected_format"))
+    return shaped.groupBy("column_name", "detected_format").agg(F.count("*").alias("count")).orderBy("column_name", "detected_format")
 
 
-def semantic_schema(df: DataFrame, sample_fraction: float | None = None, seed: int = 0) -> DataFrame:
+def semantic_schema(df: DataFrame) -> DataFrame:
     """Per column: DATE by its name, NUMERIC if every value is all digits, else STRING.
 
-    One aggregation over all columns at once; only its single row is unpivoted. The
-    whole column is read unless a sample is asked for.
+    One aggregation over all values of all columns at once; only its single row is unpivoted.
     """
-    rows = df if sample_fraction is None else df.sample(sample_fraction, seed)
     all_digits = [
         F.coalesce(F.bool_and(column(name).cast("string").rlike("^[0-9]+$")), F.lit(False)).alias(name)
         for name in df.columns
     ]
-    totals = rows.agg(F.count("*").alias("__rows"), *all_digits)
+    totals = df.agg(F.count("*").alias("__rows"), *all_digits)
     columns = totals.unpivot("__rows", [column(name) for name in df.columns], "column_name", "digits")
     kind = (
         F.when(F.lower("column_name").contains("date"), "DATE").when(F.col("digits"), "NUMERIC").otherwise("STRING")

@@ -1,23 +1,19 @@
-"""From violations to the report people read, its summary and the log of a run."""
+"""From violations to the report people read, and its summary."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plumbrule.constants import REPORT_COLUMNS, REPORT_ORDER, SUMMARY_KEYS, UNIQUE
-from plumbrule.functions.columns import column
 from plumbrule.operators.ordering import ordered
 from plumbrule.operators.row_rules import check_rule, row_violations
-from plumbrule.operators.sql_rules import SqlRule, run_sql_rule, sql_violations
+from plumbrule.operators.sql_rules import SqlRule, sql_violations
 from plumbrule.operators.unique_rules import unique_violations
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule, rules_table
-from plumbrule.workspace import scratch_path
 
 
 def all_violations(
@@ -82,68 +78,3 @@ def full_rule_summary(report: DataFrame, rules: Iterable[Rule | SqlRule]) -> Dat
 def violation_total(summary: DataFrame) -> DataFrame:
     """Grand total of a rule summary, zero if it is empty."""
     return summary.agg(F.coalesce(F.sum("violation_count"), F.lit(0)).alias("violation_total"))
-
-
-def rule_execution_log(
-    df: DataFrame,
-    rules: Sequence[Rule],
-    options: RuleOptions = RuleOptions(),
-    sql_rules: Sequence[SqlRule] = (),
-    subject: str | None = None,
-) -> DataFrame:
-    """Status, number of reported rows and error of each rule; a failing rule stops no other.
-
-    The declarative rules are counted together in one job, or each by itself if that fails.
-    A SQL rule is run in full and counted from what it wrote. Only counts come back to the
-    driver. Two rules with one id are an error.
-    """
-    ids = [rule.rule_id for rule in (*rules, *sql_rules)]
-    if len(set(ids)) < len(ids):
-        raise ValueError("two rules have the same id")
-    status: dict[str, tuple[str, int | None, str | None]] = {}
-    usable = []
-    for rule in rules:
-        try:
-            if check_rule(rule, df.columns, options):
-                usable.append(rule)
-            else:
-                status[rule.rule_id] = ("SKIPPED", None, f"unknown check type '{rule.check_type}'")
-        except ValueError as error:
-            status[rule.rule_id] = ("ERROR", None, str(error))
-    try:
-        counted = _counts(df, usable, options)
-        status |= {rule.rule_id: ("OK", counted.get(rule.rule_id, 0), None) for rule in usable}
-    except Exception:  # one of them is faulty: each by itself
-        for rule in usable:
-            try:
-                status[rule.rule_id] = ("OK", _counts(df, [rule], options).get(rule.rule_id, 0), None)
-            except Exception as error:
-                status[rule.rule_id] = ("ERROR", None, f"{type(error).__name__}: {error}")
-    for rule in sql_rules:
-        try:
-            returned = run_sql_rule(df.sparkSession, rule, options, subject)
-            status[rule.rule_id] = ("OK", _rows_of_full_run(returned), None)
-        except Exception as error:  # a user's query may fail in any way
-            status[rule.rule_id] = ("ERROR", None, f"{type(error).__name__}: {error}")
-    return _log_frame(df.sparkSession, [(rule_id, *status[rule_id]) for rule_id in ids])
-
-
-def _counts(df: DataFrame, rules: Sequence[Rule], options: RuleOptions) -> dict[str, int]:
-    counts = all_violations(df, rules, options).groupBy("rule_id").count().collect()
-    return {row["rule_id"]: row["count"] for row in counts}
-
-
-def _rows_of_full_run(df: DataFrame) -> int:
-    """Number of rows, counted from what a full run wrote: a plain count would leave out the
-    columns and with them any error they raise."""
-    path = scratch_path(df.sparkSession, "rule_rows")
-    untyped = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)}
-    typed = df.select(*(F.lit(None).cast("string").alias(name) if name in untyped else column(name) for name in df.columns))
-    typed.write.parquet(path)
-    return df.sparkSession.read.parquet(path).count()
-
-
-def _log_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    types = (("rule_id", pa.string()), ("status", pa.string()), ("row_count", pa.int64()), ("error", pa.string()))
-    columns = [pa.array([row[i] for row in rows], kind) for i, (_, kind) in enumerate(types)]
-    return spark.createDataFrame(pa.table(columns, names=[name for name, _ in types]))

@@ -1,10 +1,14 @@
 """Rules that look at one row at a time, evaluated together in a single pass.
 
-The conditions of all rules go into one array of hit numbers that is exploded, so any
-number of rules costs one scan and no shuffle. Field, value and explanation are only
-built for hits, after the explode. Trimmed texts, missing flags and parsed dates are
-computed once per column in projections below the rules. Nothing here needs more than
-the row itself, so the same code runs on a streaming DataFrame.
+The findings of all rules go into arrays that are exploded together, so any number of rules costs one scan and no
+shuffle. Trimmed texts, missing flags and parsed dates are computed once per column in projections below the rules. A
+finding takes along its number, the value it is about and what else depends on the row; texts that only depend on the
+rule are looked up by that number, in constant arrays, after the explode. Nothing here needs more than the row itself, so the
+same code runs on a streaming DataFrame.
+
+Spark makes one method of all projections in a row, and the JVM compiles no method beyond 8,000 bytes. Expressions are
+therefore taken in parts of at most `PART_LENGTH` characters with a boundary of code generation between them, whatever the
+number of rules and columns.
 """
 
 from __future__ import annotations
@@ -37,17 +41,38 @@ from plumbrule.functions.text import listed, literal, quoted
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule
 
-HIT, FIELD, VALUE, DAY = "__hit", "__field", "__value", "__gate_day"
+HIT, VALUE, DAY, DETAIL = "__hit", "__value", "__gate_day", "__detail"
+# Characters of SQL in one generated method, and partitions that no table has.
+PART_LENGTH = 3_000
+NO_LIMIT = 1 << 30
 VIOLATION_COLUMNS = ("rule_id", "record_id", "phase", "failed_field", "failed_value")
 
 
+def boundary(df: DataFrame) -> DataFrame:
+    """`df` with an end of code generation behind it. Coalescing to more partitions than there are moves no row."""
+    return df.coalesce(NO_LIMIT)
+
+
+def parts_of(expressions: Iterable[str]) -> list[list[str]]:
+    """The expressions in parts of bounded length, in their order; a longer one is a part of its own."""
+    parts: list[list[str]] = []
+    length = PART_LENGTH
+    for expression in expressions:
+        length += len(expression)
+        if length > PART_LENGTH:
+            parts.append([])
+            length = len(expression)
+        parts[-1].append(expression)
+    return parts
+
+
 class PreparedColumns:
-    """Per-column values several rules share; each is computed once, in one of three layers."""
+    """Per-column values several rules share; each is computed once, in one of four layers."""
 
     def __init__(self, options: RuleOptions):
         self.options = options
         self._numbers: dict[str, int] = {}
-        self._layers: tuple[dict[str, str], ...] = ({}, {}, {})
+        self._layers: tuple[dict[str, str], ...] = ({}, {}, {}, {})
 
     def _add(self, layer: int, kind: str, name: str, expression: str) -> str:
         number = self._numbers.setdefault(name.lower(), len(self._numbers))
@@ -55,34 +80,34 @@ class PreparedColumns:
         self._layers[layer].setdefault(alias, expression)
         return alias
 
+    def _raw(self, name: str) -> str:
+        return self._add(0, "raw", name, f"CAST({quoted(name)} AS STRING)")
+
     def text(self, name: str) -> str:
-        return self._add(0, "text", name, sql.cleaned(quoted(name)))
+        return self._add(1, "text", name, sql.cleaned(self._raw(name)))
 
     def number(self, name: str) -> str:
-        return self._add(0, "number", name, sql.number_of(quoted(name)))
+        return self._add(1, "number", name, sql.number_of(self._raw(name)))
 
     def missing(self, name: str) -> str:
-        return self._add(1, "missing", name, sql.is_missing(self.text(name), self.options.sentinels))
+        return self._add(2, "missing", name, sql.is_missing(self.text(name), self.options.sentinels))
 
     def day(self, name: str) -> str:
         """Date of a populated date column; NULL when missing or unreadable."""
         head = sql.head_of_date(sql.present(self.text(name), self.options.sentinels))
-        return self._add(2, "day", name, sql.date_of(self._add(1, "head", name, head)))
-
-    def shown(self, name: str) -> str:
-        return sql.shown(self.text(name))
+        return self._add(3, "day", name, sql.date_of(self._add(2, "head", name, head)))
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Identifying columns plus everything requested so far."""
-        first, *others = self._layers
+        raw, *layers = self._layers
         kept = [
             f"{identity(self.options.id_column)} AS record_id",
             f"{identity(self.options.phase_column)} AS phase",
         ]
-        prepared = df.selectExpr(*kept, *_named(first))
-        for layer in others:
-            if layer:
-                prepared = prepared.selectExpr("*", *_named(layer))
+        prepared = df.selectExpr(*kept, *_named(raw))
+        for layer in layers:
+            for part in parts_of(_named(layer)):
+                prepared = boundary(prepared.selectExpr("*", *part))
         return prepared
 
 
@@ -107,19 +132,30 @@ def kept_by_phase(rule: Rule, ready: PreparedColumns) -> str:
 class Finding:
     """What one violation of a rule looks like, in SQL text.
 
-    `field` and `value` (NULL shows as such) are SQL or, as `Fixed`, plain text. The
-    explanation is the SQL `why` between the plain texts `before` and `after`; it may
-    refer to the hit's VALUE, FIELD and DAY, so that findings of a kind share their code.
+    `value` (NULL shows as such) is SQL or, as `Fixed`, plain text. `field` is plain text, or NULL where it is the
+    `detail`, SQL over the row. The explanation is the SQL `why` between the plain texts `before` and `after`; it
+    refers to VALUE, DAY and DETAIL only, so that findings of a kind share their code.
     """
 
     rule: Rule
     condition: str
-    field: str
+    field: str | None
     value: str
     before: str
     why: str
     after: str = ""
     day: str = "CAST(NULL AS DATE)"
+    detail: str = "CAST(NULL AS STRING)"
+
+    def taken(self, number: int, explained: bool) -> str:
+        """The finding as it is exploded."""
+        value = literal(None) if isinstance(self.value, Fixed) else self.value
+        parts = {HIT: str(number), VALUE: value}
+        if explained or self.field is None:
+            parts |= {DAY: self.day, DETAIL: self.detail}
+        else:
+            parts |= {DAY: "CAST(NULL AS DATE)", DETAIL: "CAST(NULL AS STRING)"}
+        return f"named_struct({', '.join(f'{literal(name)}, {part}' for name, part in parts.items())})"
 
 
 class Fixed(str):
@@ -141,7 +177,7 @@ VALUE_OR_NULL = f"coalesce({in_quotes(VALUE)}, {literal(NULL_TEXT)})"
 def column_finding(rule: Rule, condition: str, name: str, ready: PreparedColumns, found: str) -> Finding:
     """A finding about the value of a single column."""
     before, after = f"Column: {name} | Found: ", f" | Expected: {rule.description}"
-    return Finding(rule, condition, Fixed(name), ready.text(name), before, found, after)
+    return Finding(rule, condition, name, ready.text(name), before, found, after)
 
 
 def some(conditions: Iterable[str]) -> str:
@@ -187,10 +223,10 @@ def overdue_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
             in_phase, text, day = f"{phase} = {literal(name)}", ready.text(gate), ready.day(gate)
             before = f"Project is in phase '{name}'. {options.label(gate)} milestone date ("
             late = f"({in_phase} AND datediff({today}, {day}) > {rule.overdue_days})"
-            late_alternatives.append(Finding(rule, late, Fixed(gate), text, before, days, after, day))
+            late_alternatives.append(Finding(rule, late, gate, text, before, days, after, day))
             before = f"Project is in phase '{name}'. Could not parse gate date '"
             unread = f"({in_phase} AND NOT {ready.missing(gate)} AND {day} IS NULL)"
-            unread_alternatives.append(Finding(rule, unread, Fixed(gate), text, before, SHOWN, "'."))
+            unread_alternatives.append(Finding(rule, unread, gate, text, before, SHOWN, "'."))
     return [late_alternatives, unread_alternatives] if options.report_unparsed else [late_alternatives]
 
 
@@ -225,7 +261,7 @@ def completeness_findings(rule: Rule, ready: PreparedColumns) -> list[Alternativ
         condition = f"({phase} = {literal(name)} AND {some(ready.missing(gate) for gate in gates)})"
         before = f"Missing required gates for phase '{name}': "
         labels = joined(", ", parts[name])
-        alternatives.append(Finding(rule, condition, labels, Fixed(COMPLETENESS_VALUE), before, FIELD))
+        alternatives.append(Finding(rule, condition, None, Fixed(COMPLETENESS_VALUE), before, DETAIL, detail=labels))
     return [alternatives]
 
 
@@ -243,8 +279,8 @@ def not_future_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives
     alternatives = []
     for name, gates in rule.phase_gates:
         condition = f"({phase} = {literal(name)} AND {some(f'{ready.day(gate)} > {today}' for gate in gates)})"
-        why = joined("; ", parts[name])
-        alternatives.append(Finding(rule, condition, Fixed(FUTURE_FIELD), Fixed(SEE_EXPLANATION), "", why))
+        reasons = joined("; ", parts[name])
+        alternatives.append(Finding(rule, condition, FUTURE_FIELD, Fixed(SEE_EXPLANATION), "", DETAIL, detail=reasons))
     return [alternatives]
 
 
@@ -258,7 +294,7 @@ def sequence_findings(rule: Rule, ready: PreparedColumns) -> list[Alternatives]:
         reasons.append(
             f"CASE WHEN {out_of_order} THEN concat({first}, {ready.day(later)}, {second}, {ready.day(earlier)}, ')') END"
         )
-    return [[Finding(rule, some(wrong), Fixed(SEQUENCE_FIELD), Fixed(SEE_EXPLANATION), "", joined("; ", reasons))]]
+    return [[Finding(rule, some(wrong), SEQUENCE_FIELD, Fixed(SEE_EXPLANATION), "", DETAIL, detail=joined("; ", reasons))]]
 
 
 FINDING_BUILDERS: dict[str, Callable[[Rule, PreparedColumns], list[Alternatives]]] = {
@@ -308,48 +344,53 @@ def row_violations(df: DataFrame, rules: Iterable[Rule], options: RuleOptions =
     if not groups:
         return no_violations(df, options)
     findings: list[Finding] = []
-    hits = []
-    for alternatives in groups:
-        branches = []
-        for finding in alternatives:
-            condition = f"{finding.condition} AND {kept_by_phase(finding.rule, ready)}"
-            branches.append(f"WHEN {condition} THEN {len(findings)}")
-            findings.append(finding)
-        hits.append(f"CASE {' '.join(branches)} END")
-    exploded = ready.apply(df).selectExpr("*", f"explode(array({', '.join(hits)})) AS {HIT}")
-    details = {
-        FIELD: by_hit([finding.field for finding in findings]),
-        VALUE: by_hit([finding.value for finding in findings]),
-        DAY: by_hit([finding.day for finding in findings]),
-    }
-    found = exploded.where(f"{HIT} IS NOT NULL").selectExpr("*", *_named(details))
+    parts = parts_of_alternatives(groups, ready, findings)
+    checked = ready.apply(df)  # after the findings are built, which ask for columns
+    for number, part in enumerate(parts):
+        entries = f"array({', '.join(part)})"
+        every = "*" if number == 0 else "* EXCEPT (__found)"
+        checked = boundary(checked.selectExpr(every, f"{entries if number == 0 else f'concat(__found, {entries})'} AS __found"))
+    found = checked.selectExpr("record_id", "phase", "explode_outer(__found) AS __found").where("__found IS NOT NULL")
+    whys = list(dict.fromkeys(finding.why for finding in findings))
+    why = " ".join(f"WHEN {number} THEN {text}" for number, text in enumerate(whys))
+
+    def of_hit(constants: Iterable[str | int | None]) -> str:
+        """The constant the finding's number points at."""
+        return f"get(array({', '.join(literal(constant) for constant in constants)}), {HIT})"
+
     shown = {
-        "rule_id": by_hit([Fixed(finding.rule.rule_id) for finding in findings]),
+        "rule_id": of_hit(finding.rule.rule_id for finding in findings),
         "record_id": "record_id",
         "phase": "phase",
-        "failed_field": FIELD,
-        "failed_value": SHOWN,
-        "explanation": f"""concat({by_hit([Fixed(finding.before) for finding in findings])},
-            {by_hit([finding.why for finding in findings])},
-            {by_hit([Fixed(finding.after) for finding in findings])})""",
+        "failed_field": f"coalesce({of_hit(finding.field for finding in findings)}, {DETAIL})",
+        "failed_value": f"coalesce({of_hit(str(f.value) if isinstance(f.value, Fixed) else None for f in findings)}, {SHOWN})",
+        "explanation": f"""concat({of_hit(finding.before for finding in findings)},
+            CASE {of_hit(whys.index(finding.why) for finding in findings)} {why} END,
+            {of_hit(finding.after for finding in findings)})""",
     }
-    return found.selectExpr(*(f"{shown[name]} AS {name}" for name in shown_columns(options)))
-
-
-def by_hit(choices: Sequence[str]) -> str:
-    """The choice the hit number points at. Fixed texts come from a constant array; hits
-    with the same SQL share a branch."""
-    fixed = [choice if isinstance(choice, Fixed) else None for choice in choices]
-    computed: dict[str, list[str]] = {}
-    for place, choice in enumerate(choices):
-        if not isinstance(choice, Fixed):
-            computed.setdefault(choice, []).append(str(place))
-    constants = f"get(array({', '.join(literal(text) for text in fixed)}), {HIT})"
-    if not computed:
-        return constants
-    branches = " ".join(f"WHEN {HIT} IN ({', '.join(places)}) THEN {choice}" for choice, places in computed.items())
-    otherwise = f"ELSE {constants} " if any(text is not None for text in fixed) else ""
-    return f"CASE {branches} {otherwise}END"
+    return found.selectExpr("record_id", "phase", "__found.*").selectExpr(*(f"{shown[name]} AS {name}" for name in shown_columns(options)))
+
+
+def parts_of_alternatives(groups: Iterable[Alternatives], ready: PreparedColumns, findings: list[Finding]) -> list[list[str]]:
+    """Per part of bounded length the entries of its array, NULL where nothing is found. `findings` gets them by number.
+
+    Alternatives are branches of one entry; those that would make their part too long go on in an entry of the next one.
+    """
+    branches, entries = [], []
+    for entry, alternatives in enumerate(groups):
+        for finding in alternatives:
+            condition = f"{finding.condition} AND {kept_by_phase(finding.rule, ready)}"
+            branches.append(f"WHEN {condition} THEN {finding.taken(len(findings), ready.options.explain)}")
+            entries.append(entry)
+            findings.append(finding)
+    numbered = iter(entries)
+    parts = []
+    for part in parts_of(branches):
+        together: dict[int, list[str]] = {}
+        for branch in part:
+            together.setdefault(next(numbered), []).append(branch)
+        parts.append([f"CASE {' '.join(own)} END" for own in together.values()])
+    return parts
 
 
 def shown_columns(options: RuleOptions) -> tuple[str, ...]:

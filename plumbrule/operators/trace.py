@@ -35,12 +35,13 @@ def _seen(stage: str, position: int, name: str, df: DataFrame, options: RuleOpti
 def _rows(df: DataFrame, stage: str, rule: Rule, record_id: str | None, options: RuleOptions) -> DataFrame:
     """Phase, the columns the rule reads in that phase, and which of them it finds missing.
 
-    One scan: all rows of a record come out of one explode.
+    One scan: all rows of a record come out of one explode. Without a phase column, as a SQL rule may return rows, the phase
+    is UNKNOWN, for which no rule lists gates.
     """
-    phase = clean_text(options.phase_column)
+    available = {name.lower() for name in df.columns}
+    phase = clean_text(options.phase_column) if options.phase_column.lower() in available else F.lit(UNKNOWN_TEXT)
     by_phase = [(phase == name, gates) for name, gates in rule.phase_gates]
     cases = by_phase or [(F.lit(True), rule.used_columns())]
-    available = {name.lower() for name in df.columns}
     entries = [_seen(stage, 0, options.phase_column, df, options)]
     for applies, names in cases:
         for position, name in enumerate(names, start=1):

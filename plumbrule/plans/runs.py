@@ -9,19 +9,21 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
+from plumbrule.operators.execution import execute_rules
 from plumbrule.operators.reconcile import (
     compare_counts,
     compared,
     false_negatives,
     false_positives,
     mismatch_summary,
+    record_balance,
     summary_check,
 )
-from plumbrule.operators.report import all_violations, rule_summary, violation_report
+from plumbrule.operators.report import all_violations, report_sorted, rule_summary
 from plumbrule.operators.sql_rules import SqlRule
 from plumbrule.plans.options import RuleOptions
 from plumbrule.plans.rules import Rule
-from plumbrule.sources.sinks import RunManifest, write_report_csv, write_results, write_run_manifest
+from plumbrule.sources.sinks import RunManifest, write_report_csv, write_run_manifest
 from plumbrule.workspace import scratch_path
 
 
@@ -32,6 +34,7 @@ class CheckRun:
     manifest: RunManifest
     report: DataFrame
     summary: DataFrame
+    log: DataFrame
 
 
 def run_checks(
@@ -44,9 +47,11 @@ def run_checks(
     run_id: str | None = None,
     started: datetime | None = None,
 ) -> CheckRun:
-    """Evaluate all rules and save report, summary and manifest.
+    """Evaluate all rules and save report, summary, rows of SQL rules, log and manifest.
 
-    The table is read for the report only. Summary and CSV come from the saved report.
+    A rule that cannot run, or a SQL rule that its check rejects, is logged with its error and stops no other. The table is read for
+    the report only. Summary and CSV come from the saved report, the CSV in reading order over numbered files. The folders
+    of a run end in its `run_ts` and `run_id`; the run counts as done once it stands in `runs`, which is written last.
     """
     spark = table.sparkSession
     started = started or datetime.now(timezone.utc).replace(tzinfo=None)
@@ -58,16 +63,22 @@ def run_checks(
         run_date=options.today().isoformat(),
         output_path=base,
     )
-    violations = all_violations(table, rules, options, sql_rules, subject)
-    described = violation_report(violations, [*rules, *sql_rules], manifest.run_id, manifest.timestamp)
-    saved_at = f"{base}/violations_{manifest.run_ts}"
-    write_results(described, saved_at)
-    report = spark.read.schema(described.schema).parquet(saved_at).select(*described.columns)
-    summary = rule_summary(report)
-    write_report_csv(report, f"{base}/fail_report_{manifest.run_ts}")
-    write_report_csv(summary, f"{base}/rule_summary_{manifest.run_ts}.csv", single_file=True)
-    write_run_manifest(spark, base, manifest, rules, sql_rules)
-    return CheckRun(manifest, report, summary)
+    done = execute_rules(
+        table,
+        rules,
+        manifest.place("violations"),
+        manifest.place("rule_rows"),
+        options,
+        sql_rules,
+        subject,
+        manifest.run_id,
+        manifest.timestamp,
+    )
+    summary = rule_summary(done.report)
+    write_report_csv(report_sorted(done.report), manifest.place("fail_report"))
+    write_report_csv(summary, manifest.place("rule_summary") + ".csv", single_file=True)
+    write_run_manifest(spark, base, manifest, rules, sql_rules, done.log)
+    return CheckRun(manifest, done.report, summary, done.log)
 
 
 @dataclass(frozen=True)
@@ -92,20 +103,20 @@ def audit_report(
 ) -> Audit:
     """Recompute the violations of `table` and reconcile `report` with them.
 
-    The truth is written once (to the shared folder unless a path is given); every
-    comparison reads it from there.
+    The truth is written once (to the shared folder unless a path is given), and so is its balance with the report, which
+    every comparison reads.
     """
     spark = table.sparkSession
     truth_path = truth_path or scratch_path(spark, "truth")
     expected = all_violations(table, rules, replace(options, explain=False))
     compared(expected).write.mode("overwrite").parquet(truth_path)
-    truth, actual = spark.read.parquet(truth_path), compared(report)
-    comparison = compare_counts(truth, actual, rules)
+    truth = spark.read.parquet(truth_path)
+    balance = record_balance(truth, compared(report), saved_summary)
     return Audit(
         truth=truth,
-        comparison=comparison,
-        mismatches=mismatch_summary(truth, actual, rules),
-        summary=summary_check(comparison, saved_summary),
-        missed=false_negatives(truth, actual),
-        invented=false_positives(truth, actual),
+        comparison=compare_counts(balance, rules),
+        mismatches=mismatch_summary(balance, rules),
+        summary=None if saved_summary is None else summary_check(balance, rules),
+        missed=false_negatives(balance),
+        invented=false_positives(balance),
     )

@@ -6,32 +6,31 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from plumbrule.functions.columns import column
 from plumbrule.operators.sql_rules import SqlRule
 from plumbrule.plans.rules import Rule
 from plumbrule.sources.tables import REPORT_CSV
 
-# Rows a single CSV file may hold; larger frames are written as a folder of files.
-SINGLE_FILE_ROWS = 1_000_000
 WRITE_OPTIONS = {key: value for key, value in REPORT_CSV.items() if key != "multiLine"}
 
 
 def write_report_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Write as CSV that reads back unchanged (but for empty text, which reads as NULL).
 
-    By default a folder with one file per task. `single_file` makes one file at exactly
-    `path`, for frames counted to be small: it is written next to it and moved into
-    place, so a reader sees the old file or the new one.
+    By default a folder with one file per task, whose numbers follow the order of a sorted frame. `single_file` makes one file at
+    exactly `path`, which one task writes row by row, in the frame's order: it is written next to it and moved into place, so a
+    reader sees the old file or the new one.
     """
     if not single_file:
         df.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
         return
-    if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file; write a folder")
     spark = df.sparkSession
     work = f"{path}.tmp-{uuid.uuid4().hex}"
     df.coalesce(1).write.options(**WRITE_OPTIONS).csv(work)
@@ -45,18 +44,29 @@ def write_report_csv(df: DataFrame, path: str, single_file: bool = False) -> Non
     files.delete(folder, True)
 
 
-def write_results(report: DataFrame, path: str) -> None:
+def write_results(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The report as Parquet, one folder per rule.
 
     The rebalance hint spreads a rule with many violations over several files and gathers
     small ones, so the number of files follows the data and not tasks times rules.
     """
-    report.hint("rebalance", "rule_id").write.mode("overwrite").partitionBy("rule_id").parquet(path)
+    report.hint("rebalance", "rule_id").write.mode(mode).partitionBy("rule_id").parquet(path)
+
+
+def rule_folder(path: str, rule_id: str) -> str:
+    return f"{path}/{quote(rule_id, safe='')}"
 
 
 def write_rule_rows(rows: DataFrame, path: str, rule_id: str) -> None:
-    """The rows a SQL rule returned, in their own columns, in the rule's folder."""
-    rows.write.mode("overwrite").parquet(f"{path}/{rule_id}")
+    """The rows a SQL rule returned, in their own columns, in the rule's folder. Columns without a type become text."""
+    untyped = {f.name for f in rows.schema.fields if isinstance(f.dataType, T.NullType)}
+    typed = rows.select(*(F.lit(None).cast("string").alias(name) if name in untyped else column(name) for name in rows.columns))
+    typed.write.mode("overwrite").parquet(rule_folder(path, rule_id))
+
+
+def read_rule_rows(spark: SparkSession, path: str, rule_id: str) -> DataFrame:
+    """The saved rows of a SQL rule."""
+    return spark.read.parquet(rule_folder(path, rule_id))
 
 
 @dataclass(frozen=True)
@@ -69,6 +79,10 @@ class RunManifest:
     run_date: str
     output_path: str
 
+    def place(self, name: str) -> str:
+        """Path of a file or folder of this run."""
+        return f"{self.output_path}/{name}_{self.run_ts}_{quote(self.run_id, safe='')}"
+
 
 def write_run_manifest(
     spark: SparkSession,
@@ -76,9 +90,10 @@ def write_run_manifest(
     manifest: RunManifest,
     rules: Sequence[Rule] = (),
     sql_rules: Sequence[SqlRule] = (),
+    log: DataFrame | None = None,
 ) -> None:
-    """Append the run to `runs` and the rules it used, with their definition or SQL, to `run_rules`."""
-    _append(spark, f"{path}/runs", [vars(manifest)])
+    """Append a run: the rules it used, with their definition or SQL, to `run_rules`, the log of its rules to `run_log`, and last
+    the run itself to `runs`. A run counts once it stands there; what an interrupted run left in the other tables is not read."""
     used = [
         {
             "run_id": manifest.run_id,
@@ -94,6 +109,9 @@ def write_run_manifest(
     ]
     if used:
         _append(spark, f"{path}/run_rules", used)
+    if log is not None:
+        log.withColumn("run_id", F.lit(manifest.run_id)).coalesce(1).write.mode("append").parquet(f"{path}/run_log")
+    _append(spark, f"{path}/runs", [vars(manifest)])
 
 
 def _append(spark: SparkSession, path: str, rows: Sequence[Mapping[str, str | None]]) -> None:
@@ -108,7 +126,16 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_run_rules(spark: SparkSession, path: str) -> DataFrame:
     """The rules of all recorded runs."""
-    return spark.read.parquet(f"{path}/run_rules")
+    return _of_recorded_runs(spark, path, "run_rules")
+
+
+def read_run_log(spark: SparkSession, path: str) -> DataFrame:
+    """Status, rows and error of the rules of all recorded runs."""
+    return _of_recorded_runs(spark, path, "run_log")
+
+
+def _of_recorded_runs(spark: SparkSession, path: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{name}").join(read_runs(spark, path).select("run_id"), "run_id", "left_semi")
 
 
 def latest_run(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,8 @@ from plumbrule import RuleOptions, SqlRule, all_violations, report_sorted, rule_
 from plumbrule.constants import REPORT_COLUMNS, REPORT_ORDER
 from plumbrule.operators import reconcile as A
 from plumbrule.operators.ordering import ordered
-from plumbrule.operators.report import full_rule_summary, rule_execution_log, violation_total
+from plumbrule.operators.execution import execute_rules, rule_execution_log
+from plumbrule.operators.report import full_rule_summary, violation_total
 from plumbrule.operators.sql_rules import dedupe_columns, run_sql_rule, sql_rule_check, sql_rule_violations
 
 
@@ -32,9 +33,16 @@ def test_report_columns_and_order(report):
 
 
 def test_order_splits_runs_of_copies(spark):
-    copies = spark.range(1000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) k", "1 as one")
-    found = [row["k"] for row in ordered(copies, "k", run_length=7).collect()]
+    copies = spark.range(0, 40_000, 1, 4).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) k", "1 as one")
+    in_order = ordered(copies, "k")
+    found = [row["k"] for row in in_order.collect()]
     assert found == sorted(row["k"] for row in copies.collect())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = in_order.groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(row["count"] for row in sizes) < 0.6 * len(found)
+    plan = ordered(copies, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
 
 
 def test_summaries(report):
@@ -83,10 +91,34 @@ def test_execution_log_isolates_failures(spark, projects):
     assert all(status[rule.rule_id] == "OK" for rule in (*RULES, SQL_RULE))
 
 
+def test_a_rule_that_fails_on_the_data_stops_no_other(spark, projects, tmp_path):
+    """A declared rule whose column cannot be read is found out by running each rule by itself."""
+    faulty = projects.withColumn("bad", F.expr("if(row_key % 10 = 1, raise_error('unreadable'), 'x')"))
+    from plumbrule import make_rules
+
+    rules = [*RULES, *make_rules([{**fx.RULE_DEFINITIONS[0], "id": "M", "parameters": {"columns": ["bad"]}}])]
+    done = execute_rules(faulty, rules, str(tmp_path / "report"), str(tmp_path / "rows"), OPTIONS, run_id="r", timestamp="t")
+    log = {row["rule_id"]: row for row in done.log.collect()}
+    assert log["M"]["status"] == "ERROR" and "unreadable" in log["M"]["error"] and log["M"]["row_count"] is None
+    whole = violation_report(all_violations(projects, RULES, OPTIONS), RULES, "r", "t")
+    assert sorted(map(tuple, done.report.collect())) == sorted(map(tuple, whole.collect()))
+    assert all(log[rule.rule_id]["status"] == "OK" for rule in RULES)
+    assert sum(row["row_count"] or 0 for row in log.values()) == whole.count()
+
+
+def test_a_run_without_violations_has_a_report(projects, tmp_path):
+    none = execute_rules(projects.limit(0), RULES, str(tmp_path / "a"), str(tmp_path / "b"), OPTIONS)
+    assert none.report.count() == 0 and {row["row_count"] for row in none.log.collect()} == {0}
+    assert tuple(none.report.columns) == REPORT_COLUMNS
+    without_texts = execute_rules(projects, RULES[:1], str(tmp_path / "c"), str(tmp_path / "d"), RuleOptions(run_date=fx.RUN_DATE, explain=False))
+    assert without_texts.report.where("explanation IS NOT NULL").count() == 0 < without_texts.report.count()
+
+
 def test_report_agrees_with_itself(report):
-    comparison = A.compare_counts(report, report, RULES).collect()
+    balance = A.record_balance(report, report)
+    comparison = A.compare_counts(balance, RULES).collect()
     assert all(row["count_match"] and row["record_delta"] == 0 for row in comparison)
-    assert A.false_negatives(report, report).count() == A.false_positives(report, report).count() == 0
+    assert A.false_negatives(balance).count() == A.false_positives(balance).count() == 0
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -96,24 +128,26 @@ def test_dropped_keys_are_the_false_negatives(report, dropped):
     chosen = sorted(keys[i] for i in dropped)
     key = F.concat_ws("|", *A.KEY)
     kept = report.where(~key.isin(*("|".join(k) for k in chosen))) if chosen else report
-    missed = sorted(tuple(row) for row in A.false_negatives(report, kept).collect())
-    assert missed == chosen and A.false_positives(report, kept).count() == 0
+    balance = A.record_balance(report, kept)
+    missed = sorted(tuple(row) for row in A.false_negatives(balance).collect())
+    assert missed == chosen and A.false_positives(balance).count() == 0
 
 
 def test_null_keys_match_nothing(spark):
     schema = "rule_id string, record_id string"
     one = spark.createDataFrame([("F1", None), ("F1", "a"), ("F1", "a")], schema)
-    assert A.false_negatives(one, one).collect() == [("F1", None)]
-    row = A.reconcile(one, one).first()
+    balance = A.record_balance(one, one)
+    assert A.false_negatives(balance).collect() == [("F1", None)]
+    row = A.reconcile(balance).first()
     assert (row["gt_fail_report_count"], row["gt_distinct_records"]) == (3, 1)
 
 
 def test_summary_check(spark, report):
-    comparison = A.compare_counts(report, report, RULES)
     saved = rule_summary(report).where("rule_id <> 'F8'")
-    checked = {r["rule_id"]: r["dq_summary_matches_ground_truth"] for r in A.summary_check(comparison, saved).collect()}
-    assert checked["F1"] is True and checked["F8"] is None
-    assert A.summary_check(comparison, None) is None
+    saved = saved.withColumn("violation_count", F.col("violation_count") + (F.col("rule_id") == "F2").cast("int"))
+    balance = A.record_balance(report, report, saved)
+    checked = {r["rule_id"]: r["dq_summary_matches_ground_truth"] for r in A.summary_check(balance, RULES).collect()}
+    assert checked["F1"] is True and checked["F2"] is False and checked["F8"] is None
 
 
 def test_trace(projects, report):
@@ -121,5 +155,7 @@ def test_trace(projects, report):
     record = report.where("rule_id = 'F6'").orderBy("record_id").first()["record_id"].strip()
     stages = {row["stage"] for row in trace_record(projects, rule, record, report, returned=projects).collect()}
     assert stages == {"source", "source_missing", "result", "result_missing", "report"}
+    nameless = trace_record(projects, rule, record, returned=projects.drop("project_current_phase"))
+    assert [row["missing"] for row in nameless.where("stage LIKE 'result%'").collect()] == [True]
     lacking = trace_record(projects.drop(*fx.GATES), rule, record).where("stage = 'source' AND position > 0")
     assert {row["missing"] for row in lacking.collect()} == {True}

@@ -151,3 +151,22 @@ def test_plan_of_row_rules(projects):
 
 def test_empty_table(projects):
     assert all_violations(projects.limit(0), RULES, OPTIONS).count() == 0
+
+
+def test_unique_scans_twice_and_salts_hot_keys(spark, tmp_path, monkeypatch):
+    """With many repeated keys rows and keys meet on (key, salt); the result is the same."""
+    from plumbrule.operators import unique_rules
+
+    rows = spark.range(0, 6000, 1, 4).selectExpr(
+        "cast(id as string) AS project_number", "'1' AS project_current_phase", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id < 3000 THEN concat('k', id div 4) ELSE concat('u', id) END AS v"
+    )
+    rows.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    checked = rule("unique", column="v")
+    few = unique_violations(table, checked, RuleOptions())
+    monkeypatch.setattr(unique_rules, "BROADCAST_BYTES", 0)
+    salted = unique_violations(table, checked, RuleOptions(hot_rows=100))
+    assert as_rows(few) == as_rows(salted) and few.count() > 2500
+    for frame in (few, salted):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"{tmp_path.name}/t]") <= 1  # the other scan has counted the keys

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import struct
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import fixtures as fx
 from catalog.queries import OPTIONS, RULES, SQL_RULE
 from plumbrule import audit_report, load_rules, row_violations, run_checks, scan_csv, scan_report, scan_summary
-from plumbrule.constants import UNIQUE
+from plumbrule.constants import REPORT_ORDER, UNIQUE
 from plumbrule.operators import images
 from plumbrule.operators.splitting import batch_numbers, batch_split, subset_ends
 from plumbrule.plans.options import RuleOptions
@@ -38,10 +40,10 @@ def test_report_survives_the_csv(spark, tmp_path):
     assert (tmp_path / "reportTrue.csv").is_file()
 
 
-def test_single_file_is_for_small_frames(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 5)
-    with pytest.raises(ValueError, match="single file"):
-        sinks.write_report_csv(spark.range(6), str(tmp_path / "x.csv"), single_file=True)
+def test_single_file_keeps_the_order(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    sinks.write_report_csv(spark.range(0, 5000, 1, 7).orderBy(F.desc("id")), path, single_file=True)
+    assert (tmp_path / "x.csv").read_text().split() == ["id", *(str(n) for n in range(4999, -1, -1))]
 
 
 def test_absent_summary(spark, tmp_path):
@@ -57,13 +59,17 @@ def test_run_then_audit(spark, projects, tmp_path):
     projects.createOrReplaceTempView("t_projects")
     base = str(tmp_path / "out")
     run = run_checks(projects, RULES, base, OPTIONS, [SQL_RULE], "t_projects", run_id="r1")
-    ts = run.manifest.run_ts
-    saved = tables.scan_full_report(spark, f"{base}/fail_report_{ts}")
+    saved = tables.scan_full_report(spark, run.manifest.place("fail_report"))
     assert saved.count() == run.report.count() > 0
+    assert {row["status"] for row in sinks.read_run_log(spark, base).collect()} == {"OK"}
+    parts = sorted(Path(run.manifest.place("fail_report")).glob("part-*.csv"))
+    keys = [tuple(row[name] or "" for name in REPORT_ORDER) for part in parts for row in tables.scan_full_report(spark, str(part)).collect()]
+    assert keys == sorted(keys)
+    assert sinks.read_rule_rows(spark, run.manifest.place("rule_rows"), "Q1").columns[-1] == fx.GATES[4]
     assert sinks.latest_run(spark, base).first()["run_id"] == "r1"
     assert sinks.read_run_rules(spark, base).count() == len(RULES) + 1
     declared = saved.where("rule_id <> 'Q1'")
-    summary = scan_summary(spark, f"{base}/rule_summary_{ts}.csv")
+    summary = scan_summary(spark, run.manifest.place("rule_summary") + ".csv")
     audit = audit_report(projects, RULES, declared, OPTIONS, summary, truth_path=str(tmp_path / "truth"))
     assert all(row["count_match"] for row in audit.comparison.collect())
     checked = audit.summary.collect()
@@ -78,6 +84,23 @@ def test_latest_run(spark, tmp_path):
     assert sinks.latest_run(spark, str(tmp_path)).first()["run_ts"] == "2003"
 
 
+def test_an_interrupted_run_is_not_read(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    sinks.write_run_manifest(spark, base, sinks.RunManifest("1", "done", "1", "1", "o"), RULES)
+    write = sinks._append
+
+    def interrupted(spark, path, rows):
+        if path.endswith("/runs"):
+            raise RuntimeError("lost")
+        write(spark, path, rows)
+
+    monkeypatch.setattr(sinks, "_append", interrupted)
+    with pytest.raises(RuntimeError):
+        sinks.write_run_manifest(spark, base, sinks.RunManifest("2", "lost", "2", "2", "o"), RULES)
+    assert sinks.latest_run(spark, base).first()["run_id"] == "done"
+    assert {row["run_id"] for row in sinks.read_run_rules(spark, base).collect()} == {"done"}
+
+
 def test_stream_equals_batch(spark, projects, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     projects.repartition(3).write.parquet(source)
