@@ -59,6 +59,111 @@ def test_near_duplicates_equal_brute_force(spark, words):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(s), root[i], root[i] == i) for i, s in sets.items()}
 
 
+def brute_components(texts, percent):
+    sets = [shingles(text) for text in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and 100 * both >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    return {frozenset(j for j in range(len(texts)) if find(j) == find(i)) for i in range(len(texts)) if sets[i]}
+
+
+def test_near_copies_around_the_threshold_equal_brute_force(spark, words):
+    """Copies of one text, of all degrees of likeness around the threshold, in leaves and in larger nodes."""
+    draw = random.Random(12)
+    texts = []
+    for group in range(4):
+        base = [draw.choice(words) for _ in range(150)]
+        for copy in range(30):
+            changed = list(base)
+            for _ in range(draw.randint(0, 6)):
+                changed[draw.randrange(len(changed))] = draw.choice(words)
+            texts.append(" ".join(changed))
+    expected = brute_components(texts, 85)
+    for leaf in (8, 256):
+        rows = near_duplicates(docs_of(spark, list(enumerate(texts))), leaf=leaf).collect()
+        got = {}
+        for r in rows:
+            got.setdefault(r.component_id, set()).add(r.doc_id)
+        assert set(map(frozenset, got.values())) == expected
+
+
+def test_copies_and_null_ids_make_one_set_per_class(spark, words, monkeypatch):
+    from plumbrule.llm import near_dups
+
+    base = words[:60]
+    near = [*base[:-1], words[70]]
+    rows = [(None if i % 3 == 0 else i, " ".join(base)) for i in range(300)] + [(None if i % 3 == 0 else 1000 + i, " ".join(near)) for i in range(300)]
+    rows += [(None, " ".join(words[100 + i : 130 + i])) for i in range(0, 120, 40)]
+    seen = []
+    stage = near_dups.stage
+
+    def counted(df, name, *more):
+        out = stage(df, name, *more)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dups, "stage", counted)
+    got = near_duplicates(docs_of(spark, rows)).collect()
+    assert {r.component_id for r in got if r["class"] in {g["class"] for g in got if g.doc_id in (1, 1001)}} == {1}
+    assert max(n for name, n in seen if name in ("sets", "links", "wanted")) <= 2
+
+
+def test_spanning_forest_of_a_leaf():
+    import numpy as np
+
+    from plumbrule.llm.near_dups import spanning
+
+    strong = np.zeros((6, 6), bool)
+    for i, j in ((0, 1), (1, 2), (0, 2), (3, 4)):
+        strong[i, j] = strong[j, i] = True
+    edges, tree = spanning(strong)
+    assert len(edges) == 3 and tree.tolist() == [0, 0, 0, 3, 3, 5]
+
+
+def test_items_of_few_words_are_held_by_nothing(spark):
+    bench = spark.createDataFrame([(1, "the"), (2, "of the"), (3, "one two three"), (4, "a b c d")], "item_id long, text string")
+    texts = [(1, "of the one two three and the a b c d e"), (2, "the")]
+    got = {r.doc_id: r.item_ids for r in decontamination_report(docs_of(spark, texts), bench).collect()}
+    assert got == {1: [4], 2: []}
+
+
+def brute_holds(item, text, width=8):
+    """Share of the item's word windows that stand in the text."""
+    windows = lambda t: {tuple(t[i : i + width]) for i in range(len(t) - width + 1)}
+    return len(windows(item) & windows(text)) / max(1, len(windows(item)))
+
+
+def test_decontamination_of_plain_items_equals_brute_force(spark, words):
+    draw = random.Random(13)
+    items = [[draw.choice(words) for _ in range(draw.randint(20, 50))] for _ in range(12)]
+    texts = []
+    for i in range(80):
+        text = [draw.choice(words[:300]) for _ in range(draw.randint(20, 200))]
+        if i % 2:
+            item, at = draw.choice(items), draw.randrange(len(text))
+            first = draw.randrange(len(item) // 2)
+            text[at:at] = item[first : first + draw.randint(5, len(item))]
+        texts.append((i, " ".join(text)))
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontamination_report(docs_of(spark, texts), bench).collect()}
+
+    def longest(item, text):
+        return max((n for n in range(len(item) + 1) for i in range(len(item) - n + 1) if " ".join(item[i : i + n]) in text), default=0)
+
+    for i, text in texts:
+        want = [k for k, item in enumerate(items) if brute_holds(item, text.split()) >= 0.5 or longest(item, text) >= 13]
+        assert got[i] == want
+
+
 def test_decontamination_finds_passages_and_changed_slots(spark):
     item = "In the year 1990 a farmer named Anna had 12 kg of apples and gave Anna half of the 12 kg away again"
     changed = item.replace("12", "35").replace("Anna", "Maria")
@@ -119,6 +224,55 @@ def test_line_dedup_finds_passages_of_frequent_and_of_short_lines(spark, words):
     assert all(got[i].earlier == [10] for i in range(11, 15)) and got[21].earlier == [20]
 
 
+def test_line_dedup_equals_brute_force(spark, words):
+    """All pairs of documents, aligned one by one."""
+    from plumbrule.llm.line_dedup import common_blocks, line_hashes, text_lines
+
+    draw = random.Random(21)
+    lines = [" ".join(draw.choice(words) for _ in range(draw.randint(1, 14))) + draw.choice([".", "\n", "?", " ..."]) for _ in range(60)]
+    passages = [[draw.choice(lines) for _ in range(draw.randint(2, 8))] for _ in range(8)]
+    texts = []
+    for i in range(60):
+        parts = [line for _ in range(draw.randint(0, 4)) for line in draw.choice([passages[draw.randrange(8)], [draw.choice(lines)], [" ".join(draw.sample(words, 9)) + "."]])]
+        texts.append((i // 2 if i > 50 else i + 100, " ".join(parts)))
+    texts += [(7, None), (None, texts[3][1]), (8, "")]
+    got = [(r.doc_id, r.n_lines, r.n_removed, tuple(r.earlier)) for r in remove_lines(docs_of(spark, texts).repartition(3)).collect()]
+    firsts = {}
+    for i, text in texts:
+        text = text or ""
+        key = (i is not None, i or 0)
+        firsts[text] = min(firsts.get(text, key), key)
+    md5 = lambda text: __import__("hashlib").md5(text.encode()).hexdigest()
+    order = sorted(firsts, key=lambda text: (firsts[text], md5(text)))
+    hashed = {text: line_hashes(text) for text in order}
+    expected = []
+    for i, text in texts:
+        text = text or ""
+        first = firsts[text][1] if firsts[text][0] else None
+        n = len(text_lines(text))
+        if i != first:
+            expected.append((i, n, n if len(text.split()) >= 20 else 0, (first,)))
+            continue
+        gone, earlier = set(), set()
+        for other in order[: order.index(text)]:
+            for start, end in common_blocks(hashed[other][0], *hashed[text], 20):
+                gone |= set(range(start, end))
+                earlier.add(firsts[other][1] if firsts[other][0] else None)
+        expected.append((i, n, len(gone), tuple(sorted(e for e in earlier if e is not None))))
+    # Each removed line is in an earlier document; not all documents that hold it are named.
+    assert sorted((r[:3] for r in got), key=str) == sorted((r[:3] for r in expected), key=str) and sum(r[2] for r in got) > 50
+    named = {r[0]: set(r[3]) for r in expected if r[0] is not None and r[0] >= 100}
+    assert all(set(r[3]) <= named[r[0]] for r in got if r[0] in named)
+
+
+def test_lines_end_at_line_ends_and_behind_sentence_marks():
+    from plumbrule.llm.line_dedup import text_lines
+
+    cut = lambda text: [text[a:b] for a, b in text_lines(text)]
+    assert cut("One. Two?! Three\n\n four v1.2 is. out...") == ["One.", " Two?!", " Three\n", " four v1.2 is.", " out..."]
+    assert cut("") == cut(None) == cut(" \n\t ") == [] and cut("a\n") == ["a\n"]
+
+
 def test_every_line_of_a_block_is_in_a_run_of_it():
     draw = random.Random(8)
     for _ in range(200):
@@ -163,6 +317,24 @@ def test_neighbours_are_exact_where_all_leaves_are_visited(spark):
     assert nearest_neighbours(table.filter("vec_id < 0")).count() == 0
 
 
+def test_neighbours_of_equal_vectors_have_equal_scores_and_all_are_found(spark):
+    """Copies in many blocks and leaves score alike, ties go to the smaller id, and small leaves are no reason to return fewer."""
+    draw = random.Random(14)
+    base = [[draw.gauss(0, 1) for _ in range(16)] for _ in range(30)]
+    rows = [(i, base[i % 30]) for i in range(600)] + [(1000 + 20 * i, [draw.gauss(0, 5) for _ in range(16)]) for i in range(3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = nearest_neighbours(table, sample=40, recall=0.01).collect()
+    vectors = dict(rows)
+    for query in (i for i in vectors if i % 20 == 0):
+        mine = sorted((r for r in got if r.query_id == query), key=lambda r: r["rank"])
+        assert len(mine) == 20
+        assert [(r.score, -r.vec_id) for r in mine] == sorted(((r.score, -r.vec_id) for r in mine), reverse=True)
+    scores = {}
+    for r in got:
+        scores.setdefault((r.query_id, tuple(vectors[r.vec_id])), set()).add(r.score)
+    assert all(len(found) == 1 for found in scores.values())
+
+
 def test_main_text_leaves_out_what_is_not_the_article():
     page = (
         "<html><head><title>T</title><script>var t='</p>';</script></head><body><nav><a href=x>Menu</a></nav><div class='ad'>Buy this now</div>"
