@@ -116,7 +116,9 @@ def schedule(needs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, block: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
-    """One row per row of `docs`: doc_id, size, source, source_size, target, taken.
+    """One row per row of `docs`: doc_id, size, source, source_size, target, taken, first_slot, last_slot.
+
+    The slots are those of the schedule in which the mix reads the document first and last, NULL if it never does.
 
     `docs` needs doc_id, text and source; further columns are ignored. NULL and empty texts have size 0 and nothing
     is taken of them. NULL is a source of its own, ordered last. Rows alike in doc_id, size and source share one place in
@@ -147,7 +149,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIM
     at = (F.col("rank") % F.col("blocks")) * block
     before = F.floor(F.col("rank") / F.col("blocks")).cast("long") * F.col("source_size") + at
     length = F.least(F.lit(block).cast("long"), F.col("source_size") - at, F.col("quota") - before)
-    used = slots.groupBy("source_no", (F.col("rank") % F.col("blocks")).alias("block"), length.alias("length")).agg(F.count("*").alias("times"))
+    used = slots.groupBy("source_no", (F.col("rank") % F.col("blocks")).alias("block"), length.alias("length"))
+    used = used.agg(F.count("*").alias("times"), F.min("slot").alias("first"), F.max("slot").alias("last"))
     full = placed.filter("size > 0")
     number = lambda x: F.floor(x / block).cast("long")
     pieces = full.select(
@@ -159,9 +162,33 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIM
     taken = (
         pieces.join(used, ["source_no", "block"])
         .groupBy("source_no", "start")
-        .agg(F.sum(F.greatest(F.lit(0).cast("long"), overlap) * F.col("times")).alias("taken"))
+        .agg(
+            F.sum(F.greatest(F.lit(0).cast("long"), overlap) * F.col("times")).alias("taken"),
+            F.min(F.when(overlap > 0, F.col("first"))).alias("first_slot"),
+            F.max(F.when(overlap > 0, F.col("last"))).alias("last_slot"),
+        )
     )
-    found = full.join(taken, ["source_no", "start"], "left").unionByName(placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long")))
+    found = full.join(taken, ["source_no", "start"], "left").unionByName(placed.filter("size = 0"), allowMissingColumns=True)
     return found.select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "source"
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "source", "first_slot", "last_slot"
     )
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` as many times as the mix begins to read them (not at all, once or twice), in the order of the schedule.
+
+    Texts stay whole and all columns are kept. Rows alike in id, source and size share what the mix takes of them. Helper columns begin
+    with two underscores.
+    """
+    taken = mix(docs).filter("taken > 0").groupBy("doc_id", "source", "size")
+    taken = taken.agg(F.sum("taken").alias("__taken"), F.count("*").alias("__n"), F.min("first_slot").alias("__first"), F.max("last_slot").alias("__last"))
+    times = F.ceil(F.col("__taken") / (F.col("__n") * F.col("size"))).cast("int")
+    named = (F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
+    taken = broadcast_if_small(stage(taken.select(*named, times.alias("__times"), "__first", "__last"), "taken"))
+    sized = docs.withColumn("__words", F.regexp_count("text", F.lit(WORD)).cast("long"))
+    alike = sized["doc_id"].eqNullSafe(taken["__id"]) & sized["source"].eqNullSafe(taken["__source"]) & (F.col("__words") == F.col("__size"))
+    rows = sized.join(taken, alike).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    slot = F.when(F.col("__copy") == 1, F.col("__first")).otherwise(F.col("__last"))
+    # Rows of one slot, and copies of one row, are told apart so that no task gets them all.
+    rows = rows.withColumns({"__slot": slot, "__spread": F.xxhash64("__id", "__copy")}).orderBy("__slot", "__spread")
+    return rows.select(*(docs[name] for name in docs.columns))

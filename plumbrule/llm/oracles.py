@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from plumbrule.llm.mixing import STEP
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 # The targets as the fixed point of capping and sharing again: sources by growing limit / weight, of which the first k
@@ -36,12 +38,38 @@ WITH sizes AS (
                ORDER BY ('0x' || substr(md5(coalesce(s.doc_id::VARCHAR, '') || ':mix'), 1, 15))::BIGINT, s.doc_id, s.size
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS start
     FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), needs AS (
+    SELECT t.source, n.no, t.source_size, floor(t.target + 0.5)::BIGINT AS quota, ceil(t.source_size / 4096.0)::BIGINT AS blocks,
+           CASE WHEN t.source_size > 0 THEN floor(t.target + 0.5)::BIGINT // t.source_size ELSE 0 END AS passes
+    FROM targets t JOIN numbered n ON t.source IS NOT DISTINCT FROM n.source
+), needed AS (
+    SELECT *, (passes * blocks + ceil((quota - passes * source_size) / 4096.0))::BIGINT AS needed FROM needs
+), edges AS (
+    SELECT *, sum(needed) OVER () AS total,
+           (sum(needed) OVER (ORDER BY no) - needed)::HUGEINT * 1099511627776 // greatest(sum(needed) OVER (), 1) AS lo,
+           (sum(needed) OVER (ORDER BY no))::HUGEINT * 1099511627776 // greatest(sum(needed) OVER (), 1) AS hi
+    FROM needed
+), points AS (
+    SELECT slot, (slot::HUGEINT * {STEP}) % 1099511627776 AS point FROM range((SELECT 2 * max(total) + 256 FROM edges)::BIGINT) AS r(slot)
+), ranked AS (
+    SELECT slot, source, source_size, quota, blocks, needed, row_number() OVER (PARTITION BY no ORDER BY slot) - 1 AS rank
+    FROM points JOIN edges ON point >= lo AND point < hi
+), slots AS (
+    SELECT slot, source, rank % blocks AS block,
+           least(4096, source_size - rank % blocks * 4096, quota - (rank // blocks * source_size + rank % blocks * 4096)) AS length
+    FROM ranked WHERE rank < needed
+), reads AS (
+    SELECT p.doc_id, p.source, p.start, p.size, min(slot)::BIGINT AS first_slot, max(slot)::BIGINT AS last_slot
+    FROM placed p JOIN slots s ON p.source IS NOT DISTINCT FROM s.source AND p.size > 0
+         AND least(p.start + p.size, block * 4096 + length) > greatest(p.start, block * 4096)
+    GROUP BY ALL
 )
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(start + size, quota) - start)
-        + greatest(0, least(start + size, quota - source_size) - start))::BIGINT AS taken,
-       source
-FROM placed
+SELECT p.doc_id, p.size, source_size, target,
+       (greatest(0, least(p.start + p.size, quota) - p.start)
+        + greatest(0, least(p.start + p.size, quota - source_size) - p.start))::BIGINT AS taken,
+       p.source, first_slot, last_slot
+FROM placed p LEFT JOIN reads r
+     ON p.doc_id IS NOT DISTINCT FROM r.doc_id AND p.source IS NOT DISTINCT FROM r.source AND p.start = r.start AND p.size = r.size
 """
 
 # crc32 by its table of 256, itself made by the rule; rendezvous draws as in the operator.
@@ -111,8 +139,8 @@ WITH doubles AS (
 )
 SELECT p.anchor_id, p.positive_id, (row_number() OVER best)::INTEGER AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
 FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
-QUALIFY rank <= 5
 WINDOW best AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY rank <= 5
 """
 
 ORACLES: dict[str, str] = {

@@ -11,6 +11,7 @@ from plumbrule.llm.decontaminate import decontamination_report
 from plumbrule.llm.licenses import DIGESTS, LICENSES, license_report
 from plumbrule.llm.line_dedup import aligned, common_subsequence, remove_lines, run_hashes
 from plumbrule.llm.main_text import main_text
+from plumbrule.llm.mixing import mix
 from plumbrule.llm.near_dups import near_duplicates
 from plumbrule.llm.neighbours import nearest_neighbours
 from plumbrule.llm.secrets import secret_report
@@ -420,3 +421,53 @@ def test_toxicity_without_labels_marks_nothing(spark, words):
     long = " ".join(f"{words[i]} {words[i + 1]}." for i in range(300))
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [(r.score, r.predicted, r.offending) for r in score_documents(docs_of(spark, [(1, long)]), none).collect()] == [(0.0, 0, [])]
+
+
+def mix_table(spark, rows):
+    return spark.createDataFrame([(i, text, "en", source, None, "x", "y") for i, text, source in rows], DOCS)
+
+
+def test_schedule_keeps_every_prefix_near_the_shares(spark):
+    """Each stretch from the start of the schedule holds every source within a few slots of its share."""
+    from plumbrule.llm.mixing import schedule
+
+    needed = [700, 90, 333, 1]
+    needs = spark.createDataFrame(list(enumerate(needed)), "source_no long, needed long")
+    slots = sorted((r.slot, r.source_no) for r in schedule(needs).collect())
+    assert len(slots) == sum(needed)
+    seen = [0] * len(needed)
+    # The share of a source is that of the interval; the end of the schedule fills up what is missing.
+    for slot, source in slots[: int(0.9 * len(slots))]:
+        seen[source] += 1
+        for number, count in enumerate(seen):
+            assert abs(count - (slot + 1) * needed[number] / sum(needed)) <= 4
+
+
+def test_mix_reads_by_the_schedule(spark, words):
+    draw = random.Random(15)
+    rows = [(i, " ".join(draw.choices(words, k=draw.randint(1, 900))), draw.choice(["a", "b", None])) for i in range(120)]
+    rows += [(500, None, "a"), (501, "", "b"), (502, " ", None), *rows[:3]]
+    docs = mix_table(spark, rows)
+    got = mix(docs, block=64).collect()
+    assert len(got) == len(rows) and [tuple(r) for r in sorted(got)] == [tuple(r) for r in sorted(mix(docs.repartition(7), block=64).collect())]
+    for r in got:
+        assert (r.first_slot is None) == (r.last_slot is None) == (r.taken == 0) and r.taken <= 2 * r["size"]
+        assert r.taken == 0 or r.first_slot <= r.last_slot
+    for source in ("a", "b", None):
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 1 and mine[0].source_size == sum(r["size"] for r in mine)
+    assert mix(docs.limit(0)).count() == 0
+
+
+def test_mixed_rows_come_in_the_order_of_the_schedule(spark, words):
+    from plumbrule.llm.mixing import mixed
+
+    draw = random.Random(16)
+    rows = [(i, " ".join(draw.choices(words, k=300)), draw.choice(["a", "b", "c"])) for i in range(200)]
+    docs = mix_table(spark, rows)
+    first = {r.doc_id: (r.first_slot, r.last_slot) for r in mix(docs).collect()}
+    seen, slots = set(), []
+    for r in mixed(docs).collect():
+        slots.append(first[r.doc_id][1 if r.doc_id in seen else 0])
+        seen.add(r.doc_id)
+    assert slots == sorted(slots) and len(slots) > 200
