@@ -22,14 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """`df` written once to the shared folder and read back: cuts lineage, survives lost executors."""
+def stage(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """`df` written once to the shared folder and read back: cuts lineage, survives lost executors. `paths` gets where it lies."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove staged tables that no plan still to be run reads."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    paths.clear()
+
+
 def spread_key(*parts: Column | str) -> Column:
     """A uniform key of 60 bits from md5, the same in every engine; NULL counts as an empty text."""
     texts = [F.coalesce(part.cast("string"), F.lit("")) if isinstance(part, Column) else F.lit(part) for part in parts]

@@ -10,12 +10,15 @@ component. Other nodes branch on. A pair at the threshold t meets at the end of
 with a chance q = 1 - (1 - t * q) ** BRANCHES: 0.97 for t = 0.85 and two branches, 0.94 for t = 0.80. There are as many independent
 trees as miss fewer than `MISSED` of the pairs at the threshold: four at 0.85, five at 0.80. Nodes that would branch on after `DEPTH` levels end in the same way, however many classes are outside.
 
-Candidates are confirmed on full sets, made anew from the texts of just those classes: first one
-edge per class, to its least partner, then the edges between components that this left apart.
+Candidates are confirmed on full sets, made anew from one text of each of just those classes: first one
+edge per class, to its least partner, then the edges between components that this left apart. A leaf of many near classes does not
+name all its pairs: classes whose sketches agree in `STRONG` of the places between threshold and identity are
+spanned by a forest of such pairs, and only pairs between different trees of the forest are named besides. Should a pair of
+the forest not be confirmed, and its ends not be connected otherwise, its leaf names all its pairs.
 
 Scale: only ids, node numbers and sketches are shuffled, and the sets of classes with candidates. Hot nodes and hubs meet in sort-merge joins that
 adaptive execution splits; no task collects more than LEAF classes of a node. Each level is written
-to the shared folder, so a lost executor costs only a part of a level.
+to the shared folder, so a lost executor costs only a part of a level, and removed once the next one stands.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbrule.llm.common import WORD, stage
+from plumbrule.llm.common import WORD, discard, stage
 from plumbrule.workspace import broadcast_if_small
 
 SHINGLE = 5
@@ -45,9 +48,11 @@ DEPTH = 12
 PIVOTS = 16
 # Sketches of linked sets agree in fewer places with a chance below 1e-8 at 85 percent and 3e-8 at 80.
 SLACK = 0.2
-CACHE_WORDS = 1_000_000
+STRONG = 1 / 3
+CACHE_WORDS = 100_000
 SLICE = 128  # shingles hashed at once for all positions
-SIGNATURES = "doc_id long, text_key string, class string, n_shingles long, signature binary"
+SIGNATURES = "doc_id long, text_key string, class string, n_shingles long, signature binary, sketch binary"
+LEAF_PAIRS = "node long, a string, b string, strong boolean"
 UPPER = {i: i + 32 for i in range(65, 91)}
 SPLIT = re.compile(WORD)
 
@@ -102,7 +107,10 @@ def minwise(shingles: np.ndarray, seeds: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, text_key, class, n_shingles, signature) per row of `docs`, text_key the text's md5; texts without words have no class."""
+    """(doc_id, text_key, class, n_shingles, signature, sketch) per row of `docs`, text_key the text's md5; texts without words have no class.
+
+    The sketch is a byte of each minwise token.
+    """
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles_of = Shingler(shingle)
@@ -111,8 +119,9 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 own = shingles_of(text)
-                rows.append((class_of(own), len(own), minwise(own, seeds)) if len(own) else (None, 0, None))
-            out = pd.DataFrame(rows, columns=["class", "n_shingles", "signature"])
+                tokens = minwise(own, seeds) if len(own) else None
+                rows.append((class_of(own), len(own), tokens, tokens[::4]) if len(own) else (None, 0, None, None))
+            out = pd.DataFrame(rows, columns=["class", "n_shingles", "signature", "sketch"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             out.insert(1, "text_key", batch["text_key"].array)
             yield out
@@ -144,49 +153,71 @@ def children(rows: DataFrame, branches: int, trees: int = 1) -> DataFrame:
     return chosen.select(node.alias("node"), "class").distinct()
 
 
-def sketched(signature: np.ndarray | list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(s, np.uint8)[::4] for s in signature])
+def sketched(sketches: list[bytes]) -> np.ndarray:
+    return np.stack([np.frombuffer(s, np.uint8) for s in sketches])
+
+
+def spanning(strong: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A spanning forest of a symmetric relation, and the tree of each place."""
+    tree, edges = np.full(len(strong), -1), []
+    for root in range(len(strong)):
+        if tree[root] >= 0:
+            continue
+        tree[root] = root
+        waiting = [root]
+        while waiting:
+            here = waiting.pop()
+            for other in np.flatnonzero(strong[here] & (tree < 0)):
+                tree[other] = root
+                edges.append((here, int(other)))
+                waiting.append(int(other))
+    return edges, tree
 
 
-def leaf_pairs(lists: DataFrame, least: int) -> DataFrame:
-    """(a, b), a < b, of the classes in each row's list whose sketches agree in `least` places."""
+def leaf_pairs(lists: DataFrame, least: int, strong: int | None = None) -> DataFrame:
+    """(node, a, b, strong), a < b, of the classes in each row's list whose sketches agree in `least` places.
+
+    With `strong`, pairs that agree in so many places are named as far as they make a spanning forest, and others only between its trees.
+    """
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            firsts, seconds = [], []
-            for members in batch["members"]:
+            rows = []
+            for node, members in zip(batch["node"], batch["members"], strict=True):
                 names = [m["class"] for m in members]
-                sketch = sketched([m["signature"] for m in members])
-                for i in range(len(names) - 1):
-                    for j in np.flatnonzero((sketch[i + 1 :] == sketch[i]).sum(1) >= least) + i + 1:
-                        a, b = sorted((names[i], names[j]))
-                        firsts.append(a)
-                        seconds.append(b)
-            yield pd.DataFrame({"a": firsts, "b": seconds}, dtype=object)
+                sketch = sketched([m["sketch"] for m in members])
+                agree = np.stack([(sketch == own).sum(1) for own in sketch])
+                edges, tree = spanning(agree >= strong) if strong else ([], np.arange(len(names)))
+                rows.extend((node, *sorted((names[i], names[j])), True) for i, j in edges)
+                apart = np.argwhere(np.triu(agree >= least, 1) & (tree[:, None] != tree[None, :]))
+                rows.extend((node, *sorted((names[i], names[j])), False) for i, j in apart)
+            yield pd.DataFrame(rows, columns=["node", "a", "b", "strong"]).astype({"node": "int64", "strong": "bool"})
 
-    return lists.mapInPandas(compared, "a string, b string")
+    return lists.mapInPandas(compared, LEAF_PAIRS)
 
 
-def pivot_pairs(pairs: DataFrame, least: int) -> DataFrame:
-    """(a, b) of the rows (a, b, left, right) whose signatures agree in `least` places."""
+def pivot_pairs(rows: DataFrame, least: int) -> DataFrame:
+    """(a, b), a < b, of each row's class and those of its `pivots` whose sketches agree in `least` places."""
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                near = (sketched(batch["left"]) == sketched(batch["right"])).sum(1) >= least
-                yield batch.loc[near, ["a", "b"]]
+            found = []
+            for name, own, pivots in zip(batch["class"], batch["sketch"], batch["pivots"], strict=True):
+                near = (sketched([p["sketch"] for p in pivots]) == np.frombuffer(own, np.uint8)).sum(1) >= least
+                found.extend(sorted((name, pivots[k]["class"])) for k in np.flatnonzero(near) if pivots[k]["class"] != name)
+            yield pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
-    return pairs.mapInPandas(compared, "a string, b string")
+    return rows.mapInPandas(compared, "a string, b string")
 
 
 def outside_pairs(rows: DataFrame, nodes: DataFrame, leaf: int, least: int) -> DataFrame:
     """(a, b), a < b, of near classes in different components of a node.
 
-    `rows` has (node, class, signature, component), `nodes` (node, size, main). Classes outside the component `main` meet
+    `rows` has (node, class, sketch, component), `nodes` (node, size, main). Classes outside the component `main` meet
     all classes of the node, block by block of about `leaf` classes.
     """
     blocked = rows.join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / leaf)))
-    member = F.collect_list(F.struct("class", "signature", "component"))
+    member = F.collect_list(F.struct("class", "sketch", "component"))
     every = blocked.groupBy("node", "block").agg(member.alias("members"))
     outside = blocked.filter("component <> main").groupBy("node", F.col("block").alias("other")).agg(member.alias("others"))
 
@@ -194,9 +225,9 @@ def outside_pairs(rows: DataFrame, nodes: DataFrame, leaf: int, least: int) -> D
         for batch in batches:
             firsts, seconds = [], []
             for members, others in zip(batch["members"], batch["others"], strict=True):
-                sketch = sketched([m["signature"] for m in members])
+                sketch = sketched([m["sketch"] for m in members])
                 for other in others:
-                    for j in np.flatnonzero((sketch == sketched([other["signature"]])).sum(1) >= least):
+                    for j in np.flatnonzero((sketch == sketched([other["sketch"]])).sum(1) >= least):
                         if members[j]["component"] != other["component"]:
                             a, b = sorted((members[j]["class"], other["class"]))
                             firsts.append(a)
@@ -248,33 +279,33 @@ def relabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return ends.filter("a <> b").distinct()
 
 
-def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The pairs whose ends are not known to be connected."""
+def apart(pairs: DataFrame, labels: DataFrame | None, *more: str) -> DataFrame:
+    """The pairs whose ends are not known to be connected, with the columns `more`."""
     if labels is None:
         return pairs
     found = pairs
     for end in ("a", "b"):
         named = labels.select(F.col("class").alias(end), F.col("component").alias(f"__{end}"))
         found = found.join(named, end, "left")
-    return found.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b")
+    return found.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b", *more)
 
 
 def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs that are links on full sets."""
     named = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = stage(classes.select("class", "least_id").join(named, "class"), "wanted")
+    wanted = stage(classes.select("class", F.col("text_key").alias("__key")).join(named, "class"), "wanted")
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles_of = Shingler(shingle)
+        seen: set[str] = set()  # rows that repeat a text make one set in a task
         for batch in batches:
-            sets = [shingles_of(text) for text in batch["text"]]
-            right = [class_of(own) == name for own, name in zip(sets, batch["class"], strict=True)]
-            out = pd.DataFrame({"class": batch["class"], "shingles": [own.view(np.int64) for own in sets]})
-            yield out[np.array(right, bool)]
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("least_id"), "text")
-    chosen = texts.join(broadcast_if_small(wanted), texts["least_id"].eqNullSafe(wanted["least_id"])).select("class", "text")
-    sets = stage(chosen.mapInPandas(made, "class string, shingles array<long>"), "sets")
+            first = [name not in seen and not seen.add(name) for name in batch["class"]]
+            batch = batch[np.array(first, bool)]
+            yield pd.DataFrame({"class": batch["class"], "shingles": [shingles_of(text).view(np.int64) for text in batch["text"]]})
+
+    texts = docs.select("text", F.md5("text").alias("text_key"))
+    chosen = texts.join(broadcast_if_small(wanted), texts["text_key"] == wanted["__key"]).select("class", "text")
+    sets = stage(chosen.mapInPandas(made, "class string, shingles array<long>").dropDuplicates(["class"]), "sets")
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("__right"))
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("__left"))
     both = pairs.join(right.hint("shuffle_merge"), "b").join(left.hint("shuffle_merge"), "a")
@@ -291,13 +322,18 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     """
     trees = trees_for(percent) if trees is None else trees
     least = max(1, int(POSITIONS * (percent / 100 - SLACK)))
+    strong = POSITIONS - int(POSITIONS * (1 - percent / 100) * (1 - STRONG))
+    spark = docs.sparkSession
     rows = stage(signatures(docs, shingle), "signatures")
-    found = rows.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least_id"), F.min("signature").alias("signature"))
+    found = rows.filter("class IS NOT NULL").groupBy("class")
+    found = found.agg(*(F.min(name).alias(name) for name in ("doc_id", "text_key", "signature", "sketch"))).withColumnRenamed("doc_id", "least_id")
     classes = stage(found, "classes")
-    signed = classes.select("class", "signature")
-    members = stage(children(signed.withColumn("node", F.lit(0).cast("long")), BRANCHES, trees), "members")
+    signed, sketches = classes.select("class", "signature"), classes.select("class", "sketch")
+    level: list[str] = []
+    members = stage(children(signed.withColumn("node", F.lit(0).cast("long")), BRANCHES, trees), "members", level)
     labels: DataFrame | None = None
     leaves: list[DataFrame] = []
+    outside: list[DataFrame] = []
 
     def learn(pairs: DataFrame) -> None:
         nonlocal labels
@@ -314,35 +350,46 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
 
     for depth in range(DEPTH + 1):
         sizes = members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        held = stage(members.join(sizes, "node").join(signed, "class"), "held")
-        small = held.filter(F.col("size") <= leaf).groupBy("node").agg(F.collect_list(F.struct("class", "signature")).alias("members"))
+        held = stage(members.join(sizes, "node").join(sketches, "class"), "held", level)
+        small = held.filter(F.col("size") <= leaf).groupBy("node").agg(F.collect_list(F.struct("class", "sketch")).alias("members"))
         # What leaves hold decides nothing about larger nodes and is confirmed once, at the end.
-        leaves.append(stage(leaf_pairs(small.select("members"), least).distinct(), "leaves"))
+        leaves.append(stage(small, "leaves"))
         large = held.filter(F.col("size") > leaf)
         if not large.head(1):
             break
         spread = F.pmod(F.xxhash64("class", "node"), F.lit(PIVOTS))
-        pivots = large.groupBy("node", spread.alias("spread")).agg(F.min_by(F.struct("class", "signature"), "class").alias("pivot"))
-        starred = large.select("node", F.col("class").alias("b"), F.col("signature").alias("right"))
-        starred = starred.join(pivots, "node").select(F.col("pivot.class").alias("a"), "b", F.col("pivot.signature").alias("left"), "right")
-        found = pivot_pairs(starred.filter("a <> b"), least)
-        learn_all(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        named = large.select("node", "class", "signature")
+        pivots = large.groupBy("node", spread.alias("spread")).agg(F.min_by(F.struct("class", "sketch"), "class").alias("pivot"))
+        pivots = pivots.groupBy("node").agg(F.collect_list("pivot").alias("pivots"))
+        learn_all(pivot_pairs(large.select("node", "class", "sketch").join(pivots, "node"), least).distinct())
+        named = large.select("node", "class", "sketch")
         if labels is None:
             named = named.withColumn("component", F.col("class"))
         else:
             named = named.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        named = stage(named, "named")
+        named = stage(named, "named", level)
         shares = named.groupBy("node", "component").agg(F.count("*").alias("n"))
         shares = shares.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", "n").alias("main"))
-        shares = stage(shares.filter("most < size"), "shares")
+        shares = stage(shares.filter("most < size"), "shares", level)
         ends = F.lit(depth == DEPTH) | (F.col("size") - F.col("most") <= leaf)
-        leaves.append(stage(outside_pairs(named, shares.filter(ends).select("node", "size", "main"), leaf, least).distinct(), "outside"))
-        open_rows = named.join(shares.filter(~ends).select("node"), "node")
+        outside.append(stage(outside_pairs(named, shares.filter(ends).select("node", "size", "main"), leaf, least).distinct(), "outside"))
         if depth == DEPTH or not shares.filter(~ends).head(1):
             break
-        members = stage(children(open_rows.select("node", "class", "signature"), BRANCHES), "members")
-    learn_all(reduce(DataFrame.union, leaves).distinct())
+        open_rows = named.join(shares.filter(~ends).select("node"), "node").select("node", "class").join(signed, "class")
+        done, level = level, []
+        members = stage(children(open_rows, BRANCHES), "members", level)
+        discard(spark, done)
+    lists = reduce(DataFrame.union, leaves)
+    near = stage(leaf_pairs(lists, least, strong), "near")
+    spanned = near.filter("strong").select("node", "a", "b")
+    learn_all(spanned.select("a", "b").distinct())
+    weak = near.filter("NOT strong").select("a", "b")
+    if labels is not None or spanned.head(1):
+        torn = spanned if labels is None else apart(spanned, labels, "node")
+        torn = stage(torn.select("node").distinct(), "torn")
+        if torn.head(1):
+            weak = weak.union(leaf_pairs(lists.join(torn, "node", "left_semi"), least).select("a", "b"))
+    learn_all(reduce(DataFrame.union, outside, weak).distinct())
+    discard(spark, level)
 
     least_ids = classes.select("class", "least_id").withColumn("group", F.col("class"))
     if labels is not None:
@@ -363,3 +410,32 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
     out = out.withColumn("component_id", component)
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class")
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each group, with all its columns: the smallest id, NULL last, of rows with that id the least md5.
+
+    Rows go by id and text: other texts of an id that is repeated or NULL are none of a group's business. Of rows that repeat the id and text
+    that stay, the one with the least hash of all columns is kept. Texts without words all stay. Helper columns begin with two underscores.
+    """
+    found = stage(near_groups(docs, percent=percent), "duplicates").filter("class IS NOT NULL")
+    rows = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("__n"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    rows = stage(rows.withColumn("__rank", rank), "group_rows")
+    rows = rows.join(rows.groupBy("group").agg(F.min("__rank").alias("__first")), "group")
+    rows = rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__n", (F.col("__rank") == F.col("__first")).alias("__kept"))
+    rows = stage(rows, "fates")
+    keyed = docs.withColumn("__text", F.md5("text"))
+
+    def those(frame: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+        return frame.join(chosen, (F.col("__text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")), how)
+
+    left = those(keyed, broadcast_if_small(rows.filter("NOT __kept").select("__id", "__key")), "left_anti")
+    again = rows.filter("__n > 1 AND __kept").select("__id", "__key")
+    if not again.head(1):
+        return left.drop("__text")
+    again = broadcast_if_small(again)
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    first = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__row")
+    one_each = those(left, again, "left_semi").groupBy("doc_id", "__text").agg(first).select("__row.*")
+    return those(left, again, "left_anti").drop("__text").unionByName(one_each)
