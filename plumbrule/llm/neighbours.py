@@ -8,7 +8,8 @@ recall reaches `RECALL`. The bound of a node for the inner product is q . centre
 
 (query, leaf) pairs meet the vectors of a leaf in blocks of at most `BLOCK` rows, so that a leaf that
 holds a third of all vectors is many tasks' work. Each block returns its nearest per query; these
-are merged by rank. The result has the exact inner products.
+are merged by rank. The result has the exact inner products, each added up in the order of the components. A query whose leaves hold
+fewer than `nearest` others visits further ones.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ RECALL = 0.97
 SLACK = 0.3
 BLOCK = 4096
 QUERIES = 512  # queries of one block's task
+NEAR = 1e-9
 NEAREST = 20
 EVERY = 20
 
@@ -88,14 +90,15 @@ class Tree:
                 waiting.extend((child, which[near == k]) for k, child in enumerate(below))
         return found
 
-    def search(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first `visits` leaves, best bound first."""
+    def search(self, query: np.ndarray, visits: int, sizes: np.ndarray | None = None, enough: int = 0) -> list[int]:
+        """The first `visits` leaves, best bound first; more if these do not hold `enough` of the indexed vectors."""
         reach = SLACK * float(np.linalg.norm(query))
-        queue, order = [(0.0, 0)], []
-        while queue and len(order) < visits:
+        queue, order, held = [(0.0, 0)], [], 0
+        while queue and (len(order) < visits or held < enough):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 order.append(self.leaf_no[node])
+                held += 0 if sizes is None else int(sizes[self.leaf_no[node]])
             for child in self.children[node]:
                 heapq.heappush(queue, (-(float(query @ self.centres[child]) + reach * self.radii[child]), child))
         return order
@@ -165,7 +168,7 @@ def nearest_neighbours(
     def visited(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tree, visits = model.value
         for batch in batches:
-            found = [tree.search(v, visits) for v in batch["v"]]
+            found = [tree.search(v, visits, held_by.value, nearest + 1) for v in batch["v"]]
             yield batch.assign(leaf=found).explode("leaf", ignore_index=True).astype({"leaf": np.int64})
 
     indexed = stage(rows.mapInPandas(placed, "vec_id long, v array<double>, leaf long"), "indexed")
@@ -173,6 +176,10 @@ def nearest_neighbours(
     sizes = indexed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     sizes = stage(sizes, "leaves")  # one row per leaf of the bounded sample's tree
     small = F.broadcast(sizes)
+    counts = np.zeros(fitted[0].leaves, np.int64)
+    for row in indexed.groupBy("leaf").count().collect():  # a row per leaf
+        counts[row["leaf"]] = row["count"]
+    held_by = spark.sparkContext.broadcast(counts)
     held = indexed.join(small, "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     asked = rows.filter(F.col("vec_id") % every == 0).mapInPandas(visited, "vec_id long, v array<double>, leaf long")
     group = F.array_agg(F.struct(F.col("vec_id").alias("id"), "v"))
@@ -196,13 +203,19 @@ def nearest_neighbours(
                 order = np.argsort(ids, kind="stable")
                 ids = ids[order]
                 points = np.stack([r["v"] for r in having])[order]
-                score = np.stack([q["v"] for q in asking]) @ points.T
+                asked = np.stack([q["v"] for q in asking])
+                score = asked @ points.T
                 score[own[:, None] == ids[None, :]] = -np.inf
-                best = np.argsort(-score, axis=1, kind="stable")[:, :nearest]
-                found = pd.DataFrame(
-                    {"query_id": np.repeat(own, best.shape[1]), "vec_id": ids[best].ravel(), "score": np.take_along_axis(score, best, 1).ravel()}
-                )
-                yield found[np.isfinite(found["score"])]
+                found = []
+                for query, who, row in zip(asked, own, score, strict=True):
+                    # The matrix product's last digits depend on the block; what may be among the nearest is added up again in one order.
+                    some = min(nearest, len(row))
+                    worst = np.partition(row, -some)[-some]
+                    at = np.flatnonzero((row >= worst - NEAR * max(1.0, abs(worst))) & (row > -np.inf))
+                    exact = (points[at] * query).sum(1)
+                    best = np.lexsort((ids[at], -exact))[:nearest]
+                    found.append(pd.DataFrame({"query_id": who, "vec_id": ids[at[best]], "score": exact[best]}))
+                yield pd.concat(found, ignore_index=True)
 
     near = queries.join(blocks, ["leaf", "block"]).select("queries", "rows").mapInPandas(scored, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
