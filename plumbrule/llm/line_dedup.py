@@ -8,9 +8,11 @@ such a run within the block, so every line of it meets an earlier document, line
 line hashes, and aligned blocks of `BLOCK_WORDS` words or more are deleted from the later document. Of copies of one text
 the first stays as it is; it stands for all of them in the pairs, and the others are one aligned block each.
 
-Scale: exact copies are collapsed first. What is shuffled is line hashes, 8 bytes a line, and texts once at the
-end where the list of deletions is too long to broadcast. Frequent lines and hub documents meet in sort-merge joins
-that adaptive execution splits.
+Scale: exact copies are collapsed first. Distinct texts are numbered in the order of their first documents; what is shuffled is
+hashes of lines and runs with these numbers, 16 bytes each, and texts once at the end where the list of deletions is beyond
+`BROADCAST_BYTES`. Frequent lines and hub documents meet in sort-merge joins that adaptive execution splits. The alignment of two segments without
+unique lines takes a bit per pair of lines that have a partner. Blocks that two documents hold in another order are aligned in one
+order only, as in any diff: what stands against it stays in the later document.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -26,31 +29,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbrule.llm.common import WORD, stage
-from plumbrule.workspace import broadcast_if_small
 
 ANCHOR_WORDS = 5
 BLOCK_WORDS = 20
 RARE = 4
-LINE = re.compile(r"[^\n]*?(?:[.!?]+(?=\s)|\n|$)", re.DOTALL)
+BROADCAST_BYTES = 32 << 20
+END = re.compile(r"[.!?]+(?=\s)|\n")
 SPLIT = re.compile(WORD)
 
 
 def text_lines(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of the lines that hold a word; code points."""
-    spans, at, text = [], 0, text or ""
-    while at < len(text):
-        end = LINE.match(text, at).end()
-        end = end if end > at else at + 1
-        if not text[at:end].isspace():
-            spans.append((at, end))
-        at = end
-    return spans
+    text = text or ""
+    ends = [match.end() for match in END.finditer(text)]
+    return [(start, end) for start, end in pairwise([0, *ends, len(text)]) if end > start and not text[start:end].isspace()]
 
 
 def line_hashes(text: str | None) -> tuple[list[int], list[int]]:
     """Hash and number of words per line; white space and ASCII case do not count."""
-    words = [SPLIT.findall(text[a:b].lower()) for a, b in text_lines(text)]
-    hashes = [xxhash.xxh3_64_intdigest(" ".join(w).encode("utf-8", "surrogatepass")) - (1 << 63) for w in words]
+    # Bytes split at ASCII white space only, as words do.
+    words = [text[a:b].lower().encode("utf-8", "surrogatepass").split() for a, b in text_lines(text)]
+    hashes = [xxhash.xxh3_64_intdigest(b" ".join(w)) - (1 << 63) for w in words]
     return hashes, [len(w) for w in words]
 
 
@@ -161,80 +160,82 @@ def common_blocks(left: Sequence[int], right: Sequence[int], words: Sequence[int
 
 
 def line_pairs(anchors: DataFrame, runs: DataFrame, rare: int = RARE) -> DataFrame:
-    """(a, a_id, b): text keys with a shared line or run, the earlier one first; both tables have (hash, first_id, text_key)."""
-    order = F.struct("first_id", "text_key")
-    rows = anchors.select("hash", order.alias("me")).distinct()
-    counts = rows.groupBy("hash").agg(F.count("*").alias("n"), F.min("me").alias("first")).filter("n > 1")
+    """(a, b): numbers of texts with a shared line or run, the earlier one first; both tables have (hash, number)."""
+    rows = anchors.distinct()
+    counts = rows.groupBy("hash").agg(F.count("*").alias("n"), F.min("number").alias("first")).filter("n > 1")
     held = stage(rows.join(counts, "hash"), "held_lines")
-    star = held.filter(F.col("first") < F.col("me")).select("first", F.col("me").alias("later"))
-    few = held.filter(F.col("n") <= rare).select("hash", "me")
-    both = few.select("hash", F.col("me").alias("first")).join(few.select("hash", F.col("me").alias("later")), "hash")
-    passages = runs.select("hash", order.alias("me"))
-    earliest = passages.groupBy("hash").agg(F.count("*").alias("n"), F.min("me").alias("first")).filter("n > 1").select("hash", "first")
-    passed = passages.join(earliest, "hash").filter(F.col("first") < F.col("me")).select("first", F.col("me").alias("later"))
-    pairs = star.union(both.filter(F.col("first") < F.col("later")).select("first", "later")).union(passed).distinct()
-    return pairs.select(
-        F.col("first.text_key").alias("a"), F.col("first.first_id").alias("a_id"), F.col("later.text_key").alias("b")
-    )
+    star = held.filter(F.col("first") < F.col("number")).select(F.col("first").alias("a"), F.col("number").alias("b"))
+    few = held.filter(F.col("n") <= rare)
+    both = few.select("hash", F.col("number").alias("a")).join(few.select("hash", F.col("number").alias("b")), "hash").filter("a < b")
+    earliest = runs.groupBy("hash").agg(F.count("*").alias("n"), F.min("number").alias("a")).filter("n > 1").select("hash", "a")
+    passed = runs.join(earliest, "hash").select("a", F.col("number").alias("b")).filter("a < b")
+    return star.union(both.select("a", "b")).union(passed).distinct()
 
 
 def removed_blocks(texts: DataFrame, least: int) -> DataFrame:
-    """(text_key, earlier, blocks) of the texts that lose lines; `texts` has (text_key, first_id, hashes, words)."""
+    """(text_key, earlier, blocks) of the texts that lose lines; `texts` has (number, text_key, first_id, hashes, words)."""
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, ids, starts, ends = [], [], [], []
-            for key, other, left, right, words in zip(batch["b"], batch["a_id"], batch["left"], batch["right"], batch["words"], strict=True):
+            for key, other, left, right, words in zip(batch["b"], batch["a"], batch["left"], batch["right"], batch["words"], strict=True):
                 for start, end in common_blocks(left.tolist(), right.tolist(), words.tolist(), least):
                     keys.append(key)
                     ids.append(other)
                     starts.append(start)
                     ends.append(end)
-            out = pd.DataFrame({"text_key": keys, "earlier": pd.array(ids, "Int64"), "start": starts, "end": ends})
-            yield out.astype({"text_key": object, "start": np.int32, "end": np.int32})
+            out = pd.DataFrame({"b": keys, "a": ids, "start": starts, "end": ends})
+            yield out.astype({"b": np.int64, "a": np.int64, "start": np.int32, "end": np.int32})
 
     def begun(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             runs = [run_hashes(h, w, least) for h, w in zip(batch["hashes"], batch["words"], strict=True)]
-            sizes = [len(own) for own in runs]
-            rest = batch[["first_id", "text_key"]].loc[batch.index.repeat(sizes)].reset_index(drop=True)
-            rest.insert(0, "hash", np.array([h for own in runs for h in own], np.int64))
-            rest["first_id"] = rest["first_id"].astype("Int64")
-            yield rest
-
-    lines = texts.select("text_key", "first_id", F.explode(F.arrays_zip("hashes", "words")).alias("line"))
-    anchors = lines.filter(F.col("line.words") >= ANCHOR_WORDS).select(F.col("line.hashes").alias("hash"), "first_id", "text_key")
-    runs = texts.mapInPandas(begun, "hash long, first_id long, text_key string")
+            numbers = np.repeat(batch["number"].to_numpy(), [len(own) for own in runs])
+            yield pd.DataFrame({"hash": np.array([h for own in runs for h in own], np.int64), "number": numbers})
+
+    lines = texts.select("number", F.explode(F.arrays_zip("hashes", "words")).alias("line"))
+    anchors = lines.filter(F.col("line.words") >= ANCHOR_WORDS).select(F.col("line.hashes").alias("hash"), "number")
+    runs = texts.select("number", "hashes", "words").mapInPandas(begun, "hash long, number long")
     pairs = stage(line_pairs(anchors, stage(runs, "runs")), "line_pairs")
-    left = texts.select(F.col("text_key").alias("a"), F.col("hashes").alias("left"))
-    right = texts.select(F.col("text_key").alias("b"), F.col("hashes").alias("right"), "words")
-    both = pairs.join(right.hint("shuffle_merge"), "b").join(left.hint("shuffle_merge"), "a").select("b", "a_id", "left", "right", "words")
-    found = both.mapInPandas(compared, "text_key string, earlier long, start int, end int")
-    return found.groupBy("text_key").agg(F.collect_set("earlier").alias("earlier"), F.collect_set(F.struct("start", "end")).alias("blocks"))
+    left = texts.select(F.col("number").alias("a"), F.col("hashes").alias("left"))
+    right = texts.select(F.col("number").alias("b"), F.col("hashes").alias("right"), "words")
+    both = pairs.join(right.hint("shuffle_merge"), "b").join(left.hint("shuffle_merge"), "a").select("a", "b", "left", "right", "words")
+    found = stage(both.mapInPandas(compared, "b long, a long, start int, end int"), "found")
+    named = found.join(texts.select(F.col("number").alias("a"), "first_id"), "a")
+    named = named.groupBy("b").agg(F.collect_set("first_id").alias("earlier"), F.collect_set(F.struct("start", "end")).alias("blocks"))
+    return named.join(texts.select(F.col("number").alias("b"), "text_key"), "b").select("text_key", "earlier", "blocks")
 
 
 def remove_lines(docs: DataFrame, least: int = BLOCK_WORDS) -> DataFrame:
     """One row per row of `docs`: doc_id, n_lines, n_removed, removed (spans start:end of code points), earlier (ids), text.
 
     `docs` needs doc_id and text; further columns are ignored. The earlier document is the one with the smaller doc_id, NULL
-    first; rows that repeat id and text are one document. NULL and empty texts have no lines and an empty text.
+    first; rows that repeat id and text are one document and have the same result. NULL and empty texts have no lines and an empty text. Documents
+    with the same id and different texts go by the order of their texts' md5. An empty table gives an empty result.
     """
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[str] = set()  # a task reads copies of a text once
         for batch in batches:
+            first = [key not in seen and not seen.add(key) for key in batch["text_key"]]
+            batch = batch[np.array(first, bool)]
             rows = [line_hashes(text) for text in batch["text"]]
-            yield pd.DataFrame({"text_key": batch["text_key"], "doc_id": batch["doc_id"], "hashes": [r[0] for r in rows], "words": [r[1] for r in rows]})
+            yield pd.DataFrame({"text_key": batch["text_key"], "hashes": [r[0] for r in rows], "words": [r[1] for r in rows]})
 
     keyed = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.md5("text"))
     # NULL ids come first: NULL sorts before all numbers in a struct's minimum too.
     firsts = keyed.groupBy("text_key").agg(F.min(F.struct("doc_id")).alias("first"), F.count_distinct(F.struct("doc_id")).alias("copies"))
-    firsts = stage(firsts.select("text_key", F.col("first.doc_id").alias("first_id"), "copies"), "firsts")
-    lines = stage(keyed.mapInPandas(hashed, "text_key string, doc_id long, hashes array<long>, words array<int>"), "lines")
-    chosen = lines.join(firsts, "text_key").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    texts = stage(chosen.groupBy("text_key", "first_id").agg(F.min("hashes").alias("hashes"), F.min("words").alias("words")), "texts")
+    firsts = firsts.select("text_key", F.col("first.doc_id").alias("first_id"), "copies").orderBy(F.col("first_id").asc_nulls_first(), "text_key")
+    firsts = stage(firsts.withColumn("number", F.monotonically_increasing_id()), "firsts")  # numbers rise in this order
+    lines = keyed.select("text", "text_key").mapInPandas(hashed, "text_key string, hashes array<long>, words array<int>")
+    lines = stage(lines, "lines").groupBy("text_key").agg(F.min("hashes").alias("hashes"), F.min("words").alias("words"))
+    texts = stage(lines.join(firsts, "text_key").select("number", "text_key", "first_id", "hashes", "words"), "texts")
     blocks = stage(removed_blocks(texts, least), "blocks")
     fate = firsts.join(blocks, "text_key", "left").filter("copies > 1 OR blocks IS NOT NULL")
-    fate = broadcast_if_small(stage(fate.select("text_key", F.lit(True).alias("fated"), "first_id", "earlier", "blocks"), "fate"))
+    fate = stage(fate.select("text_key", F.lit(True).alias("fated"), "first_id", "earlier", "blocks"), "fate")
+    listed = F.coalesce(F.size("earlier"), F.lit(0)) + F.coalesce(F.size("blocks"), F.lit(0))
+    held = fate.agg(F.coalesce(F.sum(listed * 16 + 64), F.lit(0))).first()[0]
+    fate = F.broadcast(fate) if held <= BROADCAST_BYTES else fate
     rows = keyed.join(fate, "text_key", "left")
     copy = F.col("fated").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first_id"))
     rows = rows.withColumn("copy", copy).select("doc_id", "text", "copy", "first_id", "earlier", "blocks")
