@@ -12,13 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbrule.llm.common import WORD, stage, table
+from plumbrule.llm.common import stage, table
 from plumbrule.llm.decontaminate import without_contaminated
-from plumbrule.llm.mixing import mix
-from plumbrule.llm.near_dups import near_groups
+from plumbrule.llm.mixing import mixed
+from plumbrule.llm.near_dups import without_near_duplicates
 from plumbrule.llm.sharding import with_shard
 from plumbrule.llm.toxicity import THRESHOLD, toxicity_scorer
-from plumbrule.workspace import broadcast_if_small
 
 SIMILAR = 80  # percent of word shingles that near copies share in a corpus; op2 has its own contract
 
@@ -32,29 +31,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the smallest id, NULL last, of rows with that id the least md5. Texts without words all stay.
-
-    Rows go by id and text: other texts of an id that is repeated or NULL are none of a group's business.
-    """
-    found = stage(near_groups(docs, percent=SIMILAR), "duplicates").filter("class IS NOT NULL")
-    rows = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("__n"))
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    rows = stage(rows.withColumn("__rank", rank), "group_rows")
-    rows = rows.join(rows.groupBy("group").agg(F.min("__rank").alias("__first")), "group")
-    rows = rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__n", (F.col("__rank") == F.col("__first")).alias("__kept"))
-    rows = stage(rows, "fates")
-    keyed = docs.withColumn("__text", F.md5("text"))
-
-    def those(frame: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
-        return frame.join(chosen, (F.col("__text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")), how)
-
-    left = those(keyed, broadcast_if_small(rows.filter("NOT __kept").select("__id", "__key")), "left_anti")
-    again = rows.filter("__n > 1 AND __kept").select("__id", "__key")
-    if not again.head(1):
-        return left.drop("__text")
-    again = broadcast_if_small(again)
-    one_each = those(left, again, "left_semi").dropDuplicates(["doc_id", "__text"])
-    return those(left, again, "left_anti").unionByName(one_each).drop("__text")
+    """One document of each group stays."""
+    return without_near_duplicates(docs, SIMILAR)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,15 +40,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document as many times as the mix begins to read it: not at all, once or twice. Texts stay whole."""
-    taken = mix(docs).filter("taken > 0").groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("__taken"), F.count("*").alias("__n"))
-    times = F.ceil(F.col("__taken") / (F.col("__n") * F.col("size"))).cast("int")
-    taken = taken.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), times.alias("__times"))
-    taken = broadcast_if_small(stage(taken, "taken"))
-    sized = docs.withColumn("__words", F.regexp_count("text", F.lit(WORD)).cast("long"))
-    same = sized["doc_id"].eqNullSafe(taken["__id"]) & sized["source"].eqNullSafe(taken["__source"]) & (F.col("__words") == F.col("__size"))
-    rows = sized.join(taken, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-    return rows.select(*(docs[name] for name in docs.columns))
+    """A document as many times as the mix begins to read it: not at all, once or twice."""
+    return mixed(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,7 +57,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("sharding", shard),
 ]
 
-# Fitted weights and minwise tokens have no SQL; the tests hold every stage against a brute-force version.
+# Fitted weights and minwise tokens have no SQL; the tests hold the stages against brute force on small tables.
 ORACLE_SQL = None
 
 
