@@ -34,6 +34,7 @@ SLACK = 0.3
 BLOCK = 4096
 QUERIES = 512  # queries of one block's task
 NEAR = 1e-9
+PAIRS = 65_536  # added up at once
 NEAREST = 20
 EVERY = 20
 
@@ -206,16 +207,17 @@ def nearest_neighbours(
                 asked = np.stack([q["v"] for q in asking])
                 score = asked @ points.T
                 score[own[:, None] == ids[None, :]] = -np.inf
-                found = []
-                for query, who, row in zip(asked, own, score, strict=True):
-                    # The matrix product's last digits depend on the block; what may be among the nearest is added up again in one order.
-                    some = min(nearest, len(row))
-                    worst = np.partition(row, -some)[-some]
-                    at = np.flatnonzero((row >= worst - NEAR * max(1.0, abs(worst))) & (row > -np.inf))
-                    exact = (points[at] * query).sum(1)
-                    best = np.lexsort((ids[at], -exact))[:nearest]
-                    found.append(pd.DataFrame({"query_id": who, "vec_id": ids[at[best]], "score": exact[best]}))
-                yield pd.concat(found, ignore_index=True)
+                # The matrix product's last digits depend on the block; what may be among the nearest is added up again in one order.
+                some = min(nearest, len(ids))
+                worst = np.partition(score, -some, axis=1)[:, -some]
+                row, at = np.nonzero((score >= (worst - NEAR * np.maximum(1.0, np.abs(worst)))[:, None]) & (score > -np.inf))
+                parts = [slice(k, k + PAIRS) for k in range(0, len(row), PAIRS)]
+                exact = np.concatenate([(points[at[part]] * asked[row[part]]).sum(1) for part in parts]) if parts else np.zeros(0)
+                order = np.lexsort((ids[at], -exact, row))
+                row, at, exact = row[order], at[order], exact[order]
+                first = np.searchsorted(row, row)
+                best = np.arange(len(row)) - first < nearest
+                yield pd.DataFrame({"query_id": own[row[best]], "vec_id": ids[at[best]], "score": exact[best]})
 
     near = queries.join(blocks, ["leaf", "block"]).select("queries", "rows").mapInPandas(scored, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
