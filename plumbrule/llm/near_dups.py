@@ -1,31 +1,30 @@
 """Near duplicates by a chosen-path set similarity join.
 
 A document is the set of its distinct shingles, hashed to 64 bits; documents with equal sets are one
-class from the start. Every class has a signature of minwise tokens. A tree begins with a
+class from the start, known by a number. Every class has a signature of minwise tokens. A tree begins with a
 node of all classes; a node picks `BRANCHES` positions of the signature by its own hash, and each class goes to
 one child per position, named by the minwise token there. Nodes of up to `LEAF` classes are compared exhaustively by their
-sketches. Larger ones compare all classes with `PIVOTS` of them. If up to `LEAF` classes are then outside the node's largest known
-component, these are compared with all classes of the node and it ends there: what is connected already cannot change a
-component. Other nodes branch on. A pair at the threshold t meets at the end of a tree
+sketches. In larger ones each class is compared with `PIVOTS` of them and names its nearest. If up to `LEAF` classes are then outside the
+node's largest known component, these are compared with all classes of the node and it ends there: what is connected already
+cannot change a component. Other nodes branch on. A pair at the threshold t meets at the end of a tree
 with a chance q = 1 - (1 - t * q) ** BRANCHES: 0.97 for t = 0.85 and two branches, 0.94 for t = 0.80. There are as many independent
 trees as miss fewer than `MISSED` of the pairs at the threshold: four at 0.85, five at 0.80. Nodes that would branch on after `DEPTH` levels end in the same way, however many classes are outside.
 
-Candidates are confirmed on full sets, made anew from one text of each of just those classes: first one
-edge per class, to its least partner, then the edges between components that this left apart. A leaf of many near classes does not
-name all its pairs: classes whose sketches agree in `STRONG` of the places between threshold and identity are
-spanned by a forest of such pairs, and only pairs between different trees of the forest are named besides. Should a pair of
-the forest not be confirmed, and its ends not be connected otherwise, its leaf names all its pairs.
+Candidates are confirmed on full sets, made from one text of each of just those classes. What is compared exhaustively names a
+spanning forest of its candidates, the nearest pairs first: fewer pairs than classes. Only where a pair of a forest is
+not confirmed, and its ends not connected otherwise, all candidates still apart are named: first one per class is confirmed, then those
+left apart. So every candidate ends in one component or is tested.
 
-Scale: only ids, node numbers and sketches are shuffled, and the sets of classes with candidates. Hot nodes and hubs meet in sort-merge joins that
-adaptive execution splits; no task collects more than LEAF classes of a node. Each level is written
-to the shared folder, so a lost executor costs only a part of a level, and removed once the next one stands.
+Scale: a class goes down the trees in scans of the table of classes, joined with the numbers of the nodes that branched on (about one in
+`LEAF` memberships at most), so signatures are shuffled once, to find equal sets. Else only numbers and sketches of 32 bytes are
+shuffled, and the sets of classes with candidates, each made once. No task collects more than about twice LEAF classes. What a level needs
+is written to the shared folder, so a lost executor costs only a part of a level, and removed once it has been read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -35,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbrule.llm.common import WORD, discard, stage
+from plumbrule.llm.common import discard, stage
 from plumbrule.workspace import broadcast_if_small
 
 SHINGLE = 5
@@ -46,15 +45,13 @@ BRANCHES = 2
 LEAF = 256
 DEPTH = 12
 PIVOTS = 16
-# Sketches of linked sets agree in fewer places with a chance below 1e-8 at 85 percent and 3e-8 at 80.
-SLACK = 0.2
-STRONG = 1 / 3
+SKETCH_MISSED = 1e-8  # chance that the sketches of a pair at the threshold agree too little
 CACHE_WORDS = 100_000
 SLICE = 128  # shingles hashed at once for all positions
-SIGNATURES = "doc_id long, text_key string, class string, n_shingles long, signature binary, sketch binary"
-LEAF_PAIRS = "node long, a string, b string, strong boolean"
-UPPER = {i: i + 32 for i in range(65, 91)}
-SPLIT = re.compile(WORD)
+BROADCAST = 2_000_000  # rows of one or two short columns up to which a side is broadcast
+SIGNATURES = "doc_id long, text_key binary, class binary, n_shingles long, signature binary, sketch binary"
+LIST = ["node", "block", "other"]
+LIST_PAIRS = "node long, block long, other long, a long, b long"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,26 +60,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class WordHashes(dict):
+    """Hashes of words, made when first asked for and remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
 class Shingler:
-    """Texts to sorted arrays of distinct 64-bit shingle hashes; remembers word hashes up to a bound."""
+    """Texts to sorted arrays of distinct 64-bit shingle hashes."""
 
     def __init__(self, length: int):
         self.length = length
-        self.known: dict[str, int] = {}
-
-    def word(self, word: str) -> int:
-        value = self.known.get(word)
-        if value is None:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            value = self.known[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
+        self.known = WordHashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = SPLIT.findall((text or "").translate(UPPER))
+        # Of bytes, `lower` changes A to Z only, and `split` takes just the white space between words here.
+        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
         if not words:
             return np.empty(0, np.uint64)
-        hashes = np.fromiter(map(self.word, words), np.uint64, len(words))
+        hashes = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         width = min(self.length, len(words))
         joined = np.full(len(words) - width + 1, width, np.uint64)
         for i in range(width):
@@ -90,43 +90,58 @@ class Shingler:
         return np.unique(joined)
 
 
-def class_of(shingles: np.ndarray) -> str:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
+def class_of(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def minwise(shingles: np.ndarray, seeds: np.ndarray) -> bytes:
-    """The upper halves of the least hash per seed, in slices that stay in the processor's cache."""
-    least = np.full(len(seeds), np.iinfo(np.uint64).max)
-    for at in range(0, len(shingles), SLICE):
-        part = shingles[at : at + SLICE, None]
-        hashes = part ^ seeds
-        hashes *= np.uint64(0xD6E8FEB86659FD93)
-        hashes ^= part >> np.uint64(29)
+def minwise_seeds() -> tuple[np.ndarray, np.ndarray]:
+    """What is xored to a shingle, and the odd number it is multiplied with, per position."""
+    drawn = mixed(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return drawn.astype(np.uint32), (drawn >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def minwise(shingles: np.ndarray, seeds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The least 32-bit hash per position, mixed; in slices that stay in the processor's cache."""
+    flips, factors = seeds
+    least = np.full(POSITIONS, np.iinfo(np.uint32).max, np.uint32)
+    short = (shingles >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), SLICE):
+        hashes = short[at : at + SLICE, None] ^ flips
+        hashes *= factors
         np.minimum(least, hashes.min(0), out=least)
-    return (mixed(least) >> np.uint64(32)).astype("<u4").tobytes()
+    return (mixed(least.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype("<u4")
 
 
-def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, text_key, class, n_shingles, signature, sketch) per row of `docs`, text_key the text's md5; texts without words have no class.
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """Two bits of each token."""
+    bits = (tokens & 3).astype(np.uint8).reshape(-1, 4)
+    return (bits[:, 0] | bits[:, 1] << 2 | bits[:, 2] << 4 | bits[:, 3] << 6).tobytes()
 
-    The sketch is a byte of each minwise token.
-    """
+
+def text_key(text: Column | str) -> Column:
+    return F.unhex(F.md5(text))
+
+
+def signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, text_key, class, n_shingles, signature, sketch) per row of `docs`, text_key the text's md5; texts without words have no class."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles_of = Shingler(shingle)
-        seeds = mixed(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        shingles_of, seeds = Shingler(shingle), minwise_seeds()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for text in batch["text"]:
                 own = shingles_of(text)
-                tokens = minwise(own, seeds) if len(own) else None
-                rows.append((class_of(own), len(own), tokens, tokens[::4]) if len(own) else (None, 0, None, None))
+                if len(own):
+                    tokens = minwise(own, seeds)
+                    rows.append((class_of(own), len(own), tokens.tobytes(), sketch_of(tokens)))
+                else:
+                    rows.append((None, 0, None, None))
             out = pd.DataFrame(rows, columns=["class", "n_shingles", "signature", "sketch"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             out.insert(1, "text_key", batch["text_key"].array)
             yield out
 
-    return docs.select(F.col("doc_id").cast("long"), "text", F.md5("text").alias("text_key")).mapInPandas(made, SIGNATURES)
+    return docs.select(F.col("doc_id").cast("long"), "text", text_key("text").alias("text_key")).mapInPandas(made, SIGNATURES)
 
 
 def trees_for(percent: int) -> int:
@@ -137,104 +152,124 @@ def trees_for(percent: int) -> int:
     return 1 if met >= 1 else max(1, math.ceil(math.log(MISSED) / math.log1p(-met)))
 
 
-def token_at(position: Column) -> Column:
-    return F.substring(F.col("signature"), position * 4 + 1, 4)
+def least_agreement(percent: int) -> int:
+    """Places in which the sketches of all but SKETCH_MISSED of the pairs at the threshold agree at least."""
+    same = percent / 100 + (1 - percent / 100) / 4
+    below, places = 0.0, 0
+    while places < POSITIONS:
+        below += math.comb(POSITIONS, places) * same**places * (1 - same) ** (POSITIONS - places)
+        if below > SKETCH_MISSED:
+            break
+        places += 1
+    return places
 
 
 def children(rows: DataFrame, branches: int, trees: int = 1) -> DataFrame:
-    """(node, class) of the children of each (node, class, signature); a node chooses the positions by its hash."""
-    picks = [
-        F.struct(F.lit(t).alias("tree"), F.pmod(F.xxhash64("node", F.lit(t * branches + b)), F.lit(POSITIONS)).cast("int").alias("position"))
-        for t in range(trees)
-        for b in range(branches)
-    ]
-    chosen = rows.withColumn("pick", F.explode(F.array(*picks)))
-    node = F.xxhash64("node", "pick.tree", "pick.position", token_at(F.col("pick.position")))
-    return chosen.select(node.alias("node"), "class").distinct()
+    """`rows` (node, signature, ...) with a child in place of the node, a row per child; a node chooses the positions by its hash."""
+
+    def child(tree: int, branch: int) -> Column:
+        position = F.pmod(F.xxhash64("node", F.lit(tree * branches + branch)), F.lit(POSITIONS)).cast("int")
+        return F.xxhash64("node", F.lit(tree), position, F.substring(F.col("signature"), position * 4 + 1, 4))
+
+    nodes = F.array_distinct(F.array(*(child(t, b) for t in range(trees) for b in range(branches))))
+    return rows.withColumn("node", F.explode(nodes))
+
+
+def agreement(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """In how many places each sketch of `left` agrees with each of `right`."""
+    differ = left[:, None, :] ^ right[None, :, :]
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return POSITIONS - np.bitwise_count(differ).sum(2, dtype=np.int16)
 
 
 def sketched(sketches: list[bytes]) -> np.ndarray:
-    return np.stack([np.frombuffer(s, np.uint8) for s in sketches])
+    return np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
 
 
-def spanning(strong: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """A spanning forest of a symmetric relation, and the tree of each place."""
-    tree, edges = np.full(len(strong), -1), []
-    for root in range(len(strong)):
+def spanning(weight: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A spanning forest of a symmetric relation, the heaviest pairs first, and the tree of each place."""
+    weight = np.asarray(weight, np.int16)
+    tree, edges = np.full(len(weight), -1), []
+    for root in range(len(weight)):
         if tree[root] >= 0:
             continue
         tree[root] = root
-        waiting = [root]
-        while waiting:
-            here = waiting.pop()
-            for other in np.flatnonzero(strong[here] & (tree < 0)):
-                tree[other] = root
-                edges.append((here, int(other)))
-                waiting.append(int(other))
+        best, source = np.where(tree < 0, weight[root], 0), np.full(len(weight), root)
+        while best.any():
+            here = int(best.argmax())
+            edges.append((int(source[here]), here))
+            tree[here], best[here] = root, 0
+            closer = (weight[here] > best) & (tree < 0)
+            best[closer], source[closer] = weight[here][closer], here
     return edges, tree
 
 
-def leaf_pairs(lists: DataFrame, least: int, strong: int | None = None) -> DataFrame:
-    """(node, a, b, strong), a < b, of the classes in each row's list whose sketches agree in `least` places.
-
-    With `strong`, pairs that agree in so many places are named as far as they make a spanning forest, and others only between its trees.
-    """
-
-    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for node, members in zip(batch["node"], batch["members"], strict=True):
-                names = [m["class"] for m in members]
-                sketch = sketched([m["sketch"] for m in members])
-                agree = np.stack([(sketch == own).sum(1) for own in sketch])
-                edges, tree = spanning(agree >= strong) if strong else ([], np.arange(len(names)))
-                rows.extend((node, *sorted((names[i], names[j])), True) for i, j in edges)
-                apart = np.argwhere(np.triu(agree >= least, 1) & (tree[:, None] != tree[None, :]))
-                rows.extend((node, *sorted((names[i], names[j])), False) for i, j in apart)
-            yield pd.DataFrame(rows, columns=["node", "a", "b", "strong"]).astype({"node": "int64", "strong": "bool"})
+def listed(rows: DataFrame) -> DataFrame:
+    """The rows (node, block, other, number, n_shingles, sketch, component, outer) of a list in one row."""
+    return rows.groupBy(*LIST).agg(*(F.collect_list(name).alias(name) for name in ("number", "n_shingles", "sketch", "component", "outer")))
 
-    return lists.mapInPandas(compared, LEAF_PAIRS)
 
+def list_pairs(lists: DataFrame, least: int, percent: int, every: bool = False) -> DataFrame:
+    """(node, block, other, a, b), a < b, of candidates in a list: a spanning forest of them, or `every` one.
 
-def pivot_pairs(rows: DataFrame, least: int) -> DataFrame:
-    """(a, b), a < b, of each row's class and those of its `pivots` whose sketches agree in `least` places."""
+    The outer classes of a list meet its others, or each other if there are none. Candidates are in different components, near
+    enough in size, and their sketches agree in `least` places.
+    """
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for name, own, pivots in zip(batch["class"], batch["sketch"], batch["pivots"], strict=True):
-                near = (sketched([p["sketch"] for p in pivots]) == np.frombuffer(own, np.uint8)).sum(1) >= least
-                found.extend(sorted((name, pivots[k]["class"])) for k in np.flatnonzero(near) if pivots[k]["class"] != name)
-            yield pd.DataFrame(found, columns=["a", "b"], dtype=object)
-
-    return rows.mapInPandas(compared, "a string, b string")
-
-
-def outside_pairs(rows: DataFrame, nodes: DataFrame, leaf: int, least: int) -> DataFrame:
-    """(a, b), a < b, of near classes in different components of a node.
-
-    `rows` has (node, class, sketch, component), `nodes` (node, size, main). Classes outside the component `main` meet
-    all classes of the node, block by block of about `leaf` classes.
-    """
-    blocked = rows.join(nodes, "node").withColumn("block", F.pmod(F.xxhash64("class"), F.ceil(F.col("size") / leaf)))
-    member = F.collect_list(F.struct("class", "sketch", "component"))
-    every = blocked.groupBy("node", "block").agg(member.alias("members"))
-    outside = blocked.filter("component <> main").groupBy("node", F.col("block").alias("other")).agg(member.alias("others"))
+            rows: list[tuple[int, ...]] = []
+            for node, block, other, numbers, sizes, sketches, known, outer in batch.itertuples(index=False, name=None):
+                own = np.flatnonzero(outer)
+                rest = np.flatnonzero(~np.asarray(outer, bool))
+                rest = rest if len(rest) else own
+                sketch = sketched(list(sketches))
+                agree = agreement(sketch[own], sketch[rest])
+                less, more = np.minimum(sizes[own][:, None], sizes[rest]), np.maximum(sizes[own][:, None], sizes[rest])
+                near = (agree >= least) & (100 * less >= percent * more) & (known[own][:, None] != known[rest])
+                if rest is own:
+                    near = np.triu(near)
+                if not near.any():
+                    continue
+                if every:
+                    pairs = [(own[i], rest[j]) for i, j in np.argwhere(near)]
+                else:
+                    used = np.union1d(own[near.any(1)], rest[near.any(0)])
+                    place = np.full(len(numbers), -1)
+                    place[used] = np.arange(len(used))
+                    # Connected classes are joined first, by edges that are not named.
+                    weight = np.where(known[used][:, None] == known[used], POSITIONS + 1, 0)
+                    i, j = np.nonzero(near)
+                    weight[place[own[i]], place[rest[j]]] = weight[place[rest[j]], place[own[i]]] = agree[i, j]
+                    pairs = [(used[i], used[j]) for i, j in spanning(weight)[0] if known[used[i]] != known[used[j]]]
+                for i, j in pairs:
+                    rows.append((node, block, other, min(numbers[i], numbers[j]), max(numbers[i], numbers[j])))
+            yield pd.DataFrame(rows, columns=[*LIST, "a", "b"], dtype="int64")
+
+    return lists.select(*LIST, "number", "n_shingles", "sketch", "component", "outer").mapInPandas(compared, LIST_PAIRS)
+
+
+def pivot_pairs(rows: DataFrame, least: int, percent: int) -> DataFrame:
+    """(a, b), a < b, of a row's class and the nearest of its `pivots`, if a candidate; one pair per class and batch."""
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            firsts, seconds = [], []
-            for members, others in zip(batch["members"], batch["others"], strict=True):
-                sketch = sketched([m["sketch"] for m in members])
-                for other in others:
-                    for j in np.flatnonzero((sketch == sketched([other["sketch"]])).sum(1) >= least):
-                        if members[j]["component"] != other["component"]:
-                            a, b = sorted((members[j]["class"], other["class"]))
-                            firsts.append(a)
-                            seconds.append(b)
-            yield pd.DataFrame({"a": firsts, "b": seconds}, dtype=object)
-
-    return every.join(outside, "node").select("members", "others").mapInPandas(compared, "a string, b string")
+            found: dict[int, tuple[int, int]] = {}
+            columns = (batch[name] for name in ("number", "n_shingles", "sketch", "component", "pivots"))
+            for number, size, sketch, known, pivots in zip(*columns, strict=True):
+                agree = agreement(sketched([sketch]), sketched([p["sketch"] for p in pivots]))[0]
+                for k in np.argsort(-agree, kind="stable"):
+                    if agree[k] < least or number in found and agree[k] <= found[number][0]:
+                        break
+                    pivot = pivots[k]
+                    less, more = sorted((size, pivot["n_shingles"]))
+                    if pivot["component"] != known and 100 * less >= percent * more:
+                        found[number] = (agree[k], pivot["number"])
+                        break
+            pairs = [(min(a, b), max(a, b)) for a, (_, b) in found.items()]
+            yield pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
+
+    return rows.select("number", "n_shingles", "sketch", "component", "pivots").mapInPandas(compared, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -244,9 +279,10 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stage(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
     labels = stage(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("component")).withColumnRenamed("a", "class"), "labels")
+    kind = labels.schema["component"].dataType
     while True:
         own = labels.select("class", "component", F.col("component").alias("before"))
-        heard = edges.join(labels, edges["b"] == labels["class"]).select(F.col("a").alias("class"), "component", F.lit(None).cast("string").alias("before"))
+        heard = edges.join(labels, edges["b"] == labels["class"]).select(F.col("a").alias("class"), "component", F.lit(None).cast(kind).alias("before"))
         nearest = own.unionByName(heard).groupBy("class").agg(F.min("component").alias("component"), F.max("before").alias("before"))
         nearest = stage(nearest, "nearest")
         if not nearest.filter("component <> before").head(1):
@@ -290,113 +326,181 @@ def apart(pairs: DataFrame, labels: DataFrame | None, *more: str) -> DataFrame:
     return found.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b", *more)
 
 
-def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs that are links on full sets."""
-    named = pairs.select(F.col("a").alias("class")).union(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = stage(classes.select("class", F.col("text_key").alias("__key")).join(named, "class"), "wanted")
-
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles_of = Shingler(shingle)
-        seen: set[str] = set()  # rows that repeat a text make one set in a task
-        for batch in batches:
-            first = [name not in seen and not seen.add(name) for name in batch["class"]]
-            batch = batch[np.array(first, bool)]
-            yield pd.DataFrame({"class": batch["class"], "shingles": [shingles_of(text).view(np.int64) for text in batch["text"]]})
-
-    texts = docs.select("text", F.md5("text").alias("text_key"))
-    chosen = texts.join(broadcast_if_small(wanted), texts["text_key"] == wanted["__key"]).select("class", "text")
-    sets = stage(chosen.mapInPandas(made, "class string, shingles array<long>").dropDuplicates(["class"]), "sets")
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("__right"))
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("__left"))
-    both = pairs.join(right.hint("shuffle_merge"), "b").join(left.hint("shuffle_merge"), "a")
-    shared = F.size(F.array_intersect("__left", "__right"))
-    union = F.size("__left") + F.size("__right") - shared
+def with_component(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """`rows` and the component of `number`, itself if it is not connected."""
+    if labels is None:
+        return rows.withColumn("component", F.col("number"))
+    named = rows.join(labels.withColumnRenamed("class", "number"), "number", "left")
+    return named.withColumn("component", F.coalesce("component", "number"))
+
+
+class Sets:
+    """The shingle sets of classes: made from one text of each when first asked for, and kept."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame, shingle: int):
+        self.docs, self.classes, self.shingle = docs, classes, shingle
+        self.known: DataFrame | None = None
+        self.paths: list[str] = []
+
+    def of(self, numbers: DataFrame) -> DataFrame:
+        """(number, shingles) of at least the classes in `numbers`."""
+        if self.known is not None:
+            numbers = numbers.join(self.known.select("number"), "number", "left_anti")
+        wanted = self.classes.select("number", F.col("text_key").alias("__key")).join(numbers, "number")
+        wanted = stage(wanted, "wanted", self.paths)
+        if self.known is None or wanted.head(1):
+            made = stage(self.made(wanted), "sets", self.paths)
+            self.known = made if self.known is None else self.known.union(made)
+        return self.known
+
+    def made(self, wanted: DataFrame) -> DataFrame:
+        length = self.shingle
+
+        def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            shingles_of = Shingler(length)
+            seen: set[int] = set()  # rows that repeat a text make one set in a task
+            for batch in batches:
+                first = [name not in seen and not seen.add(name) for name in batch["number"]]
+                batch = batch[np.array(first, bool)]
+                yield pd.DataFrame({"number": batch["number"], "shingles": [shingles_of(text).view(np.int64) for text in batch["text"]]})
+
+        texts = self.docs.select("text", text_key("text").alias("text_key"))
+        chosen = texts.join(broadcast_if_small(wanted, BROADCAST), texts["text_key"] == wanted["__key"]).select("number", "text")
+        return chosen.mapInPandas(made, "number long, shingles array<long>").dropDuplicates(["number"])
+
+
+def confirmed(sets: Sets, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are links on full sets. `pairs` are read more than once and should be staged."""
+    ends = {end: pairs.select(F.col(end).alias("number")).distinct() for end in ("a", "b")}
+    known = sets.of(ends["a"].union(ends["b"]).distinct())
+
+    def side(end: str) -> DataFrame:
+        used = known.join(broadcast_if_small(ends[end], BROADCAST), "number", "left_semi")
+        return used.select(F.col("number").alias(end), F.col("shingles").alias(f"__{end}")).hint("shuffle_merge")
+
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    shared = F.size(F.array_intersect("__a", "__b"))
+    union = F.size("__a") + F.size("__b") - shared
     return both.filter(100 * shared.cast("long") >= percent * union.cast("long")).select("a", "b")
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
+def end_lists(named: DataFrame, ends: DataFrame, leaf: int) -> DataFrame:
+    """The lists in which all classes of a node meet those outside its component `main`, in blocks of about `leaf` classes of both kinds.
+
+    `named` has (node, number, n_shingles, sketch, component), `ends` (node, size, most, main).
+    """
+    rows = named.join(broadcast_if_small(ends, BROADCAST), "node")
+    blocks, others = F.ceil(F.col("size") / leaf), F.ceil((F.col("size") - F.col("most")) / leaf)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+    own = ("number", "n_shingles", "sketch", "component")
+    block, other = F.pmod(F.xxhash64("number"), blocks).alias("block"), F.pmod(F.xxhash64("number", F.lit(1)), others).alias("other")
+    inner = rows.select("node", block, upto(others).alias("other"), *own, F.lit(False).alias("outer"))
+    outer = rows.filter("main IS NULL OR component <> main").select("node", upto(blocks).alias("block"), other, *own, F.lit(True).alias("outer"))
+    return listed(inner.unionByName(outer))
+
+
+def near_groups(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF, paths: list[str] | None = None
+) -> DataFrame:
     """One row per row of `docs`: doc_id, text_key, n_shingles, class, group, least_id.
 
-    `group` is the least class of a component, and `least_id` its smallest doc_id; both are NULL for texts without words. Unlike
-    `least_id`, `group` tells components apart where a doc_id is repeated or NULL.
+    `group` is the least number of a component's classes, and `least_id` its smallest doc_id; both are NULL for texts without words. Unlike
+    `least_id`, `group` tells components apart where a doc_id is repeated or NULL. `paths` gets where the tables lie that the result reads.
     """
     trees = trees_for(percent) if trees is None else trees
-    least = max(1, int(POSITIONS * (percent / 100 - SLACK)))
-    strong = POSITIONS - int(POSITIONS * (1 - percent / 100) * (1 - STRONG))
+    least = least_agreement(percent)
     spark = docs.sparkSession
-    rows = stage(signatures(docs, shingle), "signatures")
-    found = rows.filter("class IS NOT NULL").groupBy("class")
-    found = found.agg(*(F.min(name).alias(name) for name in ("doc_id", "text_key", "signature", "sketch"))).withColumnRenamed("doc_id", "least_id")
-    classes = stage(found, "classes")
-    signed, sketches = classes.select("class", "signature"), classes.select("class", "sketch")
-    level: list[str] = []
-    members = stage(children(signed.withColumn("node", F.lit(0).cast("long")), BRANCHES, trees), "members", level)
+    paths = [] if paths is None else paths
+    wide: list[str] = []
+    kept: list[str] = []
+    signed = stage(signatures(docs, shingle), "signatures", wide)
+    found = signed.filter("class IS NOT NULL").groupBy("class")
+    found = found.agg(*(F.min(name).alias(name) for name in ("doc_id", "text_key", "n_shingles", "signature", "sketch"))).withColumnRenamed("doc_id", "least_id")
+    classes = stage(found.withColumn("number", F.monotonically_increasing_id()), "classes", kept)
+    rows = stage(signed.select("doc_id", "text_key", "n_shingles", "class"), "rows", paths)
+    discard(spark, wide)
+    sets = Sets(docs, classes, shingle)
     labels: DataFrame | None = None
-    leaves: list[DataFrame] = []
-    outside: list[DataFrame] = []
+    opened: list[DataFrame] = []
+    lists: list[DataFrame] = []
+
+    def reached() -> DataFrame:
+        """The classes of the nodes of the next level, found by a walk down from the root over the nodes that branched on."""
+        found = classes.select(F.lit(0).cast("long").alias("node"), "signature", "number", "n_shingles", "sketch")
+        found = children(found, BRANCHES, trees)
+        for nodes in opened:
+            found = children(found.join(nodes, "node"), BRANCHES)
+        return found.drop("signature")
 
     def learn(pairs: DataFrame) -> None:
         nonlocal labels
         if pairs.head(1):
-            more = stage(confirmed(docs, classes, pairs, shingle, percent), "links")
+            more = stage(confirmed(sets, pairs, percent), "links", kept)
             if more.head(1):
                 labels = merged(labels, more)
 
     def learn_all(pairs: DataFrame) -> None:
         """First one pair per class, then those that are still apart."""
-        pairs = stage(apart(pairs, labels), "pairs")
-        learn(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-        learn(stage(apart(pairs, labels), "rest") if labels is not None else pairs)
+        pairs = stage(apart(pairs, labels), "pairs", kept)
+        learn(stage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "firsts", kept))
+        learn(stage(apart(pairs, labels), "rest", kept) if labels is not None else pairs)
 
     for depth in range(DEPTH + 1):
-        sizes = members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1")
-        held = stage(members.join(sizes, "node").join(sketches, "class"), "held", level)
-        small = held.filter(F.col("size") <= leaf).groupBy("node").agg(F.collect_list(F.struct("class", "sketch")).alias("members"))
+        level: list[str] = []
+        members = stage(reached(), "members", level)
+        sizes = stage(members.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "sizes", level)
+        small = members.join(sizes.filter(F.col("size") <= leaf).select("node"), "node")
+        zero = F.lit(0).cast("long")
+        small = small.withColumns({"block": zero, "other": zero, "component": F.col("number"), "outer": F.lit(True)})
         # What leaves hold decides nothing about larger nodes and is confirmed once, at the end.
-        leaves.append(stage(small, "leaves"))
-        large = held.filter(F.col("size") > leaf)
-        if not large.head(1):
+        lists.append(stage(listed(small), "leaves", kept))
+        big = sizes.filter(F.col("size") > leaf)
+        if not big.head(1):
+            discard(spark, level)
             break
-        spread = F.pmod(F.xxhash64("class", "node"), F.lit(PIVOTS))
-        pivots = large.groupBy("node", spread.alias("spread")).agg(F.min_by(F.struct("class", "sketch"), "class").alias("pivot"))
-        pivots = pivots.groupBy("node").agg(F.collect_list("pivot").alias("pivots"))
-        learn_all(pivot_pairs(large.select("node", "class", "sketch").join(pivots, "node"), least).distinct())
-        named = large.select("node", "class", "sketch")
-        if labels is None:
-            named = named.withColumn("component", F.col("class"))
+        large = members.join(broadcast_if_small(big, BROADCAST), "node")
+        named = stage(with_component(large.drop("size"), labels), "large", level)
+        spread = F.pmod(F.xxhash64("number", "node"), F.lit(PIVOTS))
+        pivot = F.struct("number", "n_shingles", "sketch", "component")
+        pivots = named.groupBy("node", spread.alias("spread")).agg(F.min_by(pivot, "number").alias("pivot"))
+        pivots = stage(pivots.groupBy("node").agg(F.collect_list("pivot").alias("pivots")), "pivots", level)
+        before = labels
+        learn_all(pivot_pairs(named.join(pivots, "node"), least, percent).distinct())
+        if labels is not before:
+            named = stage(with_component(named.drop("component"), labels), "named", level)
+        # The largest component of a node, among those of several classes.
+        shares = named
+        if labels is not None:
+            shares = named.join(labels.select("component").distinct(), "component", "left_semi")
         else:
-            named = named.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        named = stage(named, "named", level)
-        shares = named.groupBy("node", "component").agg(F.count("*").alias("n"))
-        shares = shares.groupBy("node").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("component", "n").alias("main"))
+            shares = named.limit(0)
+        shares = shares.groupBy("node", "component").agg(F.count("*").alias("n"))
+        shares = shares.groupBy("node").agg(F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main"))
+        shares = big.join(shares, "node", "left").withColumn("most", F.coalesce("most", F.lit(0).cast("long")))
         shares = stage(shares.filter("most < size"), "shares", level)
         ends = F.lit(depth == DEPTH) | (F.col("size") - F.col("most") <= leaf)
-        outside.append(stage(outside_pairs(named, shares.filter(ends).select("node", "size", "main"), leaf, least).distinct(), "outside"))
-        if depth == DEPTH or not shares.filter(~ends).head(1):
+        lists.append(stage(end_lists(named, shares.filter(ends), leaf), "ended", kept))
+        further = stage(shares.filter(~ends).select("node"), "opened", kept)
+        discard(spark, level)
+        if not further.head(1):
             break
-        open_rows = named.join(shares.filter(~ends).select("node"), "node").select("node", "class").join(signed, "class")
-        done, level = level, []
-        members = stage(children(open_rows, BRANCHES), "members", level)
-        discard(spark, done)
-    lists = reduce(DataFrame.union, leaves)
-    near = stage(leaf_pairs(lists, least, strong), "near")
-    spanned = near.filter("strong").select("node", "a", "b")
-    learn_all(spanned.select("a", "b").distinct())
-    weak = near.filter("NOT strong").select("a", "b")
-    if labels is not None or spanned.head(1):
-        torn = spanned if labels is None else apart(spanned, labels, "node")
-        torn = stage(torn.select("node").distinct(), "torn")
-        if torn.head(1):
-            weak = weak.union(leaf_pairs(lists.join(torn, "node", "left_semi"), least).select("a", "b"))
-    learn_all(reduce(DataFrame.union, outside, weak).distinct())
-    discard(spark, level)
-
-    least_ids = classes.select("class", "least_id").withColumn("group", F.col("class"))
-    if labels is not None:
-        joined = stage(classes.select("class", "least_id").join(labels, "class", "left").withColumn("group", F.coalesce("component", "class")), "joined")
-        smallest = joined.groupBy("group").agg(F.min("least_id").alias("least_id"))
-        least_ids = joined.select("class", "group").join(smallest, "group").select("class", "group", "least_id")
-    return rows.select("doc_id", "text_key", "n_shingles", "class").join(least_ids, "class", "left")
+        opened.append(broadcast_if_small(further, BROADCAST))
+
+    every = reduce(DataFrame.union, lists)
+    near = stage(list_pairs(every, least, percent), "near", kept)
+    learn_all(near.select("a", "b").distinct())
+    torn = stage((near if labels is None else apart(near, labels, *LIST)).select(*LIST).distinct(), "torn", kept)
+    if torn.head(1):
+        zipped = F.explode(F.arrays_zip("number", "n_shingles", "sketch", "outer"))
+        again = every.join(torn, LIST, "left_semi").select(*LIST, zipped.alias("own")).select(*LIST, "own.*")
+        learn_all(list_pairs(listed(with_component(again, labels)), least, percent, every=True).select("a", "b").distinct())
+
+    groups = with_component(classes.select("class", "number", "least_id"), labels).withColumnRenamed("component", "group")
+    groups = stage(groups, "groups", paths)
+    smallest = groups.groupBy("group").agg(F.min("least_id").alias("least_id"))
+    named = groups.select("class", "group").join(smallest, "group").select("class", "group", "least_id")
+    discard(spark, kept + sets.paths)
+    return rows.join(named, "class", "left").select("doc_id", "text_key", "n_shingles", "class", "group", "least_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, trees: int | None = None, leaf: int = LEAF) -> DataFrame:
@@ -409,7 +513,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     out = near_groups(docs, shingle, percent, trees, leaf)
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
     out = out.withColumn("component_id", component)
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "class")
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), F.lower(F.hex("class")).alias("class"))
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -418,23 +522,25 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
     Rows go by id and text: other texts of an id that is repeated or NULL are none of a group's business. Of rows that repeat the id and text
     that stay, the one with the least hash of all columns is kept. Texts without words all stay. Helper columns begin with two underscores.
     """
-    found = stage(near_groups(docs, percent=percent), "duplicates").filter("class IS NOT NULL")
+    spent: list[str] = []
+    found = near_groups(docs, percent=percent, paths=spent).filter("class IS NOT NULL")
     rows = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("__n"))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    rows = stage(rows.withColumn("__rank", rank), "group_rows")
+    rows = stage(rows.withColumn("__rank", rank), "group_rows", spent)
     rows = rows.join(rows.groupBy("group").agg(F.min("__rank").alias("__first")), "group")
     rows = rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__n", (F.col("__rank") == F.col("__first")).alias("__kept"))
     rows = stage(rows, "fates")
-    keyed = docs.withColumn("__text", F.md5("text"))
+    discard(docs.sparkSession, spent)
+    keyed = docs.withColumn("__text", text_key("text"))
 
     def those(frame: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
         return frame.join(chosen, (F.col("__text") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")), how)
 
-    left = those(keyed, broadcast_if_small(rows.filter("NOT __kept").select("__id", "__key")), "left_anti")
+    left = those(keyed, broadcast_if_small(rows.filter("NOT __kept").select("__id", "__key"), BROADCAST), "left_anti")
     again = rows.filter("__n > 1 AND __kept").select("__id", "__key")
     if not again.head(1):
         return left.drop("__text")
-    again = broadcast_if_small(again)
+    again = broadcast_if_small(again, BROADCAST)
     columns = [F.col(f"`{name}`") for name in docs.columns]
     first = F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("__row")
     one_each = those(left, again, "left_semi").groupBy("doc_id", "__text").agg(first).select("__row.*")

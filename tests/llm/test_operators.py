@@ -471,3 +471,35 @@ def test_mixed_rows_come_in_the_order_of_the_schedule(spark, words):
         slots.append(first[r.doc_id][1 if r.doc_id in seen else 0])
         seen.add(r.doc_id)
     assert slots == sorted(slots) and len(slots) > 200
+
+
+def test_candidates_of_a_list_are_fewer_than_its_classes(spark, words):
+    """A group of near copies names a spanning forest, and one pair per class with pivots, however large it is."""
+    from pyspark.sql import functions as F
+
+    from plumbrule.llm import near_dups
+
+    draw = random.Random(21)
+    base = [draw.choice(words) for _ in range(400)]
+    texts = []
+    for i in range(60):
+        changed = list(base)
+        changed[draw.randrange(len(changed))] = f"new{i}"
+        texts.append(" ".join(changed))
+    shingler, seeds = near_dups.Shingler(5), near_dups.minwise_seeds()
+    sets = [shingler(text) for text in texts]
+    sketches = [bytearray(near_dups.sketch_of(near_dups.minwise(own, seeds))) for own in sets]
+    rows = [(0, 0, 0, i, len(own), sketch, i, True) for i, (own, sketch) in enumerate(zip(sets, sketches, strict=True))]
+    schema = "node long, block long, other long, number long, n_shingles int, sketch binary, component long, outer boolean"
+    flat = spark.createDataFrame(rows, schema)
+    lists, least = near_dups.listed(flat), near_dups.least_agreement(85)
+    forest = near_dups.list_pairs(lists, least, 85).collect()
+    assert len(forest) == 59 and near_dups.list_pairs(lists, least, 85, every=True).count() == 60 * 59 // 2
+    pivots = [(0, [(i, len(sets[i]), sketches[i], i) for i in range(16)])]
+    pivots = spark.createDataFrame(pivots, "node long, pivots array<struct<number: long, n_shingles: int, sketch: binary, component: long>>")
+    assert near_dups.pivot_pairs(flat.join(pivots, "node"), least, 85).count() <= 60
+    # Connected classes name nothing; the outer ones of an ended node meet the others in one forest.
+    known = near_dups.listed(flat.withColumn("component", F.lit(0).cast("long")))
+    assert near_dups.list_pairs(known, least, 85).count() == 0
+    two = flat.withColumn("outer", F.col("number") < 5).withColumn("component", F.when(F.col("number") < 5, F.col("number")).otherwise(5))
+    assert near_dups.list_pairs(near_dups.listed(two), least, 85).count() == 5
