@@ -61,24 +61,21 @@ def running_sums(
 
     `key` is a long below 2 ** `key_bits`, spread evenly or dense from 0, so that its leading bits cut
     every group into cells of about 4,096 rows at most. Cells are summed, their running sums found in
-    the same way, and added to the sums within a cell: no window holds a whole group. `group`
+    the same way, and added to the sums within a cell: no window holds a whole group. Each level has
+    fewer key bits than the one above, however many groups there are, and its own helper columns. `group`
     columns hold no NULL. `rows` is read more than once and should be staged.
     """
     found = rows.count()
-    cell_bits = max(0, min(key_bits, math.ceil(math.log2(max(found, 1))) - FAN_BITS))
-    cell = f"__cell_{key_bits}"
+    cell_bits = max(0, min(key_bits, math.ceil(math.log2(max(found, 1)))) - FAN_BITS)
+    cell, start, part = f"__cell_{key_bits}", f"__start_{key_bits}", f"__amount_{key_bits}"
     before = Window.partitionBy(*group, cell).orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
     celled = rows.withColumn(cell, F.shiftright(F.col(key), key_bits - cell_bits))
     within = celled.withColumn(out, F.coalesce(F.sum(amount).over(before), F.lit(0).cast("long")))
     if cell_bits == 0:
         return within.drop(cell)
-    totals = celled.groupBy(*group, cell).agg(F.sum(amount).alias("__amount"))
-    starts = running_sums(stage(totals, "cells"), group, cell, cell_bits, "__amount", "__start")
-    return (
-        within.join(starts.drop("__amount"), [*group, cell])
-        .withColumn(out, F.col(out) + F.col("__start"))
-        .drop("__start", cell)
-    )
+    totals = celled.groupBy(*group, cell).agg(F.sum(amount).alias(part))
+    starts = running_sums(stage(totals, "cells"), group, cell, cell_bits, part, start)
+    return within.join(starts.drop(part), [*group, cell]).withColumn(out, F.col(out) + F.col(start)).drop(start, cell)
 
 
 def numbered(values: DataFrame, column: str, out: str) -> DataFrame:

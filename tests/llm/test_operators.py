@@ -473,6 +473,30 @@ def test_mixed_rows_come_in_the_order_of_the_schedule(spark, words):
     assert slots == sorted(slots) and len(slots) > 200
 
 
+def test_running_sums_over_many_levels_and_groups(spark, monkeypatch):
+    """Sums of cells are summed in cells again, and more groups than a cell has rows end too."""
+    from plumbrule.llm import common
+
+    monkeypatch.setattr(common, "FAN_BITS", 2)
+    draw = random.Random(30)
+    rows = [(g, key, draw.randint(0, 9)) for g, n in [(0, 700), *((g, 3) for g in range(1, 40))] for key in draw.sample(range(1 << 10), n)]
+    table = spark.createDataFrame(rows, "g long, key long, amount long")
+    got = {(r.g, r.key): r.before for r in common.running_sums(table, ["g"], "key", 10, "amount", "before").collect()}
+    assert got == {(g, key): sum(a for h, other, a in rows if h == g and other < key) for g, key, _ in rows}
+
+
+def test_mix_of_tables_with_many_cells(spark, words, monkeypatch):
+    """As with one cell; above 4,096 cells sums take three levels, whose helper columns clashed."""
+    from plumbrule.llm import common
+
+    draw = random.Random(31)
+    rows = [(i, " ".join(draw.choices(words, k=draw.randint(1, 60))), draw.choice(["a", "b", None])) for i in range(150)]
+    docs = mix_table(spark, rows)
+    once = sorted(map(tuple, mix(docs, block=64).collect()), key=repr)
+    monkeypatch.setattr(common, "FAN_BITS", 3)
+    assert sorted(map(tuple, mix(docs, block=64).collect()), key=repr) == once
+
+
 def test_candidates_of_a_list_are_fewer_than_its_classes(spark, words):
     """A group of near copies names a spanning forest, and one pair per class with pivots, however large it is."""
     from pyspark.sql import functions as F
