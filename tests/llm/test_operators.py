@@ -497,6 +497,20 @@ def test_mix_of_tables_with_many_cells(spark, words, monkeypatch):
     assert sorted(map(tuple, mix(docs, block=64).collect()), key=repr) == once
 
 
+def test_slots_of_tables_with_many_cells(spark, monkeypatch):
+    """Slots number the records of a shard from 0, and do not depend on how many cells the shards are cut into."""
+    from plumbrule.llm import common
+    from plumbrule.llm.sharding import shard_documents
+
+    docs = docs_of(spark, [(i, f"text {i % 7}") for i in [*range(600), 5, 5, 6]])
+    once = sorted(map(tuple, shard_documents(docs).collect()))
+    monkeypatch.setattr(common, "FAN_BITS", 5)
+    got = shard_documents(docs).collect()
+    assert sorted(map(tuple, got)) == once
+    slots = sorted((r.shard, r.slot) for r in got)
+    assert slots == [(s, n) for s in range(16) for n in range(sum(r.shard == s for r in got))]
+
+
 def test_candidates_of_a_list_are_fewer_than_its_classes(spark, words):
     """A group of near copies names a spanning forest, and one pair per class with pivots, however large it is."""
     from pyspark.sql import functions as F
