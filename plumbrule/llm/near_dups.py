@@ -5,20 +5,21 @@ class from the start, known by a number. Every class has a signature of minwise
 node of all classes; a node picks `BRANCHES` positions of the signature by its own hash, and each class goes to
 one child per position, named by the minwise token there. Nodes of up to `LEAF` classes are compared exhaustively by their
 sketches. In larger ones each class is compared with `PIVOTS` of them and names its nearest. If up to `LEAF` classes are then outside the
-node's largest known component, these are compared with all classes of the node and it ends there: what is connected already
-cannot change a component. Other nodes branch on. A pair at the threshold t meets at the end of a tree
+node's largest group, these are compared with all classes of the node and it ends there: what is in one group is compared anyhow. Other
+nodes branch on. A pair at the threshold t meets at the end of a tree
 with a chance q = 1 - (1 - t * q) ** BRANCHES: 0.97 for t = 0.85 and two branches, 0.94 for t = 0.80. There are as many independent
 trees as miss fewer than `MISSED` of the pairs at the threshold: four at 0.85, five at 0.80. Nodes that would branch on after `DEPTH` levels end in the same way, however many classes are outside.
 
-Candidates are confirmed on full sets, made from one text of each of just those classes. What is compared exhaustively names a
-spanning forest of its candidates, the nearest pairs first: fewer pairs than classes. Only where a pair of a forest is
-not confirmed, and its ends not connected otherwise, all candidates still apart are named: first one per class is confirmed, then those
-left apart. So every candidate ends in one component or is tested.
+What trees find are candidates, of which only those that bring groups together are named: what is compared exhaustively names a
+spanning forest, fewer pairs than classes. A group is what candidates connect, so every pair of candidates lies in one. Links are
+told within groups, on full sets made from one text of each of just the classes in groups. A group's sets are dealt into blocks of about
+`BLOCK` shingles; pairs of a block are tested first, then those of two blocks that are still apart, and only pairs not connected already.
 
 Scale: a class goes down the trees in scans of the table of classes, joined with the numbers of the nodes that branched on (about one in
 `LEAF` memberships at most), so signatures are shuffled once, to find equal sets. Else only numbers and sketches of 32 bytes are
-shuffled, and the sets of classes with candidates, each made once. No task collects more than about twice LEAF classes. What a level needs
-is written to the shared folder, so a lost executor costs only a part of a level, and removed once it has been read.
+shuffled, and the sets of classes with candidates, each made once and sent to as many tasks as its group has blocks: one, unless the group has
+more than `BLOCK` shingles. Work grows with the square of a group if its texts are all candidates and none are links. No task holds more than a list of
+about twice `LEAF` classes at once, or two blocks. What a level needs is written to the shared folder, so a lost executor costs only a part of a level, and removed once it has been read.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ CACHE_WORDS = 100_000
 SLICE = 128  # shingles hashed at once for all positions
 BROADCAST = 2_000_000  # rows of one or two short columns up to which a side is broadcast
 SIGNATURES = "doc_id long, text_key binary, class binary, n_shingles long, signature binary, sketch binary"
+BLOCK = 1 << 20  # shingles of a group that are tested in one task, about; twice as many for pairs of two blocks
+PAIRS = 1 << 16  # pairs that a task gathers before it passes them on, about
 LIST = ["node", "block", "other"]
 LIST_PAIRS = "node long, block long, other long, a long, b long"
 
@@ -217,8 +220,8 @@ def list_pairs(lists: DataFrame, least: int, percent: int, every: bool = False)
     """
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[np.ndarray] = []
         for batch in batches:
-            rows: list[tuple[int, ...]] = []
             for node, block, other, numbers, sizes, sketches, known, outer in batch.itertuples(index=False, name=None):
                 own = np.flatnonzero(outer)
                 rest = np.flatnonzero(~np.asarray(outer, bool))
@@ -231,20 +234,24 @@ def list_pairs(lists: DataFrame, least: int, percent: int, every: bool = False)
                     near = np.triu(near)
                 if not near.any():
                     continue
-                if every:
-                    pairs = [(own[i], rest[j]) for i, j in np.argwhere(near)]
-                else:
+                i, j = np.nonzero(near)
+                ends = np.column_stack([own[i], rest[j]])
+                if not every:
                     used = np.union1d(own[near.any(1)], rest[near.any(0)])
                     place = np.full(len(numbers), -1)
                     place[used] = np.arange(len(used))
                     # Connected classes are joined first, by edges that are not named.
                     weight = np.where(known[used][:, None] == known[used], POSITIONS + 1, 0)
-                    i, j = np.nonzero(near)
                     weight[place[own[i]], place[rest[j]]] = weight[place[rest[j]], place[own[i]]] = agree[i, j]
-                    pairs = [(used[i], used[j]) for i, j in spanning(weight)[0] if known[used[i]] != known[used[j]]]
-                for i, j in pairs:
-                    rows.append((node, block, other, min(numbers[i], numbers[j]), max(numbers[i], numbers[j])))
-            yield pd.DataFrame(rows, columns=[*LIST, "a", "b"], dtype="int64")
+                    ends = used[np.array(spanning(weight)[0], np.int64)]
+                    ends = ends[known[ends[:, 0]] != known[ends[:, 1]]]
+                names = np.broadcast_to(np.array([node, block, other]), (len(ends), 3))
+                found.append(np.hstack([names, np.sort(numbers[ends], axis=1)]))
+                if sum(map(len, found)) >= PAIRS:
+                    yield pd.DataFrame(np.concatenate(found), columns=[*LIST, "a", "b"])
+                    found = []
+        if found:
+            yield pd.DataFrame(np.concatenate(found), columns=[*LIST, "a", "b"])
 
     return lists.select(*LIST, "number", "n_shingles", "sketch", "component", "outer").mapInPandas(compared, LIST_PAIRS)
 
@@ -255,21 +262,21 @@ def pivot_pairs(rows: DataFrame, least: int, percent: int) -> DataFrame:
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found: dict[int, tuple[int, int]] = {}
-            columns = (batch[name] for name in ("number", "n_shingles", "sketch", "component", "pivots"))
-            for number, size, sketch, known, pivots in zip(*columns, strict=True):
-                agree = agreement(sketched([sketch]), sketched([p["sketch"] for p in pivots]))[0]
+            for number, size, sketch, known, others, sizes, sketches, components in batch.itertuples(index=False, name=None):
+                agree = agreement(sketched([sketch]), sketched(list(sketches)))[0]
                 for k in np.argsort(-agree, kind="stable"):
                     if agree[k] < least or number in found and agree[k] <= found[number][0]:
                         break
-                    pivot = pivots[k]
-                    less, more = sorted((size, pivot["n_shingles"]))
-                    if pivot["component"] != known and 100 * less >= percent * more:
-                        found[number] = (agree[k], pivot["number"])
+                    less, more = sorted((size, sizes[k]))
+                    if components[k] != known and 100 * less >= percent * more:
+                        found[number] = (agree[k], others[k])
                         break
             pairs = [(min(a, b), max(a, b)) for a, (_, b) in found.items()]
             yield pd.DataFrame(pairs, columns=["a", "b"], dtype="int64")
 
-    return rows.select("number", "n_shingles", "sketch", "component", "pivots").mapInPandas(compared, "a long, b long")
+    own = ("number", "n_shingles", "sketch", "component")
+    # Arrays of plain values: structs would be a dict each in Python.
+    return rows.select(*own, *(F.col(f"pivots.{name}").alias(f"pivot_{name}") for name in own)).mapInPandas(compared, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -315,17 +322,6 @@ def relabelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return ends.filter("a <> b").distinct()
 
 
-def apart(pairs: DataFrame, labels: DataFrame | None, *more: str) -> DataFrame:
-    """The pairs whose ends are not known to be connected, with the columns `more`."""
-    if labels is None:
-        return pairs
-    found = pairs
-    for end in ("a", "b"):
-        named = labels.select(F.col("class").alias(end), F.col("component").alias(f"__{end}"))
-        found = found.join(named, end, "left")
-    return found.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b", *more)
-
-
 def with_component(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     """`rows` and the component of `number`, itself if it is not connected."""
     if labels is None:
@@ -369,19 +365,63 @@ class Sets:
         return chosen.mapInPandas(made, "number long, shingles array<long>").dropDuplicates(["number"])
 
 
-def confirmed(sets: Sets, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are links on full sets. `pairs` are read more than once and should be staged."""
-    ends = {end: pairs.select(F.col(end).alias("number")).distinct() for end in ("a", "b")}
-    known = sets.of(ends["a"].union(ends["b"]).distinct())
+def tested(rows: DataFrame, least: int, percent: int) -> DataFrame:
+    """(a, b), a < b: links that connect what is linked on full sets in each list of `rows`, fewer than its classes.
 
-    def side(end: str) -> DataFrame:
-        used = known.join(broadcast_if_small(ends[end], BROADCAST), "number", "left_semi")
-        return used.select(F.col("number").alias(end), F.col("shingles").alias(f"__{end}")).hint("shuffle_merge")
+    `rows` has (node, block, other, number, n_shingles, sketch, component, outer, shingles). The outer classes of a list meet its others, or each
+    other if there are none. Pairs of one component, or connected by links found before, are not tested.
+    """
 
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
-    shared = F.size(F.array_intersect("__a", "__b"))
-    union = F.size("__a") + F.size("__b") - shared
-    return both.filter(100 * shared.cast("long") >= percent * union.cast("long")).select("a", "b")
+    def links(own: pd.DataFrame) -> pd.DataFrame:
+        numbers, outer = own["number"].to_numpy(), own["outer"].to_numpy(bool)
+        lengths = own["n_shingles"].to_numpy(np.int64)
+        sketch = sketched(list(own["sketch"]))
+        label = np.unique(own["component"].to_numpy(), return_inverse=True)[1]
+        starts = np.concatenate([[0], np.cumsum(lengths)])
+        names, places = np.unique(np.concatenate(list(own["shingles"])), return_inverse=True)
+        marked = np.zeros(len(names), bool)
+        rest, found = np.flatnonzero(~outer), []
+        inner = not len(rest)
+        for i in np.flatnonzero(outer):
+            others = np.arange(i + 1, len(numbers)) if inner else rest
+            size = lengths[others]
+            others = others[(label[others] != label[i]) & (100 * np.minimum(size, lengths[i]) >= percent * np.maximum(size, lengths[i]))]
+            others = others[agreement(sketch[i : i + 1], sketch[others])[0] >= least]
+            if not len(others):
+                continue
+            marked[places[starts[i] : starts[i + 1]]] = True
+            shared = np.array([np.count_nonzero(marked[places[starts[j] : starts[j + 1]]]) for j in others])
+            marked[places[starts[i] : starts[i + 1]]] = False
+            linked = others[100 * shared >= percent * (lengths[i] + lengths[others] - shared)]
+            reached, first = np.unique(label[linked], return_index=True)
+            found += [(numbers[i], numbers[j]) for j in linked[first]]
+            label[np.isin(label, reached)] = label[i]
+        return pd.DataFrame(np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1), columns=["a", "b"])
+
+    return rows.groupBy(*LIST).applyInPandas(links, "a long, b long")
+
+
+def linked_within(sets: Sets, groups: DataFrame, classes: DataFrame, least: int, percent: int, paths: list[str]) -> DataFrame | None:
+    """(class, component) of what links connect within `groups` (class, component); None if there are no links."""
+    own = classes.select("number", "n_shingles", "sketch").join(groups.select(F.col("class").alias("number"), F.col("component").alias("node")), "number")
+    own = stage(own, "grouped", paths)
+    blocks = F.ceil(F.sum(F.col("n_shingles").cast("double")) / BLOCK).cast("long")
+    blocks = stage(own.groupBy("node").agg(blocks.alias("blocks")), "blocks", paths)
+    own = own.join(broadcast_if_small(blocks), "node").withColumn("block", F.pmod(F.xxhash64("number"), F.col("blocks")))
+    known = sets.of(own.select("number"))
+
+    def links(rows: DataFrame) -> DataFrame:
+        return stage(tested(known.join(broadcast_if_small(rows), "number"), least, percent), "links", paths)
+
+    found = links(own.withColumn("other", F.col("block")).withColumns({"component": F.col("number"), "outer": F.lit(True)}))
+    labels = components(found) if found.head(1) else None
+    if not blocks.filter("blocks > 1").head(1):
+        return labels
+    wide = with_component(own.filter("blocks > 1"), labels)
+    wide = wide.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).filter("__block <> block")
+    ends = {"block": F.least("block", "__block"), "other": F.greatest("block", "__block"), "outer": F.col("block") < F.col("__block")}
+    found = links(wide.withColumns(ends).drop("__block"))
+    return merged(labels, found) if found.head(1) else labels
 
 
 def end_lists(named: DataFrame, ends: DataFrame, leaf: int) -> DataFrame:
@@ -420,7 +460,7 @@ def near_groups(
     rows = stage(signed.select("doc_id", "text_key", "n_shingles", "class"), "rows", paths)
     discard(spark, wide)
     sets = Sets(docs, classes, shingle)
-    labels: DataFrame | None = None
+    labels: DataFrame | None = None  # what candidates connect
     opened: list[DataFrame] = []
     lists: list[DataFrame] = []
 
@@ -435,15 +475,7 @@ def near_groups(
     def learn(pairs: DataFrame) -> None:
         nonlocal labels
         if pairs.head(1):
-            more = stage(confirmed(sets, pairs, percent), "links", kept)
-            if more.head(1):
-                labels = merged(labels, more)
-
-    def learn_all(pairs: DataFrame) -> None:
-        """First one pair per class, then those that are still apart."""
-        pairs = stage(apart(pairs, labels), "pairs", kept)
-        learn(stage(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "firsts", kept))
-        learn(stage(apart(pairs, labels), "rest", kept) if labels is not None else pairs)
+            labels = merged(labels, pairs)
 
     for depth in range(DEPTH + 1):
         level: list[str] = []
@@ -452,7 +484,7 @@ def near_groups(
         small = members.join(sizes.filter(F.col("size") <= leaf).select("node"), "node")
         zero = F.lit(0).cast("long")
         small = small.withColumns({"block": zero, "other": zero, "component": F.col("number"), "outer": F.lit(True)})
-        # What leaves hold decides nothing about larger nodes and is confirmed once, at the end.
+        # What leaves hold decides nothing about larger nodes and is compared once, at the end.
         lists.append(stage(listed(small), "leaves", kept))
         big = sizes.filter(F.col("size") > leaf)
         if not big.head(1):
@@ -465,7 +497,7 @@ def near_groups(
         pivots = named.groupBy("node", spread.alias("spread")).agg(F.min_by(pivot, "number").alias("pivot"))
         pivots = stage(pivots.groupBy("node").agg(F.collect_list("pivot").alias("pivots")), "pivots", level)
         before = labels
-        learn_all(pivot_pairs(named.join(pivots, "node"), least, percent).distinct())
+        learn(stage(pivot_pairs(named.join(pivots, "node"), least, percent).distinct(), "pairs", kept))
         if labels is not before:
             named = stage(with_component(named.drop("component"), labels), "named", level)
         # The largest component of a node, among those of several classes.
@@ -487,13 +519,9 @@ def near_groups(
         opened.append(broadcast_if_small(further, BROADCAST))
 
     every = reduce(DataFrame.union, lists)
-    near = stage(list_pairs(every, least, percent), "near", kept)
-    learn_all(near.select("a", "b").distinct())
-    torn = stage((near if labels is None else apart(near, labels, *LIST)).select(*LIST).distinct(), "torn", kept)
-    if torn.head(1):
-        zipped = F.explode(F.arrays_zip("number", "n_shingles", "sketch", "outer"))
-        again = every.join(torn, LIST, "left_semi").select(*LIST, zipped.alias("own")).select(*LIST, "own.*")
-        learn_all(list_pairs(listed(with_component(again, labels)), least, percent, every=True).select("a", "b").distinct())
+    learn(stage(list_pairs(every, least, percent).select("a", "b").distinct(), "near", kept))
+    if labels is not None:
+        labels = linked_within(sets, labels, classes, least, percent, kept)
 
     groups = with_component(classes.select("class", "number", "least_id"), labels).withColumnRenamed("component", "group")
     groups = stage(groups, "groups", paths)

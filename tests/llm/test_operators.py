@@ -541,3 +541,37 @@ def test_candidates_of_a_list_are_fewer_than_its_classes(spark, words):
     assert near_dups.list_pairs(known, least, 85).count() == 0
     two = flat.withColumn("outer", F.col("number") < 5).withColumn("component", F.when(F.col("number") < 5, F.col("number")).otherwise(5))
     assert near_dups.list_pairs(near_dups.listed(two), least, 85).count() == 5
+
+
+def test_near_copies_that_are_no_links_name_few_pairs(spark, words, monkeypatch):
+    """A group whose texts are all candidates is told apart on its sets, in one block or many; pairs are never listed one by one."""
+    from plumbrule.llm import near_dups
+
+    draw = random.Random(32)
+    texts = []
+    for group in range(2):
+        base = [draw.choice(words) for _ in range(200)]
+        for copy in range(40):
+            changed = list(base)
+            for _ in range(draw.choice([1, 3, 4, 5])):
+                changed[draw.randrange(len(changed))] = draw.choice(words)
+            texts.append(" ".join(changed))
+    expected = brute_components(texts, 90)
+    assert 10 < len(expected) < 70
+    seen = []
+    stage = near_dups.stage
+
+    def counted(df, name, *more):
+        out = stage(df, name, *more)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(near_dups, "stage", counted)
+    for block in (near_dups.BLOCK, 1000):
+        monkeypatch.setattr(near_dups, "BLOCK", block)
+        got = {}
+        for r in near_duplicates(docs_of(spark, list(enumerate(texts))), percent=90).collect():
+            got.setdefault(r.component_id, set()).add(r.doc_id)
+        assert set(map(frozenset, got.values())) == expected
+    # A forest a list at most; the candidates that are no links are 1,085 pairs.
+    assert max(n for name, n in seen if name in ("near", "pairs", "firsts", "rest", "links")) < 5 * len(texts)
